@@ -21,7 +21,6 @@ from clickloom.model import PRICE_EDGES, PRICE_LABELS
 from clickloom.operators.joins import left_join_sparse, product_counts
 from clickloom.operators.projections import click_like, with_cascade_family
 
-ONE = F.lit(1)
 
 # Rule segment thresholds (interactions, click-through rate).
 SEGMENT_RULES = (
@@ -40,7 +39,7 @@ def pair_scores(interactions: DataFrame, scoring: weights.Scoring) -> DataFrame:
     """Score and count per (user, product)."""
     points = weights.score_of(F.col("interaction_type"), scoring)
     return interactions.groupBy("user_id", "product_id").agg(
-        F.sum(points).alias("score"), F.count(ONE).alias("n")
+        F.sum(points).alias("score"), F.count("*").alias("n")
     )
 
 
@@ -76,7 +75,7 @@ def trending_products(
     points = weights.score_of(F.col("interaction_type"), weights.TRENDING)
     stats = recent.groupBy("product_id").agg(
         F.count_distinct("user_id").alias("unique_users"),
-        F.count(ONE).alias("total_interactions"),
+        F.count("*").alias("total_interactions"),
         F.sum(points).alias("trending_score"),
     )
     goods = products.select("product_id", F.col("name").alias("product_name"), "category")
@@ -98,7 +97,7 @@ def user_segments_rule(interactions: DataFrame, products: DataFrame) -> DataFram
     """Volume, variety, average price, click-through rate and rule segment per user."""
     kind = F.col("interaction_type")
     pairs = interactions.groupBy("user_id", "product_id").agg(
-        F.count(ONE).alias("n"),
+        F.count("*").alias("n"),
         F.count_if(click_like(kind)).alias("clicks"),
         F.count_if(kind == "view").alias("views"),
     )
@@ -108,7 +107,7 @@ def user_segments_rule(interactions: DataFrame, products: DataFrame) -> DataFram
         .groupBy("user_id")
         .agg(
             F.sum("n").alias("total_interactions"),
-            F.count(ONE).alias("unique_products"),
+            F.count("*").alias("unique_products"),
             F.sum(F.col("price") * F.col("n")).alias("_spent"),
             F.sum(F.when(F.col("price").isNotNull(), F.col("n"))).alias("_priced"),
             F.count_distinct("category").alias("categories_explored"),
@@ -146,7 +145,7 @@ def user_features(
         F.col("user_id").isNotNull() & (F.col("ts") <= time_literal(interactions, "ts", as_of))
     )
     daily = known.groupBy("user_id", "product_id", F.to_date("ts").alias("day")).agg(
-        F.count(ONE).alias("n"),
+        F.count("*").alias("n"),
         F.sum(points).alias("score"),
         F.sum(F.hour("ts").cast("long")).alias("hours"),
         F.count_if(kind == "click").alias("clicks"),
@@ -214,7 +213,7 @@ def implicit_ratings(interactions: DataFrame, least: float = 1.0) -> DataFrame:
         .groupBy("user_id", "product_id")
         .agg(
             F.sum(points).alias("total_score"),
-            F.count(ONE).alias("interaction_count"),
+            F.count("*").alias("interaction_count"),
             F.max("ts").alias("last_interaction"),
         )
     )
@@ -231,7 +230,7 @@ def user_activity_summary(
     pairs = (
         trailing_window(interactions, as_of, days=days)
         .groupBy("user_id", "product_id")
-        .agg(F.count(ONE).alias("n"), F.max("ts").alias("last"))
+        .agg(F.count("*").alias("n"), F.max("ts").alias("last"))
     )
     goods = products.select("product_id", "category", exact_money(F.col("price")).alias("price"))
     users = (
@@ -284,14 +283,14 @@ def category_counts(products: DataFrame, interactions: DataFrame) -> DataFrame:
 
 
 def counts_by_type(interactions: DataFrame) -> DataFrame:
-    return interactions.groupBy("interaction_type").agg(F.count(ONE).alias("interaction_count"))
+    return interactions.groupBy("interaction_type").agg(F.count("*").alias("interaction_count"))
 
 
 def top_users(interactions: DataFrame, users: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most active users; only those are joined to their names."""
     best = (
         interactions.groupBy("user_id")
-        .agg(F.count(ONE).alias("interaction_count"))
+        .agg(F.count("*").alias("interaction_count"))
         .orderBy(F.desc("interaction_count"), "user_id")
         .limit(n)
     )
@@ -303,7 +302,7 @@ def top_users(interactions: DataFrame, users: DataFrame, n: int = 10) -> DataFra
 
 def user_type_counts(interactions: DataFrame) -> DataFrame:
     return interactions.groupBy("user_id", "interaction_type").agg(
-        F.count(ONE).alias("interaction_count")
+        F.count("*").alias("interaction_count")
     )
 
 
@@ -314,7 +313,7 @@ def user_type_matrix(
     kind = F.col("interaction_type")
     counts = interactions.groupBy("user_id").agg(
         *[F.count_if(kind == t).alias(f"{t}_count") for t in types],
-        F.count(ONE).alias("total_count"),
+        F.count("*").alias("total_count"),
     )
     names = [f"{t}_count" for t in types] + ["total_count"]
     joined = users.select("user_id").join(counts, "user_id", "left")
@@ -325,7 +324,7 @@ def user_totals(users: DataFrame, interactions: DataFrame) -> DataFrame:
     """Interactions and distinct products of every user, 0 included."""
     counts = (
         interactions.groupBy("user_id", "product_id")
-        .agg(F.count(ONE).alias("n"))
+        .agg(F.count("*").alias("n"))
         .groupBy("user_id")
         .agg(
             F.sum("n").alias("total_interactions"),
@@ -337,7 +336,7 @@ def user_totals(users: DataFrame, interactions: DataFrame) -> DataFrame:
 
 
 def category_sizes(products: DataFrame) -> DataFrame:
-    return products.groupBy("category").agg(F.count(ONE).alias("product_count"))
+    return products.groupBy("category").agg(F.count("*").alias("product_count"))
 
 
 def product_counters(interactions: DataFrame) -> DataFrame:
@@ -345,7 +344,7 @@ def product_counters(interactions: DataFrame) -> DataFrame:
     by_action = (
         interactions.filter(F.col("product_id").isNotNull())
         .groupBy("product_id", F.col("interaction_type").alias("action"))
-        .agg(F.count(ONE).alias("action_count"))
+        .agg(F.count("*").alias("action_count"))
     )
     # A product has at most one row per action here, so the window is small.
     per_product = Window.partitionBy("product_id")
@@ -389,7 +388,7 @@ def user_profile_counters(
     return (
         profile_entries(events, edges=edges, labels=labels)
         .groupBy("user_id", "kind", "value")
-        .agg(F.count(ONE).alias("count"))
+        .agg(F.count("*").alias("count"))
     )
 
 
@@ -401,7 +400,7 @@ def recommendation_clicks(events: DataFrame) -> DataFrame:
         .select(product.alias("product_id"))
         .filter(F.col("product_id").isNotNull())
         .groupBy("product_id")
-        .agg(F.count(ONE).alias("clicks"))
+        .agg(F.count("*").alias("clicks"))
     )
 
 
@@ -417,7 +416,7 @@ def shopping_patterns(interactions: DataFrame) -> DataFrame:
         interactions.select("user_id", pattern.alias("pattern"))
         .filter(F.col("pattern").isNotNull())
         .groupBy("user_id", "pattern")
-        .agg(F.count(ONE).alias("count"))
+        .agg(F.count("*").alias("count"))
     )
 
 
@@ -430,7 +429,7 @@ def favourite_products(
             F.col("interaction_type").isin(*types) & F.col("product_id").isNotNull()
         )
         .groupBy("user_id", "product_id")
-        .agg(F.count(ONE).alias("interaction_count"))
+        .agg(F.count("*").alias("interaction_count"))
     )
     return top_n_per_group(
         counts,
@@ -467,7 +466,7 @@ def user_interests(
         .select("user_id", "ts", entry)
         .filter(F.col("value").isNotNull() & (F.col("value") != ""))
         .groupBy("user_id", "kind", "value")
-        .agg(F.count(ONE).alias("count"), F.min("ts").alias("first_ts"))
+        .agg(F.count("*").alias("count"), F.min("ts").alias("first_ts"))
     )
 
 

@@ -31,7 +31,7 @@ def content_vectors(contents: DataFrame) -> DataFrame:
     """
     words = contents.select(
         "category", "words", "copies", F.explode("words").alias("word")
-    ).groupBy("category", "words", "copies", "word").agg(F.count(F.lit(1)).alias("tf"))
+    ).groupBy("category", "words", "copies", "word").agg(F.count("*").alias("tf"))
     frequency = words.groupBy("word").agg(F.sum("copies").alias("df"))
     total = contents.agg(F.sum("copies").alias("n"))
     idf = F.ln((total.scalar() + 1) / (F.col("df") + 1)) + 1
@@ -52,7 +52,7 @@ def content_similarity(
     Cosine similarity of at least ``least``, rounded; ties go to the smaller id.
     """
     items = content_words(products)
-    contents = items.groupBy("category", "words").agg(F.count(F.lit(1)).alias("copies"))
+    contents = items.groupBy("category", "words").agg(F.count("*").alias("copies"))
     vectors = content_vectors(contents)
 
     # Words from rare to frequent; a word is in the prefix while the words from

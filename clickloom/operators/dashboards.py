@@ -17,7 +17,6 @@ from clickloom.functions.times import (
 )
 from clickloom.operators.joins import product_counts, with_scalar_total
 
-ONE = F.lit(1)
 
 # Volume bands (least interactions, label).
 VOLUME_BANDS = (
@@ -110,7 +109,7 @@ def category_performance(
     pairs = (
         interactions.filter(F.col("product_id").isNotNull())
         .groupBy("product_id", "user_id")
-        .agg(F.count(ONE).alias("n"))
+        .agg(F.count("*").alias("n"))
     )
     goods = products.filter(F.col("category").isNotNull()).select(
         "product_id", "category", exact_money(F.col("price")).alias("price")
@@ -149,12 +148,12 @@ def volume_segments(interactions: DataFrame, spend: int = 100_000) -> DataFrame:
     """Users, average spend and average volume per volume band."""
     bought = F.when(F.col("interaction_type") == "purchase", F.lit(spend)).otherwise(F.lit(0))
     per_user = interactions.groupBy("user_id").agg(
-        F.count(ONE).alias("n"), F.sum(bought.cast("long")).alias("spent")
+        F.count("*").alias("n"), F.sum(bought.cast("long")).alias("spent")
     )
     return (
         per_user.groupBy(volume_band(F.col("n")).alias("segment"))
         .agg(
-            F.count(ONE).alias("user_count"),
+            F.count("*").alias("user_count"),
             F.sum("spent").alias("_spent"),
             F.sum("n").alias("_n"),
         )
@@ -176,7 +175,7 @@ def live_metrics(interactions: DataFrame, as_of: AsOf) -> DataFrame:
     stats = rows.agg(
         F.count_distinct("user_id").alias("total_users"),
         F.count_distinct(active).alias("active_users"),
-        F.count(ONE).alias("total_interactions"),
+        F.count("*").alias("total_interactions"),
     )
     return stats.withColumns(
         {
@@ -196,20 +195,20 @@ def active_sessions(sessions: DataFrame, as_of: AsOf, minutes: int = 5) -> DataF
 
 def active_session_count(sessions: DataFrame, as_of: AsOf, minutes: int = 5) -> DataFrame:
     rows = trailing_window(sessions, as_of, ts="last_activity", minutes=minutes)
-    return rows.agg(F.count(ONE).alias("active_sessions"))
+    return rows.agg(F.count("*").alias("active_sessions"))
 
 
 def active_sessions_by_user(sessions: DataFrame, as_of: AsOf, minutes: int = 5) -> DataFrame:
     """Active sessions per user; visitors who are not logged in are user 0."""
     rows = trailing_window(sessions, as_of, ts="last_activity", minutes=minutes)
     user = F.coalesce("user_id", F.lit(0).cast("long"))
-    return rows.groupBy(user.alias("user_id")).agg(F.count(ONE).alias("session_count"))
+    return rows.groupBy(user.alias("user_id")).agg(F.count("*").alias("session_count"))
 
 
 def hourly_by_type(interactions: DataFrame) -> DataFrame:
     """Interactions per hour of day and type."""
     return interactions.groupBy(F.hour("ts").alias("hour"), "interaction_type").agg(
-        F.count(ONE).alias("interaction_count")
+        F.count("*").alias("interaction_count")
     )
 
 
@@ -255,7 +254,7 @@ def table_totals(
     since = time_literal(interactions, "ts", to_datetime(as_of)) - F.expr("INTERVAL 30 MINUTES")
     now = time_literal(interactions, "ts", as_of)
     base = interactions.agg(
-        F.count(ONE).alias("interactions"),
+        F.count("*").alias("interactions"),
         F.count_if((F.col("ts") >= since) & (F.col("ts") <= now)).alias("recent_interactions"),
         F.min("ts").alias("first_event"),
     )

@@ -56,7 +56,7 @@ def product_counts(interactions: DataFrame, out: str = "interaction_count") -> D
     return (
         interactions.filter(F.col("product_id").isNotNull())
         .groupBy("product_id")
-        .agg(F.count(F.lit(1)).alias(out))
+        .agg(F.count("*").alias(out))
     )
 
 
@@ -84,7 +84,7 @@ def recent_counts_where(interactions: DataFrame, as_of: AsOf, days: int = 7) ->
     return (
         interactions.filter(F.col("product_id").isNotNull() & (F.col("ts") <= now))
         .groupBy("product_id")
-        .agg(F.count(F.lit(1)).alias("total"), F.count_if(in_window).alias("recent"))
+        .agg(F.count("*").alias("total"), F.count_if(in_window).alias("recent"))
     )
 
 
@@ -177,5 +177,5 @@ def similar_products(
 
 def with_scalar_total(df: DataFrame, counted: DataFrame, out: str) -> DataFrame:
     """Attach the row count of ``counted`` to every row as a scalar subquery."""
-    total = counted.agg(F.count(F.lit(1)).alias(out))
+    total = counted.agg(F.count("*").alias(out))
     return df.withColumn(out, total.scalar())

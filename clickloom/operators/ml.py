@@ -175,7 +175,7 @@ def regression_metrics(
     return rows.agg(
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
-        F.count(F.lit(1)).alias("total_predictions"),
+        F.count("*").alias("total_predictions"),
     )
 
 
@@ -302,7 +302,7 @@ def cluster_profile(assignments: DataFrame) -> DataFrame:
     number of categories, not of users.
     """
     profile = assignments.groupBy("prediction").agg(
-        F.count(F.lit(1)).alias("cluster_size"),
+        F.count("*").alias("cluster_size"),
         F.avg("total_interactions").alias("avg_interactions"),
         F.avg("total_engagement_score").alias("avg_engagement"),
         F.avg("unique_products_viewed").alias("avg_unique_products"),
@@ -311,7 +311,7 @@ def cluster_profile(assignments: DataFrame) -> DataFrame:
     categories = (
         assignments.filter(F.col("most_viewed_category").isNotNull())
         .groupBy("prediction", "most_viewed_category")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count("*").alias("n"))
         .groupBy("prediction")
         .agg(
             F.array_sort(

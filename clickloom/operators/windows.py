@@ -17,7 +17,6 @@ from clickloom.operators.joins import (
     products_left_recent,
 )
 
-ONE = F.lit(1)
 NEWEST = ("ts", "interaction_id")
 
 # Weight by age in seconds (upper bound, weight), else 1.
@@ -246,7 +245,7 @@ def window_feed(
     rows = trailing_window(interactions, as_of, hours=hours)
     feed = rows.orderBy(*newest_first()).limit(n)
     if min_rows:
-        enough = rows.agg((F.count(ONE) > min_rows).alias("enough"))
+        enough = rows.agg((F.count("*") > min_rows).alias("enough"))
         feed = feed.filter(enough.scalar())
     goods = products.select("product_id", "name", "category", "price")
     return interactions_left_product(feed, goods).orderBy(*newest_first())
@@ -262,7 +261,7 @@ def event_positions(events: DataFrame, bucket: str = "1 minute") -> DataFrame:
     rows = events.withColumn("_bucket", F.window("ts", bucket)["start"])
     inside = Window.partitionBy("user_id", "_bucket").orderBy("ts", "event_id")
     numbered = rows.withColumn("_inside", F.row_number().over(inside) - 1)
-    sizes = rows.groupBy("user_id", "_bucket").agg(F.count(ONE).alias("_size"))
+    sizes = rows.groupBy("user_id", "_bucket").agg(F.count("*").alias("_size"))
     earlier = (
         Window.partitionBy("user_id")
         .orderBy("_bucket")

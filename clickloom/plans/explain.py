@@ -40,7 +40,7 @@ def explain_recommendations(lists: DataFrame, recent: DataFrame) -> DataFrame:
         F.sum(F.when(clicked, F.col("score")).otherwise(zero)).alias("clicked"),
         F.sum(F.when(clicked, zero).otherwise(F.col("score"))).alias("viewed"),
         F.count_if(clicked).alias("clicks"),
-        F.count(F.lit(1)).alias("rows"),
+        F.count("*").alias("rows"),
         F.min(F.struct("pos", "category")).alias("latest"),
         F.min(F.when(clicked, F.struct("pos", "category", "name"))).alias("latest_click"),
     )

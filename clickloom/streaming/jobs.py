@@ -82,7 +82,7 @@ def route_batch(
                 "batch_id"
             ).parquet(f"{root}/{name}")
 
-        count = F.count(F.lit(1)).alias("n")
+        count = F.count("*").alias("n")
         actions = product_actions(batch)
         store(
             actions.groupBy("product_id", "action").agg(count).select("*", part),

@@ -13,8 +13,6 @@ from clickloom.functions import scalars, weights
 from clickloom.operators import aggregates
 from clickloom.operators.projections import normalise_event_type
 
-ONE = F.lit(1)
-
 
 def event_time(events: DataFrame) -> DataFrame:
     """Event time as TIMESTAMP, the type watermarks need."""
@@ -55,7 +53,7 @@ def product_actions(events: DataFrame) -> DataFrame:
 
 def stream_product_counters(events: DataFrame) -> DataFrame:
     """Running count per (product, action); for update mode."""
-    return product_actions(events).groupBy("product_id", "action").agg(F.count(ONE).alias("count"))
+    return product_actions(events).groupBy("product_id", "action").agg(F.count("*").alias("count"))
 
 
 def stream_profile_counters(events: DataFrame) -> DataFrame:
@@ -106,7 +104,7 @@ def gap_sessions(events: DataFrame, gap_minutes: int = 5) -> DataFrame:
     """
     minute = F.window("ts", "1 minute")["start"]
     pieces = events.groupBy("user_id", minute.alias("_m")).agg(
-        F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(ONE).alias("n")
+        F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("n")
     )
     in_order = Window.partitionBy("user_id").orderBy("_m")
     gap = F.expr(f"INTERVAL {int(gap_minutes)} MINUTES")
@@ -129,7 +127,7 @@ def stream_gap_sessions(
         event_time(events)
         .withWatermark("ts", delay)
         .groupBy(F.session_window("ts", gap).alias("w"), "user_id")
-        .agg(F.count(ONE).alias("event_count"), F.max("ts").alias("session_end"))
+        .agg(F.count("*").alias("event_count"), F.max("ts").alias("session_end"))
         .select("user_id", F.col("w.start").alias("session_start"), "session_end", "event_count")
     )
 
