@@ -136,8 +136,10 @@ def user_features(
 ) -> DataFrame:
     """Thirteen behaviour features per user with at least ``least`` interactions.
 
-    One row per (user, product, day) is aggregated first. Weekday shares are seven
-    conditional sums, so the modal weekday needs no further shuffle.
+    Interactions are reduced to one row per (user, product, day). One branch folds
+    them by product and category, the other by day, each level counting the rows
+    of the level below, so no distinct count has to multiply its input. Weekday
+    shares are seven conditional sums.
     """
     kind = F.col("interaction_type")
     points = weights.score_of(kind, weights.ENGAGEMENT)
@@ -151,33 +153,53 @@ def user_features(
         F.count_if(kind == "click").alias("clicks"),
         F.count_if(kind == "view").alias("views"),
     )
-    goods = products.select("product_id", "category", exact_money(F.col("price")).alias("price"))
-    rows = left_join_sparse(daily, goods, "product_id", "user_id")
 
-    today = F.to_date(time_literal(interactions, "ts", as_of))
-    recent = F.col("day") >= F.date_sub(today, recent_days)
-    weekday = F.dayofweek("day")
-    by_weekday = {
-        f"_wd{d}": F.sum(F.when(weekday == d, F.col("n")).otherwise(F.lit(0))) for d in range(1, 8)
-    }
-    users = rows.groupBy("user_id").agg(
+    goods = products.select("product_id", "category", exact_money(F.col("price")).alias("price"))
+    per_product = daily.groupBy("user_id", "product_id").agg(
+        *[F.sum(c).alias(c) for c in ("n", "score", "clicks", "views")]
+    )
+    per_category = (
+        left_join_sparse(per_product, goods, "product_id", "user_id")
+        .groupBy("user_id", "category")
+        .agg(
+            *[F.sum(c).alias(c) for c in ("n", "score", "clicks", "views")],
+            F.count("product_id").alias("products"),
+            F.sum(F.col("price") * F.col("n")).alias("spent"),
+            F.sum(F.when(F.col("price").isNotNull(), F.col("n"))).alias("priced"),
+        )
+    )
+    by_taste = per_category.groupBy("user_id").agg(
         F.sum("n").alias("total_interactions"),
-        F.count_distinct("product_id").alias("unique_products_viewed"),
-        F.count_distinct("category").alias("categories_explored"),
+        F.sum("products").alias("unique_products_viewed"),
+        F.count("category").alias("categories_explored"),
         F.sum("score").alias("total_engagement_score"),
-        F.count_distinct("day").alias("active_days"),
-        F.sum("hours").alias("_hours"),
-        F.sum(F.when(recent, F.col("score")).otherwise(F.lit(0))).alias("recent_engagement"),
+        best_key(F.col("n"), F.col("category")).alias("most_viewed_category"),
         F.sum("clicks").alias("total_clicks"),
         F.sum("views").alias("total_views"),
-        F.sum(F.col("price") * F.col("n")).alias("_spent"),
-        F.sum(F.when(F.col("price").isNotNull(), F.col("n"))).alias("_priced"),
-        *[c.alias(name) for name, c in by_weekday.items()],
+        ratio(F.sum("spent"), F.sum("priced")).alias("avg_product_price_viewed"),
     ).filter(F.col("total_interactions") >= least)
+
+    today = F.to_date(time_literal(interactions, "ts", as_of))
+    recent = F.col("day") >= F.date_sub(today, recent_days)
+    days = range(1, 8)
+    on_day = lambda d: F.sum(
+        F.when(F.dayofweek("day") == d, F.col("n")).otherwise(F.lit(0))
+    )
+    by_day = (
+        daily.groupBy("user_id", "day")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "score", "hours")])
+        .groupBy("user_id")
+        .agg(
+            F.count("*").alias("active_days"),
+            F.sum("hours").alias("_hours"),
+            F.sum(F.when(recent, F.col("score")).otherwise(F.lit(0))).alias("recent_engagement"),
+            *[on_day(d).alias(f"_wd{d}") for d in days],
+        )
+    )
     favourite_day = F.array_min(
-        F.array(*[F.struct((-F.col(f"_wd{d}")).alias("w"), F.lit(d).alias("d")) for d in range(1, 8)])
+        F.array(*[F.struct((-F.col(f"_wd{d}")).alias("w"), F.lit(d).alias("d")) for d in days])
     )["d"]
-    users = users.select(
+    out = by_taste.join(by_day, "user_id").select(
         "user_id",
         "total_interactions",
         "unique_products_viewed",
@@ -189,19 +211,12 @@ def user_features(
         "active_days",
         ratio(F.col("_hours"), F.col("total_interactions")).alias("avg_hour_activity"),
         favourite_day.alias("favorite_day_of_week"),
+        "most_viewed_category",
         "recent_engagement",
         "total_clicks",
         "total_views",
-        ratio(F.col("_spent"), F.col("_priced")).alias("avg_product_price_viewed"),
-    )
-    modal = (
-        rows.filter(F.col("category").isNotNull())
-        .groupBy("user_id", "category")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("user_id")
-        .agg(best_key(F.col("n"), F.col("category")).alias("most_viewed_category"))
+        "avg_product_price_viewed",
     )
-    out = users.join(modal, "user_id", "left")
     return out.orderBy(F.desc("total_engagement_score"), "user_id") if ordered else out
 
 

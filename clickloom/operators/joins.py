@@ -25,7 +25,11 @@ def left_join_sparse(
 ) -> DataFrame:
     """Left join on a nullable key; rows with a NULL key are spread by ``row_id``.
 
-    ``right`` is not replicated: its rows carry the constant spread value 0.
+    ``right`` is not replicated: its rows carry the spread value 0. That value is
+    computed from the key (a remainder by 1) because the optimizer would turn a
+    constant into a filter and leave the join with the plain key. With both
+    columns as keys each side has its own exchange, so adaptive execution can
+    still broadcast a side that turns out small or split a hot key.
     """
     right_key = right_key or key
     piece = F.when(
@@ -33,7 +37,7 @@ def left_join_sparse(
     ).otherwise(F.lit(0).cast("long"))
     a = left.withColumn("_spread", piece)
     b = right.withColumnRenamed(right_key, "_right_key").withColumn(
-        "_right_spread", F.lit(0).cast("long")
+        "_right_spread", F.pmod(F.xxhash64("_right_key"), F.lit(1).cast("long"))
     )
     on = (F.col(key) == F.col("_right_key")) & (F.col("_spread") == F.col("_right_spread"))
     return a.join(b, on, "left").drop("_right_key", "_spread", "_right_spread")

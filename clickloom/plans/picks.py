@@ -65,9 +65,13 @@ def fill(n: int, *stages: Column, taken: Column | None = None) -> Column:
 
 
 def explode_recommendations(lists: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per recommendation with its rank and product columns."""
+    """One row per recommendation with its rank and product columns.
+
+    The outer form keeps the optimizer from testing each list's size first, which
+    would build every list twice; the join drops the entry of an empty list.
+    """
     rows = lists.select(
-        "user_id", "strategy_used", F.posexplode("recommendations").alias("_pos", "entry")
+        "user_id", "strategy_used", F.posexplode_outer("recommendations").alias("_pos", "entry")
     ).select("user_id", "strategy_used", (F.col("_pos") + 1).cast("int").alias("rank"), "entry.*")
     goods = products.select("product_id", "name", "category", "price")
     return rows.join(goods, "product_id")

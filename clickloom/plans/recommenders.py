@@ -7,7 +7,7 @@ profile columns. ``explode_recommendations`` flattens the lists.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import weights
@@ -16,7 +16,7 @@ from clickloom.functions.times import AsOf
 from clickloom.model import SHOP_DEFAULT_CATEGORY
 from clickloom.operators import projections, windows
 from clickloom.plans.picks import BLOCK_TYPE, PICK_TYPE, block, blocks, blocks_of, fill
-from clickloom.plans.shelves import RELATED_TYPE, look_up, no_ids, shelf, with_related
+from clickloom.plans.shelves import look_up, no_ids, shelf
 
 # Texts shown with a recommendation.
 REASONS = {
@@ -60,57 +60,43 @@ def cascade_profile(recent: DataFrame) -> DataFrame:
     ``recent`` is the capped history (at most ``n`` rows per user, partitioned by
     user), so the windows below stay inside that partitioning.
     """
-    scored = projections.with_cascade_family(recent).filter(F.col("category").isNotNull())
-    kind = F.col("interaction_type")
-    click = kind.isin(*weights.CLICK_TYPES)
-    view = kind.isin(*weights.VIEW_TYPES)
-    family = F.col("family")
+    scored = projections.with_cascade_family(recent).filter("category IS NOT NULL").withColumns(
+        {
+            "click": F.col("interaction_type").isin(*weights.CLICK_TYPES),
+            "view": F.col("interaction_type").isin(*weights.VIEW_TYPES),
+        }
+    )
     pairs = scored.groupBy("user_id", "category", "product_id").agg(
-        F.min(F.when(click, F.col("pos"))).alias("click_pos"),
-        F.min(F.when(view, F.col("pos"))).alias("view_pos"),
-        F.count_if(click).alias("clicks"),
-        F.count_if(view).alias("views"),
-        F.sum(F.when(family == "clicked", F.col("score")).otherwise(F.lit(0))).alias("clicked"),
-        F.sum(F.when(family == "viewed", F.col("score")).otherwise(F.lit(0))).alias("viewed"),
-    )
-    of_category = Window.partitionBy("user_id", "category")
-    of_user = Window.partitionBy("user_id")
-    by_click = of_user.orderBy(F.desc("cat_clicked"), F.asc("category"))
-    by_views = of_user.orderBy(F.desc("views"), F.asc("product_id"))
-    ranked = (
-        pairs.withColumn("cat_clicked", F.sum("clicked").over(of_category))
-        .withColumn("click_rank", F.dense_rank().over(by_click))
-        .withColumn("view_rank", F.row_number().over(by_views))
-    )
-    clicked = F.col("cat_clicked") > 0
-    seen = F.col("views") > 0
+        F.expr("min(pos) FILTER (WHERE click) AS click_pos"),
+        F.expr("min(pos) FILTER (WHERE view) AS view_pos"),
+        F.expr("count_if(click) AS clicks"),
+        F.expr("count_if(view) AS views"),
+        F.expr("coalesce(sum(score) FILTER (WHERE family = 'clicked'), 0) AS clicked"),
+        F.expr("coalesce(sum(score) FILTER (WHERE family = 'viewed'), 0) AS viewed"),
+    )
+    ranked = pairs.withColumn(
+        "cat_clicked", F.expr("sum(clicked) OVER (PARTITION BY user_id, category)")
+    ).withColumns(
+        {
+            "click_rank": F.expr(
+                "dense_rank() OVER (PARTITION BY user_id ORDER BY cat_clicked DESC, category)"
+            ),
+            "view_rank": F.expr(
+                "row_number() OVER (PARTITION BY user_id ORDER BY views DESC, product_id)"
+            ),
+        }
+    )
+    best = "max({}) FILTER (WHERE cat_clicked > 0 AND click_rank = {}) AS {}"
+    liked = "max({}) FILTER (WHERE views > 0 AND view_rank = {}) AS {}"
     return ranked.groupBy("user_id").agg(
-        F.min_by("category", "click_pos").alias("click_category"),
-        F.min_by("category", "view_pos").alias("view_category"),
-        F.sum("clicks").alias("recent_clicks_count"),
-        F.sum("views").alias("recent_views_count"),
-        F.sum("clicked").alias("clicked_score"),
-        F.sum("viewed").alias("viewed_score"),
-        *[
-            F.max(F.when(clicked & (F.col("click_rank") == k), F.col("category"))).alias(f"top{k}")
-            for k in (1, 2, 3)
-        ],
-        *[
-            F.max(F.when(clicked & (F.col("click_rank") == k), F.col("cat_clicked"))).alias(
-                f"top{k}_score"
-            )
-            for k in (1, 2, 3)
-        ],
-        *[
-            F.max(F.when(seen & (F.col("view_rank") == k), F.col("product_id"))).alias(f"fav{k}")
-            for k in (1, 2, 3)
-        ],
-        *[
-            F.max(F.when(seen & (F.col("view_rank") == k), F.col("category"))).alias(
-                f"fav{k}_category"
-            )
-            for k in (1, 2, 3)
-        ],
+        F.expr("min_by(category, click_pos) AS click_category"),
+        F.expr("min_by(category, view_pos) AS view_category"),
+        F.expr("sum(clicked) AS clicked_score"),
+        F.expr("sum(viewed) AS viewed_score"),
+        *[F.expr(best.format("category", k, f"top{k}")) for k in (1, 2, 3)],
+        *[F.expr(best.format("cat_clicked", k, f"top{k}_score")) for k in (1, 2, 3)],
+        *[F.expr(liked.format("product_id", k, f"fav{k}")) for k in (1, 2, 3)],
+        *[F.expr(liked.format("category", k, f"fav{k}_category")) for k in (1, 2, 3)],
     )
 
 
@@ -138,9 +124,7 @@ def recommend_cascade(
         products, n + 4, "trend", interactions=interactions, as_of=as_of
     )
     newest = windows.top_products_in_category(products, 6, "newest")
-    shelves = with_related(shelf(trend, "ids"), relations, "ids", 2).join(
-        shelf(newest, "newest", "created_at"), "category"
-    )
+    shelves = shelf(trend, "ids").join(shelf(newest, "newest", "created_at"), "category")
     global_ids = (
         windows.global_trending(products, interactions, as_of, 2 * n, seed)
         .withColumn("_key", seeded_key(F.col("product_id"), seed))
@@ -157,7 +141,8 @@ def recommend_cascade(
     main = F.coalesce("click_category", "view_category")
     slots = {"main": main, **{f"top{k}": F.col(f"top{k}") for k in (1, 2, 3)}}
     slots |= {f"fav{k}": F.col(f"fav{k}_category") for k in (1, 2, 3)}
-    df = users.select("user_id").join(look_up(profile, slots, shelves), "user_id", "left")
+    looked_up = look_up(profile, slots, shelves, relations, ("top1", "top2"))
+    df = users.select("user_id").join(looked_up, "user_id", "left")
     df = df.withColumn("main_category", main).withColumn("_global", global_ids.scalar())
 
     has_click = F.col("click_category").isNotNull()
@@ -179,10 +164,7 @@ def recommend_cascade(
             block(F.col(f"top{k}_shelf.ids"), 2, "frequent_category", reason),
         )
 
-    no_related = F.array().cast(RELATED_TYPE)
-    both = F.concat(
-        F.coalesce("top1_shelf.related", no_related), F.coalesce("top2_shelf.related", no_related)
-    )
+    both = F.concat("top1_related", "top2_related")
     related = blocks_of(
         F.slice(F.array_distinct(both), 1, 3),
         lambda e: block(e["ids"], 1, "related_category", _text("related_taste", e["category"])),
@@ -249,9 +231,14 @@ def recommend_same_plus_related(
     recent = windows.recent_per_user(interactions, products, as_of, days=7)
     profile = users.select("user_id").join(simple_profile(recent), "user_id", "left")
     top = windows.top_products_in_category(products, 10, "newest_id")
-    shelves = with_related(shelf(top, "ids"), relations, "ids", 2)
     main = F.coalesce("click.category", "seen_category", F.lit(default_category))
-    df = look_up(profile.withColumn("main_category", main), {"main": F.col("main_category")}, shelves)
+    df = look_up(
+        profile.withColumn("main_category", main),
+        {"main": F.col("main_category")},
+        shelf(top, "ids"),
+        relations,
+        ("main",),
+    )
     ids = F.col("main_shelf.ids")
     clicked = F.col("click").isNotNull()
     seen = ~clicked & F.col("seen_category").isNotNull()
@@ -264,7 +251,7 @@ def recommend_same_plus_related(
         ),
     )
     others = F.filter(
-        F.array_distinct("main_shelf.related"), lambda e: e["category"] != F.col("main_category")
+        F.array_distinct("main_related"), lambda e: e["category"] != F.col("main_category")
     )
     related = blocks_of(
         F.when(clicked, others),
@@ -324,8 +311,7 @@ def recommend_instant_switch(
         .withColumn("main_category", F.coalesce("latest_category", "top_category"))
     )
     top = windows.top_products_in_category(products, 10, "seeded", seed=seed)
-    shelves = with_related(shelf(top, "ids"), relations, "ids", 2)
-    df = look_up(profile, {"main": F.col("main_category")}, shelves)
+    df = look_up(profile, {"main": F.col("main_category")}, shelf(top, "ids"), relations, ("main",))
     known = F.col("main_category").isNotNull()
     main = blocks(
         known,
@@ -335,7 +321,7 @@ def recommend_instant_switch(
         ),
     )
     related = blocks_of(
-        F.col("main_shelf.related"),
+        F.col("main_related"),
         lambda e: block(e["ids"], 1, "related_category", _text("related_short", e["category"])),
     )
     strategy = (
@@ -421,7 +407,6 @@ def recommend_recency(
         )
     )
     top = windows.top_products_in_category(products, 10, "seeded", seed=seed)
-    shelves = with_related(shelf(top, "ids"), relations, "ids", n_related)
     # Of three viewed categories at most one can be used up, and two are needed.
     slots = {"main": F.col("main_category")}
     slots |= {f"viewed{k}": F.get("_viewed", F.lit(k)) for k in range(3)}
@@ -433,7 +418,8 @@ def recommend_recency(
         .limit(8)
         .agg(F.array_sort(F.collect_list(F.struct("product_id", "category"))).alias("f"))
     )
-    df = look_up(profile, slots, shelves).withColumn("_first", first_ids.scalar())
+    df = look_up(profile, slots, shelf(top, "ids"), relations, ("main",), n_related)
+    df = df.withColumn("_first", first_ids.scalar())
     category = F.col("main_category")
     main_ids = F.slice(F.coalesce("main_shelf.ids", no_ids()), 1, 8)
     scored = F.coalesce(F.col("total_tenths") >= 10, F.lit(False))
@@ -449,7 +435,7 @@ def recommend_recency(
     )
     history = blocks_of(foreign("past"), single("from_history", "from_history"))
     related = blocks_of(
-        F.col("main_shelf.related"),
+        F.col("main_related"),
         lambda e: block(e["ids"], 1, "from_related", _text("related_to", category)),
     )
     viewed = [

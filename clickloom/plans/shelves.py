@@ -8,7 +8,7 @@ these bounded arrays inside one row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from clickloom.operators.joins import left_join_sparse
 
 ID_TYPE = "array<bigint>"
-RELATED_TYPE = "array<struct<category:string,ids:array<bigint>>>"
 
 
 def no_ids() -> Column:
@@ -40,63 +39,74 @@ def shelf(ranked: DataFrame, column: str, *extra: str) -> DataFrame:
     )
 
 
-def with_related(shelves: DataFrame, relations: DataFrame, column: str, n: int) -> DataFrame:
-    """Add ``related``: the first ``n`` related categories with their shelves.
-
-    A related category without products keeps its place with an empty shelf.
-    """
-    goods = shelves.select(F.col("category").alias("related_category"), F.col(column).alias("_ids"))
-    rows = relations.filter(F.col("rel_rank") <= n).join(goods, "related_category", "left")
-    entry = F.struct(
-        "rel_rank",
-        F.col("related_category").alias("category"),
-        F.coalesce("_ids", no_ids()).alias("ids"),
-    )
-    lists = rows.groupBy("category").agg(F.array_sort(F.collect_list(entry)).alias("_r"))
-    related = lists.select(
-        "category",
-        F.transform("_r", lambda e: F.struct(e["category"].alias("category"), e["ids"].alias("ids"))).alias(
-            "related"
-        ),
-    )
-    return shelves.join(related, "category", "left").withColumn(
-        "related", F.coalesce("related", F.array().cast(RELATED_TYPE))
-    )
+def look_up(
+    users: DataFrame,
+    slots: Mapping[str, Column],
+    shelves: DataFrame,
+    relations: DataFrame | None = None,
+    related_of: Sequence[str] = (),
+    n_related: int = 2,
+) -> DataFrame:
+    """Attach the shelf row of each slot's category as ``<slot>_shelf`` structs.
 
-
-def look_up(users: DataFrame, slots: Mapping[str, Column], shelves: DataFrame) -> DataFrame:
-    """Attach the shelf row of each slot's category as a struct column.
+    The slots named in ``related_of`` also get ``<slot>_related``, the structs of
+    their first ``n_related`` related categories in order; one without products
+    keeps its place with a NULL shelf.
 
     ``users`` has one row per ``user_id``. Empty slots stay in the join so that
     no user is lost; their NULL keys are spread. When the shelves are broadcast
     the rows never leave the user's partition, so the final grouping needs no
     further shuffle.
     """
-    columns = [c for c in shelves.columns if c != "category"]
-    if len(slots) == 1:
-        ((name, category),) = slots.items()
-        found = shelves.select("category", F.struct(*columns).alias(f"{name}_shelf"))
-        return left_join_sparse(
-            users.withColumn("_category", category), found, "_category", "user_id", "category"
-        ).drop("_category")
     attributes = [c for c in users.columns if c != "user_id"]
-    slot = F.inline(
-        F.array(*[F.struct(F.lit(n).alias("slot"), c.alias("_category")) for n, c in slots.items()])
+    entries = F.array(
+        *[F.struct(F.lit(n).alias("slot"), c.alias("_category")) for n, c in slots.items()]
     )
-    rows = users.select("user_id", F.struct(*attributes).alias("_user"), slot)
+    rows = users.select(
+        "user_id", F.struct(*attributes).alias("_user"), F.inline(entries)
+    ).withColumn("_place", F.lit(0))
+    if related_of:
+        names = (
+            relations.filter(F.col("rel_rank") <= n_related)
+            .groupBy("category")
+            .agg(
+                F.array_sort(F.collect_list(F.struct("rel_rank", "related_category")))[
+                    "related_category"
+                ].alias("_names")
+            )
+        )
+        rows = left_join_sparse(rows, names, "_category", "user_id", right_key="category")
+        more = F.when(
+            F.col("slot").isin(*related_of) & F.col("_names").isNotNull(),
+            F.transform(
+                "_names", lambda x, k: F.struct(x.alias("_category"), (k + 1).alias("_place"))
+            ),
+        ).otherwise(F.array().cast("array<struct<_category:string,_place:int>>"))
+        own = F.array(F.struct("_category", "_place"))
+        rows = rows.select("user_id", "_user", "slot", F.inline(F.concat(own, more)))
+    columns = [c for c in shelves.columns if c != "category"]
     joined = left_join_sparse(rows, shelves, "_category", "user_id", right_key="category")
-    found = F.struct(*columns)
+    found = F.struct(F.col("_category").alias("category"), *columns)
+    own, related = F.col("_place") == 0, F.col("_place") > 0
+    pick = lambda name: F.first(
+        F.when((F.col("slot") == name) & own, found), ignorenulls=True
+    )
+    collect = lambda name: F.array_sort(
+        F.collect_list(
+            F.when((F.col("slot") == name) & related, F.struct("_place", found.alias("shelf")))
+        )
+    )["shelf"]
     return (
         joined.groupBy("user_id")
         .agg(
             F.first("_user").alias("_user"),
-            *[
-                F.max_by(
-                    F.when(F.col("slot") == name, found),
-                    F.when(F.col("slot") == name, F.lit(1)),
-                ).alias(f"{name}_shelf")
-                for name in slots
-            ],
+            *[pick(name).alias(f"{name}_shelf") for name in slots],
+            *[collect(name).alias(f"{name}_related") for name in related_of],
+        )
+        .select(
+            "user_id",
+            "_user.*",
+            *[f"{name}_shelf" for name in slots],
+            *[f"{name}_related" for name in related_of],
         )
-        .select("user_id", "_user.*", *[f"{name}_shelf" for name in slots])
     )
