@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 AsOf = datetime | str
 
@@ -15,13 +16,14 @@ def to_datetime(as_of: AsOf) -> datetime:
 
 
 def time_literal(df: DataFrame, ts: str, value: AsOf) -> Column:
-    """A constant of the same timestamp type as ``df[ts]``.
+    """A constant of the same timestamp type as ``df[ts]``; ``value`` is in UTC.
 
     Being a foldable cast of a string, it reaches the Parquet scan as a pushed
     filter for both timestamp types.
     """
     text = to_datetime(value).isoformat(sep=" ")
-    return F.lit(text).cast(df.schema[ts].dataType)
+    kind = df.schema[ts].dataType
+    return F.lit(f"{text}Z" if isinstance(kind, T.TimestampType) else text).cast(kind)
 
 
 def trailing_window(df: DataFrame, as_of: AsOf, ts: str = "ts", **interval) -> DataFrame:

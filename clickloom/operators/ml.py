@@ -87,32 +87,30 @@ def split_ratings(
 def index_ids(ratings: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Integer indices for user and product ids, with the label tables.
 
-    Integer ids inside the ALS range are used as they are; otherwise the index
-    comes from a ``StringIndexer``, whose labels become a table for the way back.
+    Integer ids inside the ALS range are their own index and need no label
+    table. Otherwise the index comes from a ``StringIndexer`` and the labels
+    become a table for the way back.
     """
+    pairs = (("user_id", "user_index"), ("product_id", "product_index"))
+    whole = [
+        c
+        for c, _ in pairs
+        if ratings.schema[c].dataType.simpleString() in ("int", "bigint", "smallint", "tinyint")
+    ]
+    fits = {}
+    if whole:
+        fits = ratings.agg(
+            *[((F.min(c) >= 0) & (F.max(c) <= INT_MAX)).alias(c) for c in whole]
+        ).first().asDict()
     labels: dict[str, DataFrame] = {}
     out = ratings
-    for column, index in (("user_id", "user_index"), ("product_id", "product_index")):
-        kind = ratings.schema[column].dataType.simpleString()
-        if kind in ("int", "bigint", "smallint", "tinyint"):
-            fits = (
-                ratings.agg(((F.min(column) >= 0) & (F.max(column) <= INT_MAX)).alias("ok"))
-                .first()["ok"]
-            )
-            if fits:
-                out = out.withColumn(index, F.col(column).cast("int"))
-                labels[column] = out.select(index, column).distinct()
-                continue
-        model = StringIndexer(
-            inputCol=column, outputCol=index, stringOrderType="frequencyDesc"
-        ).fit(out.withColumn(column, F.col(column).cast("string")))
-        text = out.withColumn("_id", F.col(column)).withColumn(column, F.col(column).cast("string"))
-        out = (
-            model.transform(text)
-            .withColumn(column, F.col("_id"))
-            .drop("_id")
-            .withColumn(index, F.col(index).cast("int"))
-        )
+    for column, index in pairs:
+        if fits.get(column):
+            out = out.withColumn(index, F.col(column).cast("int"))
+            continue
+        text = out.withColumn("_text", F.col(column).cast("string"))
+        model = StringIndexer(inputCol="_text", outputCol=index).fit(text)
+        out = model.transform(text).withColumn(index, F.col(index).cast("int")).drop("_text")
         labels[column] = out.select(index, column).distinct()
     return out, labels
 
@@ -231,33 +229,55 @@ def cf_performance(test: DataFrame, predictions: DataFrame) -> DataFrame:
 
 def index_to_label(recs: DataFrame, labels: Mapping[str, DataFrame]) -> DataFrame:
     """Original ids for the indices in (user_index, product_index, ...) rows."""
-    return recs.join(labels["product_id"], "product_index").join(
-        labels["user_id"], "user_index"
-    ).drop("user_index", "product_index")
+    for column, index in (("product_id", "product_index"), ("user_id", "user_index")):
+        if column in labels:
+            recs = recs.join(labels[column], index)
+        elif index in recs.columns:
+            recs = recs.withColumn(column, F.col(index).cast("long"))
+        recs = recs.drop(index)
+    return recs
 
 
 def recommend_for_all(
     model: ALSModel, labels: Mapping[str, DataFrame], as_of: str, n: int = 10
 ) -> DataFrame:
-    """Top ``n`` products per user as ranked lists with original ids."""
+    """Top ``n`` products per user as ranked lists with original ids.
+
+    The lists are only taken apart and put together again when product indices
+    have to be turned back into labels.
+    """
     lists = model.recommendForAllUsers(n)
-    rows = list_rank(lists).select(
-        "user_index", "rank", F.col("product_index"), F.col("rating").alias("predicted_rating")
-    )
-    named = index_to_label(rows, labels)
-    entry = F.struct("rank", "product_id", "predicted_rating")
-    return named.groupBy("user_id").agg(
-        F.transform(
-            F.array_sort(F.collect_list(entry)),
-            lambda e: F.struct(
-                e["product_id"].alias("product_id"),
-                e["predicted_rating"].alias("predicted_rating"),
-                e["rank"].alias("rank"),
+    if "product_id" in labels:
+        rows = list_rank(lists).withColumnRenamed("rating", "predicted_rating")
+        named = index_to_label(rows, labels)
+        entry = F.struct("rank", "product_id", "predicted_rating")
+        out = named.groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("_list"))
+    else:
+        ranked = F.transform(
+            "recommendations",
+            lambda e, k: F.struct(
+                (k + 1).alias("rank"),
+                e["product_index"].cast("long").alias("product_id"),
+                e["rating"].alias("predicted_rating"),
             ),
-        ).alias("recommendations")
-    ).select(
+        )
+        users = lists.select("user_index", ranked.alias("_list"))
+        out = (
+            users.join(labels["user_id"], "user_index")
+            if "user_id" in labels
+            else users.withColumn("user_id", F.col("user_index").cast("long"))
+        )
+    entries = F.transform(
+        "_list",
+        lambda e: F.struct(
+            e["product_id"].alias("product_id"),
+            e["predicted_rating"].alias("predicted_rating"),
+            e["rank"].alias("rank"),
+        ),
+    )
+    return out.select(
         "user_id",
-        "recommendations",
+        entries.alias("recommendations"),
         F.lit(ALGORITHM).alias("algorithm"),
         F.lit(str(as_of)).alias("generated_at"),
     )

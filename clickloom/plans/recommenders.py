@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import weights
 from clickloom.functions.ranking import best_key, seeded_key
-from clickloom.functions.times import AsOf
+from clickloom.functions.times import AsOf, time_literal
 from clickloom.model import SHOP_DEFAULT_CATEGORY
 from clickloom.operators import projections, windows
 from clickloom.plans.picks import BLOCK_TYPE, PICK_TYPE, block, blocks, blocks_of, fill
@@ -480,7 +480,5 @@ def append_history(history: DataFrame, lists: DataFrame, products: DataFrame, as
         "user_id", F.posexplode("recommendations").alias("position", "entry")
     ).select("user_id", F.col("entry.product_id").alias("product_id"), "position")
     rows = rows.join(products.select("product_id", "category"), "product_id")
-    stamped = rows.withColumn(
-        "ts", F.lit(str(as_of)).cast(history.schema["ts"].dataType)
-    ).withColumn("position", F.col("position").cast(history.schema["position"].dataType))
+    stamped = rows.withColumn("ts", time_literal(history, "ts", as_of)).withColumn("position", F.col("position").cast(history.schema["position"].dataType))
     return windows.bounded_recommendations(history.unionByName(stamped)).drop("rank")

@@ -93,14 +93,25 @@ def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def read_keyed(
-    spark: SparkSession, path: str, keys: Sequence[str], as_of: AsOf, schema: str | None = None
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    as_of: AsOf,
+    schema: str | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """Live rows of a keyed table. ``schema`` describes a table not yet written."""
+    """Live rows of a keyed table. ``schema`` describes a table not yet written.
+
+    ``only`` restricts the read to the keys it holds before versions are folded,
+    so a micro-batch shuffles the rows of its own keys and not the whole table.
+    """
     rows = _history(spark, path)
     if rows is None:
         if schema is None:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
+    if only is not None:
+        rows = rows.join(only.select(*keys).distinct(), list(keys), "left_semi")
     live = F.col("expires_at") > F.lit(to_datetime(as_of).isoformat(sep=" ")).cast("timestamp_ntz")
     return _newest(rows, keys).filter(live).drop("version")
 

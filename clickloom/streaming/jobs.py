@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions.ranking import top_n_per_group
@@ -35,10 +36,10 @@ SESSIONS = (
 
 def batch_time(batch: DataFrame) -> datetime | None:
     """Newest event time of a micro-batch (one-row aggregate), in UTC."""
-    newest = batch.agg(
-        F.date_format(F.to_utc_timestamp(F.max("ts").cast("timestamp"), F.current_timezone()),
-                      "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")
-    ).first()["t"]
+    newest = F.max("ts")
+    if isinstance(batch.schema["ts"].dataType, T.TimestampType):
+        newest = F.to_utc_timestamp(newest, F.current_timezone())
+    newest = batch.agg(F.date_format(newest, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).first()["t"]
     return None if newest is None else datetime.fromisoformat(newest)
 
 
@@ -155,7 +156,7 @@ def refresh_batch(
         if as_of is None:
             return
         spark = batch.sparkSession
-        stored = keyed.read_keyed(spark, store, ["user_id"], as_of, STORED)
+        stored = keyed.read_keyed(spark, store, ["user_id"], as_of, STORED, only=batch)
         trending, shelf = candidates()
         lists = refresh_recommendations(batch, stored, trending, shelf)
         keyed.publish_keyed(lists, store, keyed.TTL["recommendations"], as_of, batch_id)
@@ -185,9 +186,10 @@ def session_batch(batch: DataFrame, batch_id: int, store: str, ttl: int = keyed.
     if as_of is None:
         return
     new = session_activity(batch.withColumn("ts", F.col("ts").cast("timestamp")))
-    old = keyed.read_keyed(batch.sparkSession, store, ["session_id"], as_of, SESSIONS)
-    touched = old.join(new.select("session_id"), "session_id", "left_semi").select(*new.columns)
-    both = new.unionByName(touched)
+    old = keyed.read_keyed(
+        batch.sparkSession, store, ["session_id"], as_of, SESSIONS, only=new
+    ).select(*new.columns)
+    both = new.unionByName(old)
     merged = both.groupBy("session_id").agg(
         F.max_by("user_id", "last_activity").alias("user_id"),
         F.max("last_activity").alias("last_activity"),
