@@ -35,11 +35,17 @@ PROFILE_CATEGORY_TYPES = ("product_view", "click", "recommendation_click")
 PROFILE_PRICE_TYPES = ("product_view", "click")
 
 
+def times_seen(interactions: DataFrame) -> Column:
+    """How many interactions a row stands for: its ``n``, where rows are counted already."""
+    return F.col("n") if "n" in interactions.columns else F.lit(1).cast("long")
+
+
 def pair_scores(interactions: DataFrame, scoring: weights.Scoring) -> DataFrame:
     """Score and count per (user, product)."""
     points = weights.score_of(F.col("interaction_type"), scoring)
+    seen = times_seen(interactions)
     return interactions.groupBy("user_id", "product_id").agg(
-        F.sum(points).alias("score"), F.count("*").alias("n")
+        F.sum(points * seen).alias("score"), F.sum(seen).alias("n")
     )
 
 
@@ -96,10 +102,11 @@ def segment_of(total: Column, ctr: Column) -> Column:
 def user_segments_rule(interactions: DataFrame, products: DataFrame) -> DataFrame:
     """Volume, variety, average price, click-through rate and rule segment per user."""
     kind = F.col("interaction_type")
+    seen = times_seen(interactions)
     pairs = interactions.groupBy("user_id", "product_id").agg(
-        F.count("*").alias("n"),
-        F.count_if(click_like(kind)).alias("clicks"),
-        F.count_if(kind == "view").alias("views"),
+        F.sum(seen).alias("n"),
+        F.sum(F.when(click_like(kind), seen).otherwise(0)).alias("clicks"),
+        F.sum(F.when(kind == "view", seen).otherwise(0)).alias("views"),
     )
     goods = products.select("product_id", "category", exact_money(F.col("price")).alias("price"))
     users = (
@@ -375,7 +382,7 @@ def profile_entries(
     edges: Sequence[float] = PRICE_EDGES,
     labels: Sequence[str] = PRICE_LABELS,
 ) -> DataFrame:
-    """(user, kind, value) rows: the category and the price band of an event."""
+    """(user, time, kind, value) rows: the category and the price band of an event."""
     kind = F.col("event_type")
     category = F.when(
         kind.isin(*category_types), F.try_element_at("data", F.lit("category"))
@@ -391,7 +398,7 @@ def profile_entries(
         )
     )
     known = events.filter(kind.isin(*{*category_types, *price_types}))
-    return known.select("user_id", entry).filter(F.col("value").isNotNull() & (F.col("value") != ""))
+    return known.select("user_id", "ts", entry).filter(F.col("value").isNotNull() & (F.col("value") != ""))
 
 
 def user_profile_counters(
@@ -407,16 +414,16 @@ def user_profile_counters(
     )
 
 
+def clicked_recommendations(events: DataFrame) -> DataFrame:
+    """(product_id, time) of each click on a recommended product."""
+    product = F.try_element_at("data", F.lit("product_id")).try_cast("long")
+    rows = events.filter(F.col("event_type") == "recommendation_click")
+    return rows.select(product.alias("product_id"), "ts").filter(F.col("product_id").isNotNull())
+
+
 def recommendation_clicks(events: DataFrame) -> DataFrame:
     """Clicks per recommended product."""
-    product = F.try_element_at("data", F.lit("product_id")).try_cast("long")
-    return (
-        events.filter(F.col("event_type") == "recommendation_click")
-        .select(product.alias("product_id"))
-        .filter(F.col("product_id").isNotNull())
-        .groupBy("product_id")
-        .agg(F.count("*").alias("clicks"))
-    )
+    return clicked_recommendations(events).groupBy("product_id").agg(F.count("*").alias("clicks"))
 
 
 def shopping_patterns(interactions: DataFrame) -> DataFrame:
@@ -483,13 +490,3 @@ def user_interests(
         .groupBy("user_id", "kind", "value")
         .agg(F.count("*").alias("count"), F.min("ts").alias("first_ts"))
     )
-
-
-def family_scores(interactions: DataFrame) -> DataFrame:
-    """Points per (user, family, category) of the staged recommender's scores."""
-    return (
-        with_cascade_family(interactions)
-        .filter(F.col("family").isNotNull() & F.col("category").isNotNull())
-        .groupBy("user_id", "family", "category")
-        .agg(F.sum("score").alias("score"))
-    )

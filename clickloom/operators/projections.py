@@ -175,7 +175,3 @@ def hydrate_ranked(lists: DataFrame, products: DataFrame, ids: str = "product_id
 
 def lookup_product(products: DataFrame, product_id: int) -> DataFrame:
     return products.filter(F.col("product_id") == product_id)
-
-
-def minute_of(ts: str = "ts") -> Column:
-    return bucket_start(ts, "1 minute")

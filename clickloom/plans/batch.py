@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.times import AsOf, to_datetime, trailing_window
+from clickloom.functions.times import AsOf, time_literal, to_datetime, trailing_window
 from clickloom.operators import aggregates, ml
 from clickloom.sources import keyed, sinks
 
@@ -38,30 +38,37 @@ def run_behaviour_batch(
 ) -> None:
     """Preferences, ALS lists, trending products and rule segments, published."""
     version = version_of(as_of)
+    spark = interactions.sparkSession
 
-    def publish(df: DataFrame, name: str) -> None:
-        keyed.publish_keyed(df, f"{root}/{name}", keyed.TTL[name], as_of, version)
+    def publish(df: DataFrame, name: str, keys: list[str]) -> None:
+        path = f"{root}/{name}"
+        keyed.publish_keyed(df, path, keys, keyed.TTL[name], as_of, version)
+        keyed.compact(spark, path, keys, as_of)
 
     recent = trailing_window(interactions, as_of, days=days).select(
         "user_id", "product_id", "interaction_type", "ts"
     )
-    publish(aggregates.category_preferences(recent, products), "user_preferences")
+    # counts per user, product and type give all results but the trend of the last days
+    reduced = recent.groupBy("user_id", "product_id", "interaction_type").agg(F.count("*").alias("n"))
+    reduced = reduced.persist(StorageLevel.MEMORY_AND_DISK)
+    publish(aggregates.category_preferences(reduced, products), "user_preferences", ["user_id", "category"])
+    publish(aggregates.trending_products(recent, products, as_of), "trending_products", ["product_id"])
     publish(
-        aggregates.trending_products(recent, products, as_of), "trending_products"
-    )
-    publish(
-        aggregates.user_segments_rule(recent, products).select("user_id", "segment"),
+        aggregates.user_segments_rule(reduced, products).select("user_id", "segment"),
         "user_segment",
+        ["user_id"],
     )
-    ratings, labels = ml.index_ids(preference_ratings(recent, products))
+    ratings, labels = ml.index_ids(preference_ratings(reduced, products))
     ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     model = ml.train_als(ml.split_ratings(ratings).train, blocks=als_blocks)
     lists = ml.recommend_for_all(model, labels, str(as_of), n)
     publish(
         lists.select("user_id", F.col("recommendations.product_id").cast("array<bigint>").alias("product_ids")),
         "recommendations",
+        ["user_id"],
     )
     ratings.unpersist()
+    reduced.unpersist()
 
 
 def run_segmentation(
@@ -90,8 +97,9 @@ def run_collaborative(
     grid=ml.ALS_GRID,
     als_blocks: int | None = None,
 ) -> DataFrame:
-    """Implicit ratings, tuned ALS, its metrics, stored model and lists."""
-    ratings, labels = ml.index_ids(aggregates.implicit_ratings(interactions))
+    """Implicit ratings up to ``as_of``, tuned ALS, its metrics, stored model and lists."""
+    past = interactions.where(F.col("ts") <= time_literal(interactions, "ts", as_of))
+    ratings, labels = ml.index_ids(aggregates.implicit_ratings(past))
     ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     parts = ml.split_ratings(ratings, validation=0.16, test=0.2)
     model, _, _ = ml.tune_als(parts.train, parts.validation, grid, als_blocks)

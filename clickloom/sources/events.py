@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.functions import scalars
 from clickloom.model import EVENT_SCHEMA
 
 RAW_SCHEMA = "value binary, timestamp timestamp"
@@ -44,21 +45,24 @@ def file_source(spark: SparkSession, path: str, files_per_trigger: int | None =
     )
 
 
-def parse_events(raw: DataFrame) -> DataFrame:
+def parse_events(raw: DataFrame, rejects: bool = False) -> DataFrame:
     """Typed events of JSON records; records without a type are left out.
 
-    A missing event id is derived from the record, so a repeated delivery gets
-    the same id. A category at the top level moves into ``data``.
+    ``rejects`` keeps these, with a NULL event type and their text. A missing
+    event id is derived from the record, so a repeated delivery gets the same
+    id. A payload that is no object becomes ``{info: text}``. A category at the
+    top level moves into ``data``.
     """
     text = F.col("value").cast("string")
     parsed = raw.select(text.alias("_raw"), F.from_json(text, EVENT_SCHEMA).alias("e"))
-    data = F.coalesce("e.data", F.create_map().cast("map<string,string>"))
+    data = F.coalesce("e.data", scalars.payload_map(F.get_json_object("_raw", "$.data")))
     flat = F.col("e.category").isNotNull() & F.try_element_at(data, F.lit("category")).isNull()
     merged = F.when(
         flat, F.map_concat(F.map_filter(data, lambda k, v: k != "category"),
                            F.create_map(F.lit("category"), F.col("e.category")))
     ).otherwise(data)
-    return parsed.filter(F.col("e.event_type").isNotNull()).select(
+    known = parsed if rejects else parsed.filter(F.col("e.event_type").isNotNull())
+    return known.select(
         F.coalesce("e.event_id", F.sha2("_raw", 256)).alias("event_id"),
         F.col("e.user_id").alias("user_id"),
         F.col("e.event_type").alias("event_type"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster job should carry. Partition counts follow the data through
 # adaptive coalescing; the advisory size keeps a shuffle partition well inside
@@ -32,3 +34,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> b
         return False
     context.setCheckpointDir(folder)
     return True
+
+
+def require_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder; a local session without one gets a temporary folder."""
+    if not ensure_checkpoint_dir(spark):
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="checkpoints-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder, its lineage cut."""
+    require_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

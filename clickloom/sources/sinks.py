@@ -9,15 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def write_partitioned(df: DataFrame, path: str, columns: Sequence[str] = ("category",), spread: int = 8) -> None:
+def write_partitioned(df: DataFrame, path: str, columns: Sequence[str] = ("category",)) -> None:
     """Overwrite a Parquet table partitioned by the columns.
 
-    Rows go to ``spread`` tasks per partition value: enough to keep the number of
-    files low without sending a hot category to a single writer.
+    Rows of a value are brought together and dealt out by size: small values
+    share a task, a hot one gets as many writers as it has advisory partitions.
     """
-    piece = F.pmod(F.xxhash64(*[c for c in df.columns if c not in columns]), F.lit(spread))
     (
-        df.repartition(*columns, piece)
+        df.hint("rebalance", *columns)
         .write.mode("overwrite")
         .partitionBy(*columns)
         .parquet(path)
@@ -32,33 +31,38 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int, ts: str = "ts") -> None:
+def append_batch(
+    df: DataFrame, path: str, batch_id: int, writer: str = "batch", ts: str = "ts"
+) -> None:
     """Append one micro-batch by date; writing the same batch again replaces it.
 
-    Only the (date, batch) directories of this batch are overwritten, so a replay
-    after a failure neither loses nor repeats rows.
+    Only the (date, writer, batch) directories of this batch are overwritten, so
+    a replay after a failure neither loses nor repeats rows, and a stream that
+    starts anew under another writer replaces nothing.
     """
     rows = df.withColumns(
-        {"event_date": F.to_date(ts), "batch_id": F.lit(batch_id).cast("long")}
+        {"event_date": F.to_date(ts), "writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("long")}
     )
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
+        .partitionBy("event_date", "writer", "batch_id")
         .parquet(path)
     )
 
 
-def append_raw_events(events: DataFrame, path: str, batch_id: int) -> None:
+def append_raw_events(events: DataFrame, path: str, batch_id: int, writer: str = "batch") -> None:
     """Keep the whole text of every event."""
     rows = events.select(
         "user_id", "event_type", F.col("raw").alias("event_data"), "ts"
     )
-    append_batch(rows, path, batch_id)
+    append_batch(rows, path, batch_id, writer)
 
 
-def append_interactions(interactions: DataFrame, path: str, batch_id: int) -> None:
-    append_batch(interactions, path, batch_id)
+def append_interactions(
+    interactions: DataFrame, path: str, batch_id: int, writer: str = "batch"
+) -> None:
+    append_batch(interactions, path, batch_id, writer)
 
 
 def kafka_sink(

@@ -1,13 +1,14 @@
 """Streaming jobs: the event router, the list refresh and the session table.
 
 Each job is one ``foreachBatch`` query with a checkpoint. A batch writes only
-directories or versions named after its batch id, so a replayed batch replaces
-its own output. The clock of a batch is its newest event time.
+directories or versions named after the stream and its batch id and reads none
+of them, so a replayed batch replaces its own output and nothing else. The clock
+of a batch is its newest event time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -16,12 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.functions.ranking import top_n_per_group
-from clickloom.functions.times import AsOf, to_datetime, trailing_window
-from clickloom.operators import aggregates, projections, windows
+from clickloom.functions.times import AsOf
+from clickloom.operators import projections, windows
 from clickloom.plans.refresh import refresh_recommendations
 from clickloom.sources import keyed, sinks
-from clickloom.streaming.stateful import product_actions, session_activity
+from clickloom.streaming import counters
+from clickloom.streaming.stateful import session_activity
 
 TRIGGER = "30 seconds"
 STORED = (
@@ -45,14 +46,22 @@ def batch_time(batch: DataFrame) -> datetime | None:
 
 def start_batches(
     stream: DataFrame,
-    body: Callable[[DataFrame, int], None],
+    body: Callable[[DataFrame, int, str], None],
+    name: str,
     checkpoint: str,
     available_now: bool = False,
+    mode: str = "append",
 ) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    """Run ``body(batch, batch id, writer)``; the writer belongs to the checkpoint."""
+    writer = keyed.writer_of(stream.sparkSession, checkpoint, name)
+    query = (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(lambda batch, batch_id: body(batch, batch_id, writer))
+        .option("checkpointLocation", checkpoint)
+    )
     if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=TRIGGER).start()
+        return query.trigger(availableNow=True).start()
+    return query.trigger(processingTime=TRIGGER).start()
 
 
 # ------------------------------------------------------------------- router
@@ -63,49 +72,31 @@ def route_batch(
     batch_id: int,
     root: str,
     forward: Callable[[DataFrame, int], None] | None = None,
+    writer: str = "router",
 ) -> None:
     """Store and count one batch of parsed events.
 
     Raw events, interactions, counter increments and history entries are
-    appended under the batch id; ``forward`` receives the messages for the
-    processing topic. Counters and histories are folded when they are read.
+    appended under the batch id; rejects (rows without an event type) are kept
+    with their text; ``forward`` receives the messages for the processing
+    topic. Counters and histories are folded when they are read.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sinks.append_raw_events(batch, f"{root}/raw_events", batch_id)
-        sinks.append_interactions(
-            projections.to_interaction(batch), f"{root}/interactions", batch_id
-        )
-        part = F.lit(batch_id).cast("long").alias("batch_id")
-
-        def store(rows: DataFrame, name: str) -> None:
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "batch_id"
-            ).parquet(f"{root}/{name}")
-
-        count = F.count("*").alias("n")
-        actions = product_actions(batch)
-        store(
-            actions.groupBy("product_id", "action").agg(count).select("*", part),
-            "product_counters",
+        events = batch.where("event_type is not null")
+        rejects = batch.where("event_type is null").select("raw")
+        sinks.append_batch(
+            rejects.withColumn("ts", F.current_timestamp()), f"{root}/rejected_events", batch_id, writer
         )
-        store(
-            aggregates.user_profile_counters(batch).select(
-                "user_id", "kind", "value", F.col("count").alias("n"), part
-            ),
-            "profile_counters",
-        )
-        store(
-            aggregates.recommendation_clicks(batch).select(
-                "product_id", F.col("clicks").alias("n"), part
-            ),
-            "recommendation_clicks",
+        sinks.append_raw_events(events, f"{root}/raw_events", batch_id, writer)
+        sinks.append_interactions(
+            projections.to_interaction(events), f"{root}/interactions", batch_id, writer
         )
+        counters.store_counters(events, root, batch_id, writer)
         for kind in windows.HISTORIES:
-            entries = windows.bounded_history(batch, kind).drop("rank")
-            store(entries.select("*", part), f"history/{kind}")
+            counters.store_history(events, root, kind, batch_id, writer)
         if forward is not None:
-            forward(sinks.as_messages(batch), batch_id)
+            forward(sinks.as_messages(events), batch_id)
     finally:
         batch.unpersist()
 
@@ -117,27 +108,22 @@ def event_router(
     forward: Callable[[DataFrame, int], None] | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """One pass over the event stream into all stores."""
+    """One pass over the event stream into all stores.
+
+    ``events`` come from ``parse_events``, with ``rejects=True`` to have broken
+    records stored, too.
+    """
     return start_batches(
-        events, lambda b, i: route_batch(b, i, root, forward), checkpoint, available_now
+        events, lambda b, i, w: route_batch(b, i, root, forward, w), "router", checkpoint, available_now
     )
 
 
-def read_counters(spark: SparkSession, path: str) -> DataFrame:
-    """Totals of the counter increments stored by the router."""
-    rows = spark.read.parquet(path)
-    keys = [c for c in rows.columns if c not in ("n", "batch_id")]
-    return rows.groupBy(*keys).agg(F.sum("n").alias("count"))
-
-
-def read_history(spark: SparkSession, root: str, kind: str, as_of: AsOf) -> DataFrame:
-    """Newest live entries of one history kind per user."""
-    keep = windows.HISTORIES[kind][1]
-    rows = spark.read.parquet(f"{root}/history/{kind}").drop("batch_id")
-    live = trailing_window(rows, as_of, seconds=keyed.TTL[kind])
-    return top_n_per_group(
-        live, ["user_id"], windows.newest_first("ts", "event_id"), keep, spread_by="event_id"
-    )
+def fold_stores(spark: SparkSession, root: str, as_of: AsOf) -> None:
+    """Fold the increments and entries of the router; for the batch job."""
+    for name in counters.COUNTERS:
+        counters.fold_counters(spark, root, name, as_of)
+    for kind in windows.HISTORIES:
+        counters.fold_history(spark, root, kind, as_of)
 
 
 # ------------------------------------------------------------------ refresh
@@ -148,6 +134,7 @@ def refresh_batch(
     batch_id: int,
     store: str,
     candidates: Callable[[], tuple[DataFrame, DataFrame]],
+    writer: str = "refresh",
 ) -> None:
     """Refresh the lists of the users of one batch and publish them."""
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -156,10 +143,14 @@ def refresh_batch(
         if as_of is None:
             return
         spark = batch.sparkSession
-        stored = keyed.read_keyed(spark, store, ["user_id"], as_of, STORED, only=batch)
+        stored = keyed.read_keyed(
+            spark, store, ["user_id"], as_of, STORED, only=batch, before=(writer, batch_id)
+        )
         trending, shelf = candidates()
         lists = refresh_recommendations(batch, stored, trending, shelf)
-        keyed.publish_keyed(lists, store, keyed.TTL["recommendations"], as_of, batch_id)
+        keyed.publish_keyed(
+            lists, store, ["user_id"], keyed.TTL["recommendations"], as_of, batch_id, writer
+        )
     finally:
         batch.unpersist()
 
@@ -173,46 +164,56 @@ def stream_refresh(
 ) -> StreamingQuery:
     """Keep the stored lists fresh; ``candidates`` returns (trending, shelf)."""
     return start_batches(
-        events, lambda b, i: refresh_batch(b, i, store, candidates), checkpoint, available_now
+        events, lambda b, i, w: refresh_batch(b, i, store, candidates, w), "refresh", checkpoint, available_now
     )
 
 
 # ----------------------------------------------------------------- sessions
 
 
-def session_batch(batch: DataFrame, batch_id: int, store: str, ttl: int = keyed.DAY) -> None:
+def session_batch(
+    batch: DataFrame, batch_id: int, store: str, ttl: int = keyed.DAY, writer: str = "sessions"
+) -> None:
     """Upsert the sessions seen in one batch; a late event never turns one back."""
-    as_of = batch_time(batch)
-    if as_of is None:
-        return
-    new = session_activity(batch.withColumn("ts", F.col("ts").cast("timestamp")))
-    old = keyed.read_keyed(
-        batch.sparkSession, store, ["session_id"], as_of, SESSIONS, only=new
-    ).select(*new.columns)
-    both = new.unionByName(old)
-    merged = both.groupBy("session_id").agg(
-        F.max_by("user_id", "last_activity").alias("user_id"),
-        F.max("last_activity").alias("last_activity"),
-        F.min("created_at").alias("created_at"),
-    )
-    keyed.publish_keyed(merged, store, ttl, as_of, batch_id)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        as_of = batch_time(batch)
+        if as_of is None:
+            return
+        new = session_activity(batch.withColumn("ts", F.col("ts").cast("timestamp")))
+        new = new.persist(StorageLevel.MEMORY_AND_DISK)
+        old = keyed.read_keyed(
+            batch.sparkSession, store, ["session_id"], as_of, SESSIONS, only=new, before=(writer, batch_id)
+        ).select(*new.columns)
+        both = new.unionByName(old)
+        merged = both.groupBy("session_id").agg(
+            F.max_by("user_id", "last_activity").alias("user_id"),
+            F.max("last_activity").alias("last_activity"),
+            F.min("created_at").alias("created_at"),
+        )
+        keyed.publish_keyed(merged, store, ["session_id"], ttl, as_of, batch_id, writer)
+        new.unpersist()
+    finally:
+        batch.unpersist()
 
 
 def stream_sessions(
     events: DataFrame, store: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     return start_batches(
-        events, lambda b, i: session_batch(b, i, store), checkpoint, available_now
+        events, lambda b, i, w: session_batch(b, i, store, writer=w), "sessions", checkpoint, available_now
     )
 
 
 def publish_counts(
-    counters: DataFrame, store: str, checkpoint: str, as_of: AsOf, ttl: int, available_now: bool = False
+    counts: DataFrame, store: str, keys: Sequence[str], checkpoint: str, ttl: int, available_now: bool = False
 ) -> StreamingQuery:
-    """Publish the changed rows of a running aggregate (update mode) by key."""
-    writer = (
-        counters.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda b, i: keyed.publish_keyed(b, store, ttl, to_datetime(as_of), i))
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=TRIGGER)).start()
+    """Publish the changed rows of a running aggregate by key.
+
+    A row lives ``ttl`` seconds from its ``last_ts`` on, the newest event that it counts.
+    """
+
+    def body(batch: DataFrame, batch_id: int, writer: str) -> None:
+        keyed.publish_keyed(batch, store, keys, ttl, F.col("last_ts"), batch_id, writer)
+
+    return start_batches(counts, body, "counts", checkpoint, available_now, mode="update")

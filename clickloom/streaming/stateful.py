@@ -20,45 +20,64 @@ def event_time(events: DataFrame) -> DataFrame:
 
 
 def dedup_events(
-    events: DataFrame, delay: str = "10 minutes", by_content: bool = False
+    events: DataFrame, delay: str = "10 minutes", by_content: bool = False, seconds: int = 2
 ) -> DataFrame:
-    """Drop repeated deliveries inside the watermark delay.
-
-    By event id; ``by_content`` also treats two events of one user with the same
-    product and normalised type as one, which removes double tracking.
+    """Drop repeated deliveries.
+
+    By event id, inside the watermark delay. ``by_content`` drops double
+    tracking instead: events of one user and tab with the same normalised type
+    and the same product, query, page and category, each at most ``seconds``
+    after the one before; the first of such a run stays (by time, then id).
+    Later repeats are events of their own. Without a watermark column (a batch)
+    the whole table is one run of the stream.
     """
     marked = event_time(events).withWatermark("ts", delay)
     if not by_content:
         return marked.dropDuplicatesWithinWatermark(["event_id"])
-    keyed = normalise_event_type(marked).withColumn(
-        "_product", scalars.product_id_of(F.col("data"))
+    data = lambda name: F.try_element_at("data", F.lit(name))
+    named = normalise_event_type(marked).withColumns(
+        {
+            "_product": scalars.product_id_of(F.col("data")),
+            "_query": data("query"),
+            "_page": data("page"),
+            "_category": data("category"),
+        }
     )
-    return keyed.dropDuplicatesWithinWatermark(
-        ["user_id", "_product", "normalised_type"]
-    ).drop("_product")
+    columns = [*events.columns, "normalised_type"]
+    same = [c for c in ("user_id", "session_id") if c in events.columns]
+    run = F.session_window("ts", f"{int(seconds)} seconds")
+    # runs that a nameless user shares are told apart by the event id
+    nameless = F.when(F.coalesce(*same).isNull(), F.col("event_id"))
+    first = F.min_by(F.struct(*columns), F.struct("ts", "event_id"))
+    kept = named.groupBy(run, *same, nameless.alias("_alone"), "normalised_type", "_product", "_query", "_page", "_category")
+    return kept.agg(first.alias("_first")).select("_first.*")
 
 
 def product_actions(events: DataFrame) -> DataFrame:
-    """(product_id, action) of the events that count for a product."""
+    """(product_id, action, time) of the events that count for a product."""
     kind = F.coalesce(F.try_element_at("data", F.lit("event_type")), F.col("event_type"))
     action = F.try_element_at("data", F.lit("action"))
     product = F.try_element_at("data", F.lit("product_id")).try_cast("long")
     name = F.when(kind == "product_view", F.lit("view")).when(
         (kind == "click") & (action != ""), action
     )
-    return events.select(product.alias("product_id"), name.alias("action")).filter(
+    return events.select(product.alias("product_id"), name.alias("action"), "ts").filter(
         F.col("product_id").isNotNull() & F.col("action").isNotNull()
     )
 
 
 def stream_product_counters(events: DataFrame) -> DataFrame:
-    """Running count per (product, action); for update mode."""
-    return product_actions(events).groupBy("product_id", "action").agg(F.count("*").alias("count"))
+    """Running count per (product, action) with its newest time; for update mode."""
+    return product_actions(events).groupBy("product_id", "action").agg(
+        F.count("*").alias("count"), F.max("ts").alias("last_ts")
+    )
 
 
 def stream_profile_counters(events: DataFrame) -> DataFrame:
-    """Running category and price-band counts per user; for update mode."""
-    return aggregates.user_profile_counters(events)
+    """Running category and price-band counts per user with their newest time; for update mode."""
+    return aggregates.profile_entries(events).groupBy("user_id", "kind", "value").agg(
+        F.count("*").alias("count"), F.max("ts").alias("last_ts")
+    )
 
 
 def stream_timeline(

@@ -9,7 +9,7 @@ from clickloom.operators import aggregates, projections, windows
 from clickloom.plans.refresh import refresh_recommendations
 from clickloom.sources import events as event_source
 from clickloom.sources import keyed
-from clickloom.streaming import jobs, stateful
+from clickloom.streaming import counters, jobs, stateful
 from pyspark.sql import functions as F
 
 from conftest import AS_OF, rows
@@ -38,6 +38,10 @@ def stream(spark, folder):
     return event_source.parse_events(event_source.file_source(spark, str(folder), 1))
 
 
+def stream_with_rejects(spark, folder):
+    return event_source.parse_events(event_source.file_source(spark, str(folder), 1), rejects=True)
+
+
 def static(spark, folder):
     raw = spark.read.text(str(folder)).select(F.col("value").cast("binary").alias("value"))
     return event_source.parse_events(raw)
@@ -81,30 +85,74 @@ def test_router_stores_everything_once(spark, tmp_path):
     write_lines(tmp_path / "in", shop_batches(1))
     root, forwarded = str(tmp_path / "root"), []
     q = jobs.event_router(
-        stream(spark, tmp_path / "in"), root, str(tmp_path / "cp"),
+        stream_with_rejects(spark, tmp_path / "in"), root, str(tmp_path / "cp"),
         lambda df, i: forwarded.append((i, df.count())), available_now=True,
     )
     q.awaitTermination()
     events = static(spark, tmp_path / "in").persist()
     assert spark.read.parquet(f"{root}/raw_events").count() == events.count() == 120
+    assert [r.raw for r in spark.read.parquet(f"{root}/rejected_events").collect()] == ["broken"] * 3
     assert sorted(forwarded) == [(0, 40), (1, 40), (2, 40)]
     want = projections.to_interaction(events)
     columns = ("user_id", "product_id", "interaction_type")
     stored = spark.read.parquet(f"{root}/interactions")
     assert sorted(rows(stored, *columns)) == sorted(rows(want, *columns))
-    counted = stateful.stream_product_counters(events)
-    assert sorted(rows(jobs.read_counters(spark, f"{root}/product_counters"), "product_id", "action", "count")) == sorted(rows(counted))
-    profile = aggregates.user_profile_counters(events)
-    assert sorted(rows(jobs.read_counters(spark, f"{root}/profile_counters"), "user_id", "kind", "value", "count")) == sorted(rows(profile))
-    for kind in windows.HISTORIES:
-        got = jobs.read_history(spark, root, kind, AS_OF)
-        whole = windows.bounded_history(events, kind)
-        assert sorted(rows(got, "user_id", "rank", "event_id")) == sorted(rows(whole, "user_id", "rank", "event_id"))
+    writer = {r.writer for r in stored.select("writer").distinct().collect()}.pop()
+
+    def check():
+        counted = stateful.stream_product_counters(events)
+        got = jobs.counters.read_counters(spark, root, "product_counters", AS_OF)
+        fields = ("product_id", "action", "count")
+        assert sorted(rows(got.where("action <> 'total_interactions'"), *fields)) == sorted(rows(counted, *fields))
+        total = counted.groupBy("product_id").sum("count")
+        assert sorted(rows(got.where("action = 'total_interactions'"), "product_id", "count")) == sorted(rows(total))
+        profile = aggregates.user_profile_counters(events)
+        got = jobs.counters.read_counters(spark, root, "profile_counters", AS_OF)
+        assert sorted(rows(got, "user_id", "kind", "value", "count")) == sorted(rows(profile))
+        got = jobs.counters.read_counters(spark, root, "recommendation_clicks", AS_OF)
+        assert sorted(rows(got, "product_id", "count")) == sorted(rows(aggregates.recommendation_clicks(events)))
+        for kind in windows.HISTORIES:
+            got = jobs.counters.read_history(spark, root, kind, AS_OF)
+            whole = windows.bounded_history(events, kind)
+            assert sorted(rows(got, "user_id", "rank", "event_id")) == sorted(rows(whole, "user_id", "rank", "event_id"))
+
+    check()
     # a replayed batch replaces itself
-    first = static(spark, tmp_path / "in" / "000.json")
-    jobs.route_batch(first, 0, root)
+    first = event_source.parse_events(
+        spark.read.text(str(tmp_path / "in" / "000.json")).select(F.col("value").cast("binary").alias("value")), True
+    )
+    jobs.route_batch(first, 0, root, writer=writer)
     assert spark.read.parquet(f"{root}/raw_events").count() == 120
-    assert sorted(rows(jobs.read_counters(spark, f"{root}/product_counters"), "product_id", "action", "count")) == sorted(rows(counted))
+    check()
+    for _ in range(2):
+        jobs.fold_stores(spark, root, AS_OF)
+        check()
+    # a stream that starts anew under another checkpoint adds, whatever its batch ids
+    jobs.route_batch(first, 0, root, writer="router-other")
+    assert spark.read.parquet(f"{root}/raw_events").count() == 160
+
+
+def test_counters_live_as_long_as_they_are_written(shop):
+    day = 86_400
+    view = lambda product, age: (1, "product_view", {"product_id": str(product)}, age)
+    events = shop.events(
+        [view(1, 60 * day), view(1, 40 * day), view(1, 12 * day),  # never a pause of thirty days
+         view(2, 80 * day), view(2, 40 * day), view(2, 20 * day),  # anew after a pause
+         view(3, 31 * day),  # gone
+         (1, "click", {"product_id": "2", "action": "buy"}, day)]
+    )
+    got = counters.live_counters(counters.increments(events, "product_counters"), counters.COUNTERS["product_counters"], AS_OF)
+    assert sorted(rows(got, "product_id", "action", "count")) == [
+        (1, "total_interactions", 3), (1, "view", 3), (2, "buy", 1), (2, "total_interactions", 3), (2, "view", 2),
+    ]
+
+
+def test_history_lives_as_a_whole(shop):
+    day = 86_400
+    view = lambda user, age: (user, "product_view", {"product_id": "5"}, age)
+    events = shop.events([view(1, 0), view(1, 6 * day), view(1, 12 * day), view(1, 30 * day), view(2, 8 * day)])
+    got = counters.live_history(windows.bounded_history(events, "recent_views").drop("rank"), "recent_views", AS_OF)
+    assert sorted(rows(got, "user_id", "event_id", "rank")) == [(1, "0", 1), (1, "1", 2), (1, "2", 3)]
 
 
 def test_refresh_stream_equals_folded_batches(spark, tmp_path):
@@ -169,22 +217,54 @@ def test_sessions_stream(spark, tmp_path):
     assert got == {"tab_a": (1, 10.0), "tab_b": (1, 500.0), "tab_c": (2, 5.0)}
 
 
+def test_replayed_refresh_gives_what_one_run_gives(spark, shop, tmp_path):
+    events = shop.events([(1, "product_view", {"category": "A", "product_id": "1"}, 5)])
+    trending = spark.createDataFrame([(8, 1)], "product_id bigint, rank int")
+
+    def shelf(*ids):
+        data = [("A", p, k) for k, p in enumerate(ids, 1)]
+        return lambda: (trending, spark.createDataFrame(data, "category string, product_id bigint, rank int"))
+
+    once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
+    jobs.refresh_batch(events, 0, once, shelf(9, 11))
+    jobs.refresh_batch(events, 0, twice, shelf(1, 2, 3))
+    jobs.refresh_batch(events, 0, twice, shelf(9, 11))
+    one, two = (rows(keyed.read_keyed(spark, s, ["user_id"], AS_OF), "user_id", "product_ids") for s in (once, twice))
+    assert one == two
+
+
+def test_stream_and_batch_in_one_store(spark, shop, tmp_path):
+    store = str(tmp_path / "store")
+    lists = spark.createDataFrame([(1, [70, 71]), (2, [72])], "user_id bigint, product_ids array<bigint>")
+    early = AS_OF - timedelta(hours=1)
+    keyed.publish_keyed(lists, store, ["user_id"], keyed.TTL["recommendations"], early, 1_714_561_200, "batch")
+    trending = spark.createDataFrame([(8, 1)], "product_id bigint, rank int")
+    shelf = spark.createDataFrame([("A", 9, 1)], "category string, product_id bigint, rank int")
+    events = shop.events([(1, "product_view", {"category": "A", "product_id": "1"}, 5)])
+    for writer in ("refresh-a", "refresh-b"):  # the second checkpoint starts at batch 0 again
+        jobs.refresh_batch(events, 0, store, lambda: (trending, shelf), writer)
+    got = dict(rows(keyed.read_keyed(spark, store, ["user_id"], AS_OF), "user_id", "product_ids"))
+    assert got[1][:2] == [8, 9] and set(got[1]) == {8, 9, 70, 71} and got[2] == [72]
+
+
 def test_counter_stream_publishes_totals(spark, tmp_path):
     write_lines(tmp_path / "in", shop_batches(3))
-    counters = stateful.stream_product_counters(stream(spark, tmp_path / "in"))
+    counts = stateful.stream_product_counters(stream(spark, tmp_path / "in"))
     store = str(tmp_path / "store")
-    jobs.publish_counts(
-        counters, store, str(tmp_path / "cp"), AS_OF, keyed.TTL["product_stats"], available_now=True
-    ).awaitTermination()
-    got = keyed.read_keyed(spark, store, ["product_id", "action"], AS_OF)
+    keys, ttl = ["product_id", "action"], keyed.TTL["product_stats"]
+    jobs.publish_counts(counts, store, keys, str(tmp_path / "cp"), ttl, available_now=True).awaitTermination()
+    got = keyed.read_keyed(spark, store, keys, AS_OF)
     want = stateful.stream_product_counters(static(spark, tmp_path / "in"))
-    assert sorted(rows(got, "product_id", "action", "count")) == sorted(rows(want))
+    assert sorted(rows(got, "product_id", "action", "count")) == sorted(rows(want, "product_id", "action", "count"))
+    # a row lives from its newest event on, not from the start of the stream
+    assert keyed.read_keyed(spark, store, keys, AS_OF + timedelta(days=29)).count() == got.count()
+    assert keyed.read_keyed(spark, store, keys, AS_OF + timedelta(days=31)).count() == 0
     profile = stateful.stream_profile_counters(stream(spark, tmp_path / "in"))
-    store2 = str(tmp_path / "store2")
+    store2, keys = str(tmp_path / "store2"), ["user_id", "kind", "value"]
     jobs.publish_counts(
-        profile, store2, str(tmp_path / "cp2"), AS_OF, keyed.TTL["user_profile"], available_now=True
+        profile, store2, keys, str(tmp_path / "cp2"), keyed.TTL["user_profile"], available_now=True
     ).awaitTermination()
-    got = keyed.read_keyed(spark, store2, ["user_id", "kind", "value"], AS_OF)
+    got = keyed.read_keyed(spark, store2, keys, AS_OF)
     want = aggregates.user_profile_counters(static(spark, tmp_path / "in"))
     assert sorted(rows(got, "user_id", "kind", "value", "count")) == sorted(rows(want))
 
@@ -200,8 +280,19 @@ def test_dedup_stream(spark, tmp_path):
     )
     once = drain(stateful.dedup_events(stream(spark, tmp_path / "in")), "append", tmp_path, "id")
     assert sorted(r[0] for r in rows(once, "event_id")) == ["a", "b", "c"]
-    content = drain(stateful.dedup_events(stream(spark, tmp_path / "in"), by_content=True), "append", tmp_path, "content")
-    assert sorted(rows(content, "user_id")) == [(1,), (2,)]
+
+
+def test_dedup_by_content_loses_no_event(spark, tmp_path):
+    searches = [line(1, "search", 50, "s", f"q{k}", query=f"word {k}") for k in range(5)]
+    double = [line(1, "product_view", 40.5, "s", "v1", product_id=3), line(1, "page_load", 40, "s", "v2", product_id=3)]
+    again = [line(1, "product_view", 30, "s", "v3", product_id=3), line(2, "product_view", 40, "s", "v4", product_id=3)]
+    nameless = [line(None, "product_view", 40, None, f"n{k}", product_id=3) for k in range(2)]
+    write_lines(tmp_path / "in", [searches + double, again + nameless, [line(9, "x", -90000, "z", "end")]])
+    kept = drain(stateful.dedup_events(stream(spark, tmp_path / "in"), by_content=True), "append", tmp_path, "content")
+    want = {*(f"q{k}" for k in range(5)), "v1", "v3", "v4", "n0", "n1"}
+    assert sorted(r[0] for r in rows(kept, "event_id")) == sorted(want)
+    batch = stateful.dedup_events(static(spark, tmp_path / "in"), by_content=True)
+    assert sorted(r[0] for r in rows(batch, "event_id")) == sorted(want | {"end"})
 
 
 def test_timeline_stream_equals_batch(spark, tmp_path):
