@@ -1,25 +1,31 @@
-"""Content similarity of products from the words of their names.
+"""Content similarity of products from the words of their texts.
 
 Products with the same words in the same category are one content, so copies
-never meet pairwise. Two contents can only be similar if they share one of their
-rarest words (prefix filter, exact for the given least similarity); frequent
-words never form a join group.
+never meet pairwise. Two contents can only reach a similarity if they share one
+of their rarest words (prefix filter, exact for that similarity). Contents look
+for partners at a high similarity first; only those that find too few look on
+at a lower one, so frequent words meet few contents.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.ranking import top_n_per_group
+from clickloom.sources.session import checkpointed
 
 DIGITS = 6
+FLOORS = (0.6, 0.3)
 
 
-def content_words(products: DataFrame) -> DataFrame:
-    """(product_id, category, words): lower-case words of the name, sorted."""
-    words = F.filter(F.split(F.lower("name"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return products.filter(F.col("category").isNotNull() & F.col("name").isNotNull()).select(
+def content_words(products: DataFrame, texts: Sequence[str] = ("name", "description")) -> DataFrame:
+    """(product_id, category, words): lower-case words of the texts, sorted."""
+    text = F.lower(F.concat_ws(" ", *texts))
+    words = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return products.filter(F.col("category").isNotNull()).select(
         "product_id", "category", F.array_sort(words).alias("words")
     ).filter(F.size("words") > 0)
 
@@ -27,96 +33,109 @@ def content_words(products: DataFrame) -> DataFrame:
 def content_vectors(contents: DataFrame) -> DataFrame:
     """TF-IDF vector of each content, normalised, as (word, rarity, weight) rows.
 
-    ``contents(category, words, copies)``; document frequency counts products.
+    ``contents(content_id, category, words, copies)``; document frequency counts products.
     """
     words = contents.select(
-        "category", "words", "copies", F.explode("words").alias("word")
-    ).groupBy("category", "words", "copies", "word").agg(F.count("*").alias("tf"))
+        "content_id", "category", "copies", F.explode("words").alias("word")
+    ).groupBy("content_id", "category", "copies", "word").agg(F.count("*").alias("tf"))
     frequency = words.groupBy("word").agg(F.sum("copies").alias("df"))
     total = contents.agg(F.sum("copies").alias("n"))
     idf = F.ln((total.scalar() + 1) / (F.col("df") + 1)) + 1
     weighted = words.join(frequency, "word").withColumn("raw", F.col("tf") * idf)
-    norm = weighted.groupBy("category", "words").agg(
-        F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")
-    )
-    return weighted.join(norm, ["category", "words"]).select(
-        "category", "words", "word", "df", (F.col("raw") / F.col("norm")).alias("weight")
+    # a content has as many rows here as words
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("content_id")))
+    return weighted.select(
+        "content_id", "category", "copies", "word", "df", (F.col("raw") / norm).alias("weight")
     )
 
 
-def content_similarity(
-    products: DataFrame, n: int = 5, least: float = 0.6
-) -> DataFrame:
-    """Up to ``n`` most similar products of the same category per product.
+def _close_pairs(vectors: DataFrame, seekers: DataFrame | None, floor: float) -> DataFrame:
+    """(content_id, other, similarity) of at least ``floor`` for the seekers, or all contents.
 
-    Cosine similarity of at least ``least``, rounded; ties go to the smaller id.
+    Only ids go through the word join; the vectors meet the distinct pairs.
     """
-    items = content_words(products)
-    contents = items.groupBy("category", "words").agg(F.count("*").alias("copies"))
-    vectors = content_vectors(contents)
-
     # Words from rare to frequent; a word is in the prefix while the words from
-    # it onwards could still reach the least similarity on their own.
-    rarest = Window.partitionBy("category", "words").orderBy("df", "word")
+    # it onwards could still reach the floor on their own.
+    rarest = Window.partitionBy("content_id").orderBy("df", "word")
     onwards = rarest.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    ranked = vectors.withColumn(
-        "_left", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(onwards))
-    )
-    prefix = ranked.filter(F.col("_left") >= least - 10.0**-DIGITS).select(
-        "category", "words", "word"
-    )
-    vector = vectors.groupBy("category", "words").agg(
+    left_over = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(onwards))
+    prefix = vectors.withColumn("_left", left_over).filter(F.col("_left") >= floor - 10.0**-DIGITS)
+    prefix = prefix.select("category", "word", "content_id")
+    left = prefix if seekers is None else prefix.join(seekers, "content_id", "left_semi")
+    right = prefix.withColumnRenamed("content_id", "other")
+    pairs = left.join(right, ["category", "word"]).filter(F.col("content_id") != F.col("other"))
+    pairs = pairs.select("content_id", "other").distinct()
+    vector = vectors.groupBy("content_id").agg(
         F.map_from_entries(F.collect_list(F.struct("word", "weight"))).alias("vector")
     )
-    left = prefix.join(vector, ["category", "words"])
-    right = left.select(
-        "category", "word", F.col("words").alias("other"), F.col("vector").alias("other_vector")
-    )
-    pairs = left.join(right, ["category", "word"]).filter(F.col("words") < F.col("other"))
+    others = vector.select(F.col("content_id").alias("other"), F.col("vector").alias("other_vector"))
     cosine = F.aggregate(
         F.map_entries("vector"),
         F.lit(0.0),
         lambda acc, e: acc
         + e["value"] * F.coalesce(F.try_element_at("other_vector", e["key"]), F.lit(0.0)),
     )
-    close = (
-        pairs.withColumn("similarity", F.round(cosine, DIGITS))
-        .filter(F.col("similarity") >= least)
-        .groupBy("category", "words", "other")
-        .agg(F.max("similarity").alias("similarity"))
-    )
-    both = close.select("category", "words", "other", "similarity").unionByName(
-        close.select(
-            "category", F.col("other").alias("words"), F.col("words").alias("other"), "similarity"
-        )
+    near = pairs.join(vector, "content_id").join(others, "other")
+    near = near.select("content_id", "other", F.round(cosine, DIGITS).alias("similarity"))
+    return near.filter((F.col("similarity") >= floor) & (F.col("similarity") > 0))
+
+
+def content_similarity(
+    products: DataFrame,
+    n: int = 5,
+    least: float = 0.0,
+    texts: Sequence[str] = ("name", "description"),
+    floors: Sequence[float] = FLOORS,
+) -> DataFrame:
+    """Up to ``n`` most similar products of the same category per product.
+
+    Rounded cosine similarity of the words of ``texts``, above 0 and at least
+    ``least``; ties go to the smaller id.
+    """
+    items = checkpointed(content_words(products, texts))
+    contents = items.groupBy("category", "words").agg(
+        F.count("*").alias("copies"), F.min("product_id").alias("content_id")
     )
-    own = contents.select(
-        "category", "words", F.col("words").alias("other"), F.lit(1.0).alias("similarity")
+    vectors = checkpointed(content_vectors(contents))
+    copies = vectors.groupBy("content_id").agg(F.first("copies").alias("copies"))
+    found = copies.select(
+        "content_id", F.col("content_id").alias("other"), F.lit(1.0).alias("similarity")
     )
+    seekers = None
+    for floor in [f for f in sorted(floors, reverse=True) if f > least] + [least]:
+        close = _close_pairs(vectors, seekers, floor)
+        if seekers is not None:  # what an earlier round has found for them comes again
+            found = found.join(seekers, "content_id", "left_anti").unionByName(
+                found.join(seekers, "content_id", "left_semi").where("content_id = other")
+            )
+        found = checkpointed(found.unionByName(close))
+        if floor == least:
+            break
+        # one of the products is the seeker itself
+        number = found.join(copies.select(F.col("content_id").alias("other"), "copies"), "other")
+        number = number.groupBy("content_id").agg(F.sum("copies").alias("number"))
+        seekers = checkpointed(number.where(F.col("number") <= n).select("content_id"))
     # n + 1 products of each content are enough: at most one of them is the
     # product itself.
+    owners = items.groupBy("category", "words").agg(F.min("product_id").alias("content_id"))
+    placed = items.join(owners, ["category", "words"]).select("product_id", "content_id")
     shelf = top_n_per_group(
-        items, ["category", "words"], [F.asc("product_id")], n + 1, rank="_r", spread_by="product_id"
-    ).select("category", F.col("words").alias("other"), F.col("product_id").alias("similar_id"))
-    candidates = both.unionByName(own).join(shelf, ["category", "other"])
+        placed, ["content_id"], [F.asc("product_id")], n + 1, rank="_r", spread_by="product_id"
+    ).select(F.col("content_id").alias("other"), F.col("product_id").alias("similar_id"))
     best = top_n_per_group(
-        candidates,
-        ["category", "words"],
+        found.join(shelf, "other"),
+        ["content_id"],
         [F.desc("similarity"), F.asc("similar_id")],
         n + 1,
         rank="_rank",
         spread_by="similar_id",
     )
-    lists = best.groupBy("category", "words").agg(
+    lists = best.groupBy("content_id").agg(
         F.array_sort(F.collect_list(F.struct("_rank", "similar_id", "similarity"))).alias("_l")
     )
+    others = F.filter("_l", lambda e: e["similar_id"] != F.col("product_id"))
     return (
-        items.join(lists, ["category", "words"])
-        .select(
-            "product_id",
-            F.posexplode(
-                F.slice(F.filter("_l", lambda e: e["similar_id"] != F.col("product_id")), 1, n)
-            ).alias("_pos", "e"),
-        )
+        placed.join(lists, "content_id")
+        .select("product_id", F.posexplode(F.slice(others, 1, n)).alias("_pos", "e"))
         .select("product_id", (F.col("_pos") + 1).cast("int").alias("rank"), "e.similar_id", "e.similarity")
     )

@@ -82,12 +82,16 @@ def activity_timeline(
     interactions: DataFrame, as_of: AsOf, hours: int = 2, n: int = 24
 ) -> DataFrame:
     """Newest ``n`` minutes with activity in the last hours; when there are none,
-    the newest ``n`` hours of all data."""
-    recent = trailing_window(interactions, as_of, hours=hours)
-    if not recent.isEmpty():
-        return _activity(recent, "1 minute", n)
+    the newest ``n`` hours of all data.
+
+    Both are at most ``n`` rows; a count of the recent ones decides, when the
+    query runs, which of them stay.
+    """
+    recent = _activity(trailing_window(interactions, as_of, hours=hours), "1 minute", n)
     now = time_literal(interactions, "ts", as_of)
-    return _activity(interactions.filter(F.col("ts") <= now), "1 hour", n)
+    whole = _activity(interactions.filter(F.col("ts") <= now), "1 hour", n)
+    found = recent.agg(F.count("*").alias("n")).scalar()
+    return recent.unionByName(whole.where(found == 0)).orderBy(F.desc("bucket"))
 
 
 def latest_bucket(timeline: DataFrame) -> DataFrame:

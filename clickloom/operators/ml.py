@@ -9,14 +9,14 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.ranking import top_n_per_group
 from clickloom.operators.windows import list_rank
-from clickloom.sources.session import ensure_checkpoint_dir
+from clickloom.sources.session import checkpointed, require_checkpoint_dir
 
 INT_MAX = 2_147_483_647
 SPLIT_BUCKETS = 1000
@@ -84,34 +84,40 @@ def split_ratings(
     )
 
 
+def dense_index(ids: DataFrame) -> DataFrame:
+    """``id`` and its place ``index`` (from 0) among the distinct ids in order.
+
+    The ids are sorted over all partitions; a partition's rows are numbered
+    where they are, and the sizes of the partitions before, a row each, are
+    added. The sorted ids are checkpointed, so numbers and sizes come from the
+    same partitions.
+    """
+    name = ids.columns[0]
+    ordered = ids.where(F.col(name).isNotNull()).distinct().repartitionByRange(F.asc(name))
+    ordered = ordered.sortWithinPartitions(name)
+    placed = checkpointed(ordered.withColumn("_m", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_m", 33), F.col("_m").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    joined = placed.withColumn("_own", part).join(offsets, F.col("_own") == F.col("_part"))
+    return joined.select(name, (F.col("_before") + place).alias("index"))
+
+
 def index_ids(ratings: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Integer indices for user and product ids, with the label tables.
+    """Dense integer indices for user and product ids, with the label tables.
 
-    Integer ids inside the ALS range are their own index and need no label
-    table. Otherwise the index comes from a ``StringIndexer`` and the labels
-    become a table for the way back.
+    Any type of id goes the same way; rows with a NULL id get no index and drop
+    out. More ids than an integer can number are an error.
     """
-    pairs = (("user_id", "user_index"), ("product_id", "product_index"))
-    whole = [
-        c
-        for c, _ in pairs
-        if ratings.schema[c].dataType.simpleString() in ("int", "bigint", "smallint", "tinyint")
-    ]
-    fits = {}
-    if whole:
-        fits = ratings.agg(
-            *[((F.min(c) >= 0) & (F.max(c) <= INT_MAX)).alias(c) for c in whole]
-        ).first().asDict()
     labels: dict[str, DataFrame] = {}
     out = ratings
-    for column, index in pairs:
-        if fits.get(column):
-            out = out.withColumn(index, F.col(column).cast("int"))
-            continue
-        text = out.withColumn("_text", F.col(column).cast("string"))
-        model = StringIndexer(inputCol="_text", outputCol=index).fit(text)
-        out = model.transform(text).withColumn(index, F.col(index).cast("int")).drop("_text")
-        labels[column] = out.select(index, column).distinct()
+    for column, index in (("user_id", "user_index"), ("product_id", "product_index")):
+        numbered = dense_index(ratings.select(column))
+        if (numbered.agg(F.max("index")).first()[0] or 0) > INT_MAX:
+            raise ValueError(f"more than {INT_MAX} different values of {column}")
+        labels[column] = numbered.select(F.col("index").cast("int").alias(index), column)
+        out = out.join(labels[column], column)
     return out, labels
 
 
@@ -123,8 +129,12 @@ def train_als(
     regularisation: float = ALS_REGULARISATION,
     blocks: int | None = None,
 ) -> ALSModel:
-    """Explicit ALS; ids the model has not seen get no prediction."""
-    ensure_checkpoint_dir(train.sparkSession)
+    """Explicit ALS; ids the model has not seen get no prediction.
+
+    The number of blocks is MLlib's default unless given. The factors are
+    checkpointed, so the checkpoint folder is required.
+    """
+    require_checkpoint_dir(train.sparkSession)
     als = ALS(
         userCol="user_index",
         itemCol="product_index",
@@ -182,21 +192,28 @@ def coverage(
 ) -> DataFrame:
     """Share of test users and items that got a prediction, in percent.
 
-    Tests and predictions are tagged and unioned, so one aggregation counts all
-    four distinct sets.
+    Users and items are reduced to one row each, with flags for the set they
+    were seen in, before they are counted.
     """
     valid = predictions.filter(F.col("prediction").isNotNull())
-    tagged = test.select(user, item, F.lit(0).alias("_p")).unionByName(
-        valid.select(user, item, F.lit(1).alias("_p"))
-    )
     hit = F.col("_p") == 1
-    stats = tagged.agg(
-        F.count_distinct(F.when(~hit, F.col(user))).alias("users"),
-        F.count_distinct(F.when(hit, F.col(user))).alias("predicted_users"),
-        F.count_distinct(F.when(~hit, F.col(item))).alias("items"),
-        F.count_distinct(F.when(hit, F.col(item))).alias("predicted_items"),
-        F.count_if(hit).alias("total_predictions"),
-    )
+
+    def counts(column: str, name: str) -> DataFrame:
+        tagged = test.select(column, F.lit(0).alias("_p")).unionByName(
+            valid.select(column, F.lit(1).alias("_p"))
+        )
+        seen = tagged.where(F.col(column).isNotNull()).groupBy(column).agg(
+            F.max(~hit).alias("_test"), F.max(hit).alias("_hit")
+        )
+        return seen.agg(
+            F.struct(
+                F.count_if("_test").alias(name), F.count_if("_hit").alias(f"predicted_{name}")
+            ).alias("c")
+        )
+
+    stats = valid.agg(F.count("*").alias("total_predictions")).select(
+        counts(user, "users").scalar().alias("u"), counts(item, "items").scalar().alias("i"), "total_predictions"
+    ).select("u.*", "i.*", "total_predictions")
     percent = lambda a, b: F.when(
         F.col(b) > 0, F.round(F.col(a) / F.col(b) * 100, 2)
     ).otherwise(F.lit(0.0))
@@ -230,43 +247,20 @@ def cf_performance(test: DataFrame, predictions: DataFrame) -> DataFrame:
 def index_to_label(recs: DataFrame, labels: Mapping[str, DataFrame]) -> DataFrame:
     """Original ids for the indices in (user_index, product_index, ...) rows."""
     for column, index in (("product_id", "product_index"), ("user_id", "user_index")):
-        if column in labels:
-            recs = recs.join(labels[column], index)
-        elif index in recs.columns:
-            recs = recs.withColumn(column, F.col(index).cast("long"))
-        recs = recs.drop(index)
+        if index in recs.columns:
+            recs = recs.join(labels[column], index).drop(index)
     return recs
 
 
 def recommend_for_all(
     model: ALSModel, labels: Mapping[str, DataFrame], as_of: str, n: int = 10
 ) -> DataFrame:
-    """Top ``n`` products per user as ranked lists with original ids.
-
-    The lists are only taken apart and put together again when product indices
-    have to be turned back into labels.
-    """
-    lists = model.recommendForAllUsers(n)
-    if "product_id" in labels:
-        rows = list_rank(lists).withColumnRenamed("rating", "predicted_rating")
-        named = index_to_label(rows, labels)
-        entry = F.struct("rank", "product_id", "predicted_rating")
-        out = named.groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("_list"))
-    else:
-        ranked = F.transform(
-            "recommendations",
-            lambda e, k: F.struct(
-                (k + 1).alias("rank"),
-                e["product_index"].cast("long").alias("product_id"),
-                e["rating"].alias("predicted_rating"),
-            ),
-        )
-        users = lists.select("user_index", ranked.alias("_list"))
-        out = (
-            users.join(labels["user_id"], "user_index")
-            if "user_id" in labels
-            else users.withColumn("user_id", F.col("user_index").cast("long"))
-        )
+    """Top ``n`` products per user as ranked lists with original ids."""
+    rows = list_rank(model.recommendForAllUsers(n)).withColumnRenamed("rating", "predicted_rating")
+    entry = F.struct("rank", "product_id", "predicted_rating")
+    out = index_to_label(rows, labels).groupBy("user_id").agg(
+        F.array_sort(F.collect_list(entry)).alias("_list")
+    )
     entries = F.transform(
         "_list",
         lambda e: F.struct(

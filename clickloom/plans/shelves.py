@@ -53,18 +53,15 @@ def look_up(
     their first ``n_related`` related categories in order; one without products
     keeps its place with a NULL shelf.
 
-    ``users`` has one row per ``user_id``. Empty slots stay in the join so that
-    no user is lost; their NULL keys are spread. When the shelves are broadcast
-    the rows never leave the user's partition, so the final grouping needs no
-    further shuffle.
+    ``users`` has one row per ``user_id``. Only ids, slots and categories go
+    through the joins, empty slots left out; the other columns meet the result
+    once, by the user.
     """
-    attributes = [c for c in users.columns if c != "user_id"]
     entries = F.array(
         *[F.struct(F.lit(n).alias("slot"), c.alias("_category")) for n, c in slots.items()]
     )
-    rows = users.select(
-        "user_id", F.struct(*attributes).alias("_user"), F.inline(entries)
-    ).withColumn("_place", F.lit(0))
+    rows = users.select("user_id", F.inline(entries)).where("_category is not null")
+    rows = rows.withColumn("_place", F.lit(0))
     if related_of:
         names = (
             relations.filter(F.col("rel_rank") <= n_related)
@@ -83,7 +80,7 @@ def look_up(
             ),
         ).otherwise(F.array().cast("array<struct<_category:string,_place:int>>"))
         own = F.array(F.struct("_category", "_place"))
-        rows = rows.select("user_id", "_user", "slot", F.inline(F.concat(own, more)))
+        rows = rows.select("user_id", "slot", F.inline(F.concat(own, more)))
     columns = [c for c in shelves.columns if c != "category"]
     joined = left_join_sparse(rows, shelves, "_category", "user_id", right_key="category")
     found = F.struct(F.col("_category").alias("category"), *columns)
@@ -96,17 +93,11 @@ def look_up(
             F.when((F.col("slot") == name) & related, F.struct("_place", found.alias("shelf")))
         )
     )["shelf"]
-    return (
-        joined.groupBy("user_id")
-        .agg(
-            F.first("_user").alias("_user"),
-            *[pick(name).alias(f"{name}_shelf") for name in slots],
-            *[collect(name).alias(f"{name}_related") for name in related_of],
-        )
-        .select(
-            "user_id",
-            "_user.*",
-            *[f"{name}_shelf" for name in slots],
-            *[f"{name}_related" for name in related_of],
-        )
+    looked = joined.groupBy("user_id").agg(
+        *[pick(name).alias(f"{name}_shelf") for name in slots],
+        *[collect(name).alias(f"{name}_related") for name in related_of],
     )
+    found_columns = [*(f"{name}_shelf" for name in slots), *(f"{name}_related" for name in related_of)]
+    whole = users.join(looked, "user_id", "left")
+    nothing = {f"{n}_related": F.coalesce(f"{n}_related", F.array().cast(looked.schema[f"{n}_related"].dataType)) for n in related_of}
+    return whole.withColumns(nothing).select(*users.columns, *found_columns) if nothing else whole

@@ -3,7 +3,7 @@ import random
 
 import pytest
 from clickloom.operators import content, ml
-from clickloom.plans import batch
+from clickloom.plans import batch, hybrid
 from clickloom.sources import keyed, sinks
 
 from conftest import AS_OF, rows
@@ -134,11 +134,50 @@ def test_content_similarity_against_all_pairs(shop):
         for j in vectors:
             if j != k and category[j] == category[k]:
                 s = round(sum(x * vectors[j].get(w, 0.0) for w, x in vectors[k].items()), 6)
-                if s >= 0.6:
+                if s > 0:
                     near.append((-s, j))
         assert got.get(k, []) == [(j, -s) for s, j in sorted(near)[:4]]
 
 
+def test_one_word_in_every_text(shop):
+    products = shop.products([(k, "A", 1.0, f"gold w{k} x{k % 150}") for k in range(300)])
+    got = content.content_similarity(products, 3).collect()
+    assert len(got) == 900
+    first = {r.product_id: r.similar_id for r in got if r["rank"] == 1}
+    assert all(first[k] == (k + 150) % 300 for k in range(300))
+
+
+def test_dense_index_is_the_rank_of_an_id(spark):
+    ids = [5, -3, 2**40, 7, 5, None, 0]
+    got = dict(rows(ml.dense_index(spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(4))))
+    assert got == {-3: 0, 0: 1, 5: 2, 7: 3, 2**40: 4}
+    assert ml.dense_index(spark.createDataFrame([], "id string")).collect() == []
+
+
+def test_a_rerun_for_a_past_time_gives_the_same(spark, shop, tmp_path):
+    rng = random.Random(3)
+    old = [(rng.randrange(9), rng.randrange(8), rng.choice(["view", "click"]), rng.randrange(1, 86400)) for _ in range(200)]
+    new = [(1, 50, "purchase", -60), (77, 1, "purchase", -5)]
+    results = []
+    for k, data in enumerate((old, old + new)):
+        root = str(tmp_path / str(k))
+        batch.run_collaborative(shop.interactions(data), root, AS_OF, n=3, grid=((2, 2, 0.1),))
+        lists = spark.read.json(f"{root}/collaborative_filtering").collect()
+        results.append(sorted((r.user_id, [e.product_id for e in r.recommendations]) for r in lists))
+    assert results[0] == results[1]
+
+
+def test_hybrid_lists_use_all_sources(spark, shop):
+    rng = random.Random(2)
+    products = shop.products([(k, "AB"[k % 2], 5.0, f"w{k % 4} v{k % 3}") for k in range(24)])
+    seen = shop.interactions([(u, rng.randrange(20), rng.choice(["view", "click"]), k) for u in range(6) for k in range(9)])
+    similar = content.content_similarity(products)
+    scores = hybrid.sources(seen, products, similar, hybrid.collaborative_ratings(seen, AS_OF))
+    assert {r.source for r in scores.select("source").distinct().collect()} == set(ml.HYBRID_WEIGHTS)
+    lists = hybrid.recommend_hybrid(seen, products, AS_OF, n=5).collect()
+    assert len(lists) == 30 and all(0 < r.score <= 1 for r in lists)
+
+
 def test_batch_jobs_are_repeatable(spark, shop, tmp_path):
     rng = random.Random(6)
     data = shop.interactions(

@@ -5,7 +5,8 @@ from datetime import timedelta
 
 import pytest
 from clickloom.operators import windows
-from clickloom.plans import explain, recommenders
+from clickloom.plans import explain, publish, recommenders
+from clickloom.sources import keyed
 
 from conftest import AS_OF
 
@@ -249,3 +250,43 @@ def test_explanations(shop, catalogue, relations):
     profile = {r.user_id: r for r in explain.behaviour_profile(recent).collect()}
     assert profile[1].favorite_products == [101, 102] and profile[1].recent_views_count == 2
     assert [tuple(e) for e in profile[1].searched_categories] == [("C", 1), ("D", 1)]
+
+
+def test_published_lists_details_and_offers(spark, shop, tmp_path):
+    products = shop.products([(k, "AB"[k % 2]) for k in range(12)])
+    entry = "array<struct<product_id:bigint,priority:string,reason:string>>"
+
+    def run(at, *ids):
+        data = [(1, "s", [(i, "main_category", "r") for i in ids])]
+        lists = spark.createDataFrame(data, f"user_id bigint, strategy_used string, recommendations {entry}")
+        publish.run_recommendations(lists, products, str(tmp_path), at, "recency")
+
+    def get(name, at):
+        return keyed.read_keyed(spark, f"{tmp_path}/{name}", ["user_id"], at)
+
+    assert publish.past_recommendations(spark, str(tmp_path)).count() == 0
+    for _ in range(2):  # a second run for the same time replaces the first
+        run(AS_OF, 3, 5)
+    later = AS_OF + timedelta(hours=2)
+    run(later, 7, 3)
+    assert get("recommendations", later).first().product_ids == [7, 3]
+    assert get("recommendations", later + timedelta(days=3)).count() == 0
+    assert get("recommendation_details", later).first().recommendations[0].reason == "r"
+    assert get("recommendation_details", later + timedelta(hours=1)).count() == 0
+    past = [(r.product_id, r.position) for r in publish.past_recommendations(spark, str(tmp_path)).collect()]
+    assert sorted(past) == [(3, 0), (3, 1), (5, 1), (7, 0)]
+    for k in (3, 4):
+        run(AS_OF + timedelta(hours=k), 1, 2)
+    assert publish.past_recommendations(spark, str(tmp_path)).count() == 8
+
+
+def test_stored_lists_keep_the_main_category(spark, shop, tmp_path):
+    products = shop.products(CATALOGUE)
+    seen = shop.interactions([(1, 101, "click", 60), (2, 5, "view", 30), (3, 201, "click", 10), (3, 202, "view", 20)])
+    lists = recommenders.recommend_same_plus_related(
+        shop.users([1, 2, 3]), seen, products, shop.relations(RELATIONS), AS_OF
+    )
+    publish.run_recommendations(lists.select("user_id", "strategy_used", "recommendations"), products, str(tmp_path), AS_OF, "same")
+    details = keyed.read_keyed(spark, f"{tmp_path}/recommendation_details", ["user_id"], AS_OF)
+    mix = recommenders.recommendation_mix(details).collect()
+    assert len(mix) == 3 and all(r.main_ok for r in mix if r.main_category)
