@@ -360,6 +360,8 @@ add("user_totals", "i u", """SELECT u.user_id, count(interaction_id) AS total_in
 
 add("recent_per_user", "s p", "SELECT user_id, pos, interaction_id, product_id, category, price FROM rc",
     capped(7, 10))
+add("recent_per_user_published", "s p", "SELECT user_id, pos, interaction_id, product_id, category, price FROM rc",
+    capped(7, 100))
 
 
 def latest(minutes: int, *types: str) -> str:
@@ -374,20 +376,31 @@ SEEN = ("click", "product_click", "view", "product_view")
 add("latest_category", "s p", "SELECT user_id, category, ts FROM lc", latest(1440, *SEEN))
 
 
-def history(event_type: str, columns: str) -> str:
+def history(event_type: str, columns: str, n: int = 5) -> str:
     return f"""SELECT user_id, event_id, ts, {columns}, CAST(rk AS INTEGER) AS rank FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM e
-      WHERE event_type = '{event_type}') WHERE rk <= 5"""
+      WHERE event_type = '{event_type}') WHERE rk <= {n}"""
 
 
 add("history_recent_views", "e", history("product_view", "product_id"))
 add("history_searches", "e", history("search", "'k' || k AS query, k AS results_count"))
 add("history_page_views", "e", history("page_view", "'/product/' || k AS page"))
+add("history_recent_views_published", "e", history("product_view", "product_id", 50))
+add("history_searches_published", "e", history("search", "'k' || k AS query, k AS results_count", 100))
+add("history_page_views_published", "e", history("page_view", "'/product/' || k AS page", 200))
+add("history_live", "e", f"""SELECT user_id, event_id, ts, product_id, rank FROM (
+    SELECT *, sum(pause) OVER (PARTITION BY user_id ORDER BY rank) AS pauses FROM (
+      SELECT *, CASE WHEN ts + INTERVAL 7 DAYS < coalesce(lag(ts) OVER (PARTITION BY user_id ORDER BY rank), {NOW})
+        THEN 1 ELSE 0 END AS pause FROM h)) WHERE pauses = 0""",
+    """h AS (SELECT * FROM (SELECT user_id, event_id, ts, product_id,
+      CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rank FROM e
+      WHERE event_type = 'product_view') WHERE rank <= 50)""")
 PAST = """ph AS (SELECT * FROM (SELECT user_id, product_id, category, ts, interaction_id AS position,
       CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, interaction_id DESC) AS INTEGER) AS rank
       FROM i JOIN p USING (product_id)
       WHERE interaction_type = 'purchase' AND ts < TIMESTAMP '2024-01-30 00:00:00') WHERE rank <= 10)"""
 add("history_recommendations", "i p", "SELECT * FROM ph", PAST)
+add("history_recommendations_published", "i p", "SELECT * FROM ph", PAST.replace("rank <= 10", "rank <= 50"))
 add("recency_weighted_scores", "s p", """SELECT user_id, family, category,
     CAST(sum(tenths) AS DOUBLE) / 10 AS score FROM w GROUP BY user_id, family, category""",
     capped(1, 100), RECENCY)
@@ -499,6 +512,24 @@ add("label_clusters", "i p", """SELECT 'cluster_' || prediction AS cluster, type
       WHEN ae > 140 AND ap > 40 THEN 'Active Explorers 🔍' WHEN av > 904 THEN 'Premium Shoppers 💰'
       WHEN ai > 10 AND ae < 20 THEN 'Casual Browsers 👀' ELSE 'New/Low Activity Users 🌱' END AS type FROM pf)""",
     features("i"), BANDED)
+STANDARD = (
+    "total_interactions", "unique_products_viewed", "categories_explored", "total_engagement_score",
+    "avg_interaction_intensity", "active_days", "avg_hour_activity", "recent_engagement", "total_clicks",
+    "total_views", "avg_product_price_viewed",
+)
+add("assemble_scale", "i p", "SELECT user_id, " + ", ".join(
+    f"""round(CASE WHEN stddev_samp(v.{c}) OVER () > 0 THEN (v.{c} - avg(v.{c}) OVER ())
+      / stddev_samp(v.{c}) OVER () ELSE 0 END, 6) AS {c}""" for c in STANDARD) + " FROM v", features("i"),
+    "v AS (SELECT user_id, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in STANDARD) + " FROM ft)")
+add("kmeans_properties", "i p", """SELECT CAST(count(*) AS BIGINT) AS users, true AS k_in_range, true AS best_silhouette,
+    true AS all_used FROM ft""", features("i"))
+add("index_ids", "i", """SELECT user_id, CAST(row_number() OVER (ORDER BY user_id) - 1 AS INTEGER) AS user_index
+    FROM (SELECT DISTINCT user_id FROM rt)""", RATED.format("i"))
+add("index_to_label", "i", "SELECT user_id, product_id, interaction_count FROM rt", RATED.format("i"))
+add("als_properties", "s p", """SELECT count(*) AS pairs, true AS all_predicted, count(DISTINCT user_id) AS users,
+    CAST(count(DISTINCT user_id) * least(10, count(DISTINCT product_id)) AS BIGINT) AS entries, true AS ranks_dense,
+    true AS ratings_in_order, true AS products_distinct
+    FROM (SELECT DISTINCT user_id, product_id FROM s JOIN p USING (product_id))""")
 add("hybrid_blend", "s p", """SELECT user_id, product_id, round(score, 6) AS score, CAST(k AS INTEGER) AS rank FROM (
     SELECT user_id, product_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS k
     FROM (SELECT user_id, product_id, round(sum(score / best * weight), 9) AS score
@@ -512,18 +543,47 @@ add("hybrid_blend", "s p", """SELECT user_id, product_id, round(score, 6) AS sco
       SELECT user_id, product_id, CAST(n AS DOUBLE), 0.2::DOUBLE FROM pa
         JOIN (SELECT product_id, count(*) AS n FROM s GROUP BY product_id) USING (product_id) UNION ALL
       SELECT user_id, product_id, sp, 0.1::DOUBLE FROM pa)""")
-add("content_similarity", "p", """SELECT product_id, CAST(k AS INTEGER) AS rank, similar_id, similarity FROM (
-    SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY similarity DESC, similar_id) AS k FROM (
-      SELECT a.product_id, z.product_id AS similar_id, round(sum(a.w * z.w), 6) AS similarity
-      FROM nv a JOIN nv z ON a.category = z.category AND a.word = z.word AND a.product_id <> z.product_id
-      GROUP BY a.product_id, z.product_id) WHERE similarity >= 0.6) WHERE k <= 5""",
-    """tk AS (SELECT product_id, category, unnest(regexp_split_to_array(lower(name), '[^a-z0-9]+')) AS word FROM p)""",
-    "tf AS (SELECT product_id, category, word, count(*) AS tf FROM tk WHERE word <> '' GROUP BY ALL)",
-    "df AS (SELECT word, count(DISTINCT product_id) AS df FROM tf GROUP BY word)",
-    """rw AS (SELECT product_id, category, word, tf * (ln(((SELECT count(DISTINCT product_id) FROM tf) + 1)
-      / (df + 1)) + 1) AS raw FROM tf JOIN df USING (word))""",
-    """nv AS (SELECT product_id, category, word, raw / sqrt(sum(raw * raw) OVER (PARTITION BY product_id)) AS w
-      FROM rw)""")
+
+
+def similar(source: str) -> list[str]:
+    """TF-IDF vectors ``nv`` of ``source(product_id, category, body)`` and the five nearest ``sm``."""
+    return [
+        f"""tk AS (SELECT product_id, category, unnest(regexp_split_to_array(lower(body), '[^\\p{{L}}\\p{{N}}]+')) AS word
+          FROM {source})""",
+        "tf AS (SELECT product_id, category, word, count(*) AS tf FROM tk WHERE word <> '' GROUP BY ALL)",
+        "df AS (SELECT word, count(DISTINCT product_id) AS df FROM tf GROUP BY word)",
+        """rw AS (SELECT product_id, category, word, tf * (ln(((SELECT count(DISTINCT product_id) FROM tf) + 1)
+          / (df + 1)) + 1) AS raw FROM tf JOIN df USING (word))""",
+        """nv AS (SELECT product_id, category, word, raw / sqrt(sum(raw * raw) OVER (PARTITION BY product_id)) AS w
+          FROM rw)""",
+        """sm AS (SELECT product_id, CAST(k AS INTEGER) AS rank, similar_id, similarity FROM (
+          SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY similarity DESC, similar_id) AS k FROM (
+            SELECT a.product_id, z.product_id AS similar_id, round(sum(a.w * z.w), 6) AS similarity
+            FROM nv a JOIN nv z ON a.category = z.category AND a.word = z.word AND a.product_id <> z.product_id
+            GROUP BY a.product_id, z.product_id) WHERE similarity > 0) WHERE k <= 5)""",
+    ]
+
+
+BODY = "pb AS (SELECT product_id, category, concat_ws(' ', name, description) AS body FROM p)"
+add("content_similarity", "p", "SELECT * FROM sm", BODY, *similar("pb"))
+add("content_similarity_texts", "", "SELECT * FROM sm",
+    """bm AS (SELECT item_id AS product_id, text AS body,
+      CASE WHEN item_id % 2 = 0 THEN 'even' ELSE 'odd' END AS category FROM benchmark)""", *similar("bm"))
+PAIRS = f"""pa AS (SELECT user_id, product_id, CAST(sum({PREFERENCE}) AS DOUBLE) AS score
+    FROM s JOIN p USING (product_id) WHERE category IS NOT NULL GROUP BY ALL)"""
+add("hybrid_sources", "s p", "SELECT user_id, product_id, source, score FROM sr", BODY, *similar("pb"),
+    PAIRS, """ct AS (SELECT user_id, similar_id AS product_id,
+      CAST(sum(CAST(score AS DECIMAL(18, 0)) * CAST(similarity AS DECIMAL(10, 6))) AS DOUBLE) AS score
+      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS k FROM pa
+        WHERE score > 0 AND user_id IS NOT NULL) t
+      JOIN sm USING (product_id) WHERE k <= 10 GROUP BY ALL)""",
+    """sr AS (SELECT user_id, product_id, 'behavior' AS source, score FROM pa
+      UNION ALL SELECT user_id, product_id, 'content', score FROM ct
+      UNION ALL SELECT user_id, product_id, 'popularity', CAST(n AS DOUBLE)
+        FROM (SELECT user_id, product_id FROM pa UNION SELECT user_id, product_id FROM ct)
+        JOIN (SELECT product_id, count(*) AS n FROM s WHERE product_id IS NOT NULL GROUP BY product_id) USING (product_id))""")
+add("recommend_hybrid", "s p", """SELECT DISTINCT user_id, 10::BIGINT AS entries, true AS ranks_dense,
+    true AS products_distinct, true AS scores_in_range FROM s JOIN p USING (product_id)""")
 
 # -------------------------------------------------------------- recommenders
 
@@ -737,6 +797,26 @@ add("stream_timeline", "i", f"""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%
 add("stream_product_counters", "e", """SELECT product_id,
     CASE WHEN event_type = 'product_view' THEN 'view' ELSE action END AS action, count(*) AS count FROM e
     WHERE event_type IN ('product_view', 'click') GROUP BY ALL""")
+add("dedup_events", "e", """SELECT event_id, user_id, normalised_type, ts FROM (
+    SELECT *, CASE WHEN before IS NULL OR ts > before + INTERVAL 86400 SECONDS THEN 1 ELSE 0 END AS fresh FROM (
+      SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type, normalised_type, product_id, query, page, category
+        ORDER BY ts, event_id) AS before FROM n)) WHERE fresh = 1""",
+    """n AS (SELECT *, CASE WHEN event_type = 'search' THEN 'k' || k END AS query,
+      CASE WHEN event_type = 'page_view' THEN '/product/' || k END AS page,
+      CASE WHEN event_type = 'recommendation_click' THEN 'click' WHEN event_type = 'product_view' THEN 'view'
+        ELSE 'other' END AS normalised_type FROM e)""")
+add("keyed_latest", "i", f"""SELECT user_id, product_id, ts AS updated_at, interaction_type AS writer FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, interaction_id DESC, interaction_type DESC) AS k
+    FROM i) WHERE k = 1 AND ts + INTERVAL 1 DAY > {NOW}""")
+add("counters_live", "e", f"""SELECT product_id, action, count(*) AS count FROM al GROUP BY ALL
+    UNION ALL SELECT product_id, 'total_interactions', count(*) FROM al GROUP BY product_id""",
+    f"""ac AS (SELECT product_id, CASE WHEN event_type = 'product_view' THEN 'view' ELSE action END AS action, ts FROM e
+      WHERE event_type IN ('product_view', 'click') AND ts <= {NOW})""",
+    """lf AS (SELECT *, sum(fresh) OVER (PARTITION BY product_id ORDER BY ts) AS life FROM (
+      SELECT *, CASE WHEN ts > lag(ts) OVER (PARTITION BY product_id ORDER BY ts) + INTERVAL 2 DAYS THEN 1 ELSE 0 END AS fresh
+      FROM ac))""",
+    f"""al AS (SELECT lf.* FROM lf JOIN (SELECT product_id, max(life) AS life, max(ts) AS last FROM lf GROUP BY product_id)
+      USING (product_id, life) WHERE last + INTERVAL 2 DAYS >= {NOW})""")
 add("session_activity", "b", "SELECT * FROM b")
 add("gap_sessions", "e", """SELECT user_id, session_no, min(ts) AS session_start, max(ts) AS session_end,
     count(*) AS event_count FROM (

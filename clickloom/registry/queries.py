@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +21,13 @@ from clickloom.operators import (
     projections,
     windows,
 )
-from clickloom.plans import batch, explain, recommenders, refresh
+from clickloom.plans import batch, explain, hybrid, recommenders, refresh
 from clickloom.plans.picks import explode_recommendations
 from clickloom.registry import binding as b
 from clickloom.registry.binding import AS_OF
 from clickloom.sources import events as event_source
-from clickloom.sources import tables
-from clickloom.streaming import stateful
+from clickloom.sources import keyed, tables
+from clickloom.streaming import counters, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -538,6 +539,13 @@ def recent_per_user(spark, sf):
     return rows.select("user_id", "pos", "interaction_id", "product_id", "category", "price")
 
 
+@query
+def recent_per_user_published(spark, sf):
+    """The published cap of a hundred interactions."""
+    rows = windows.recent_per_user(b.shop_interactions(spark, sf), b.products(spark, sf), AS_OF, days=7)
+    return rows.select("user_id", "pos", "interaction_id", "product_id", "category", "price")
+
+
 @query
 def latest_category(spark, sf):
     return windows.latest_category(
@@ -565,6 +573,26 @@ def history_recommendations(spark, sf):
     return windows.bounded_recommendations(b.past_recommendations(spark, sf), 10)
 
 
+@query
+def history_recent_views_published(spark, sf):
+    return windows.bounded_history(b.web_events(spark, sf), "recent_views")
+
+
+@query
+def history_searches_published(spark, sf):
+    return windows.bounded_history(b.web_events(spark, sf), "search_history")
+
+
+@query
+def history_page_views_published(spark, sf):
+    return windows.bounded_history(b.web_events(spark, sf), "page_views")
+
+
+@query
+def history_recommendations_published(spark, sf):
+    return windows.bounded_recommendations(b.past_recommendations(spark, sf))
+
+
 @query
 def recency_weighted_scores(spark, sf):
     return windows.recency_weighted_scores(
@@ -714,14 +742,14 @@ def train_als(spark, sf):
     """Predictions of the held-out pairs by a trained model."""
     ratings, _ = ml.index_ids(_ratings(spark, sf))
     parts = ml.split_ratings(ratings)
-    model = ml.train_als(parts.train, blocks=4)
+    model = ml.train_als(parts.train)
     return model.transform(parts.test).select("user_id", "product_id", "rating", "prediction")
 
 
 @query
 def recommend_for_all(spark, sf):
     ratings, labels = ml.index_ids(_ratings(spark, sf))
-    model = ml.train_als(ml.split_ratings(ratings).train, blocks=4)
+    model = ml.train_als(ml.split_ratings(ratings).train)
     rows = windows.list_rank(
         ml.recommend_for_all(model, labels, AS_OF).select("user_id", "recommendations")
         .withColumn("recommendations", F.transform(
@@ -761,10 +789,80 @@ def kmeans_clusters(spark, sf):
         b.interactions(spark, sf), b.products(spark, sf), AS_OF, ordered=False
     )
     scaled, _ = ml.assemble_scale(features)
-    model, _ = ml.kmeans_select_k(scaled, ks=(2, 3, 4))
+    model, _ = ml.kmeans_select_k(scaled)
     return model.transform(scaled).select("user_id", "prediction")
 
 
+@query
+def kmeans_properties(spark, sf):
+    """What holds of any right clustering: all users, 2 to 7 clusters, the best silhouette."""
+    features = aggregates.user_features(
+        b.interactions(spark, sf), b.products(spark, sf), AS_OF, ordered=False
+    )
+    scaled, _ = ml.assemble_scale(features)
+    model, scores = ml.kmeans_select_k(scaled)
+    found = model.transform(scaled).groupBy("prediction").agg(F.count("*").alias("n"))
+    k = len(model.clusterCenters())
+    return found.agg(
+        F.sum("n").alias("users"),
+        (F.lit(sorted(scores) == list(ml.CLUSTER_RANGE)) & F.lit(k in ml.CLUSTER_RANGE)).alias("k_in_range"),
+        F.lit(scores[k] == max(scores.values())).alias("best_silhouette"),
+        (F.count("*") == k).alias("all_used"),
+    )
+
+
+@query
+def assemble_scale(spark, sf):
+    """Standardised features of each user."""
+    features = aggregates.user_features(
+        b.interactions(spark, sf), b.products(spark, sf), AS_OF, ordered=False
+    )
+    scaled, _ = ml.assemble_scale(features)
+    values = vector_to_array("features")
+    return scaled.select("user_id", *[F.round(values[k], 6).alias(c) for k, c in enumerate(ml.FEATURES)])
+
+
+@query
+def index_ids(spark, sf):
+    """Dense index of each user with a rating."""
+    _, labels = ml.index_ids(aggregates.implicit_ratings(b.interactions(spark, sf)))
+    return labels["user_id"].select("user_id", "user_index")
+
+
+@query
+def index_to_label(spark, sf):
+    """Indices of the rated pairs and back to ids."""
+    ratings, labels = ml.index_ids(aggregates.implicit_ratings(b.interactions(spark, sf)))
+    rows = ratings.select("user_index", "product_index", "interaction_count")
+    return ml.index_to_label(rows, labels).select("user_id", "product_id", "interaction_count")
+
+
+@query
+def als_properties(spark, sf):
+    """What holds of any right model: all rated pairs predicted, lists dense, distinct, in order."""
+    ratings, labels = ml.index_ids(_ratings(spark, sf).where("product_id is not null"))
+    model = ml.train_als(ratings)
+    done = model.transform(ratings).agg(
+        F.count("*").alias("n"), F.count_if(~F.isnan("prediction")).alias("good")
+    )
+    lists = ml.recommend_for_all(model, labels, AS_OF)
+    entries = F.col("recommendations")
+    ranks = F.transform(entries, lambda e: e["rank"])
+    rating = F.transform(entries, lambda e: e["predicted_rating"])
+    products = F.transform(entries, lambda e: e["product_id"])
+    checked = lists.agg(
+        F.count("*").alias("users"),
+        F.sum(F.size(entries)).cast("bigint").alias("entries"),
+        F.every(ranks == F.sequence(F.lit(1), F.size(entries))).alias("ranks_dense"),
+        F.every(rating == F.sort_array(rating, asc=False)).alias("ratings_in_order"),
+        F.every(F.size(F.array_distinct(products)) == F.size(entries)).alias("products_distinct"),
+    )
+    counts = done.agg(F.first(F.struct("n", "good")).alias("c")).scalar()
+    return checked.select(
+        counts["n"].alias("pairs"), (counts["n"] == counts["good"]).alias("all_predicted"), "*"
+    )
+
+
 def _banded(spark, sf):
     """Features with a volume band in place of a fitted cluster."""
     features = aggregates.user_features(
@@ -824,11 +922,45 @@ def hybrid_blend(spark, sf):
     return ml.hybrid_blend(scores).withColumn("score", F.round("score", 6))
 
 
+@query
+def hybrid_sources(spark, sf):
+    """The deterministic scores of the hybrid recommender."""
+    goods = b.products(spark, sf)
+    similar = content.content_similarity(goods, 5)
+    rows = hybrid.sources(b.shop_interactions(spark, sf), goods, similar)
+    return rows.select("user_id", "product_id", "source", "score")
+
+
+@query
+def recommend_hybrid(spark, sf):
+    """Lists blended of ALS, content, popularity and behaviour: their form."""
+    rows = hybrid.recommend_hybrid(b.shop_interactions(spark, sf), b.products(spark, sf), AS_OF)
+    per_user = rows.groupBy("user_id").agg(
+        F.count("*").alias("entries"),
+        (F.max("rank") == F.count("*")).alias("ranks_dense"),
+        (F.count_distinct("product_id") == F.count("*")).alias("products_distinct"),
+        ((F.min("score") > 0) & (F.max("score") <= 1.000001)).alias("scores_in_range"),
+    )
+    return per_user.select("user_id", "entries", "ranks_dense", "products_distinct", "scores_in_range")
+
+
 @query
 def content_similarity(spark, sf):
     return content.content_similarity(b.products(spark, sf), 5)
 
 
+@query
+def content_similarity_texts(spark, sf):
+    """The same over texts with a large vocabulary, in two categories."""
+    texts = b.table(spark, sf, "benchmark").select(
+        F.col("item_id").alias("product_id"),
+        F.col("text").alias("name"),
+        F.lit(None).cast("string").alias("description"),
+        F.when(F.col("item_id") % 2 == 0, "even").otherwise("odd").alias("category"),
+    )
+    return content.content_similarity(texts, 5)
+
+
 # -------------------------------------------------------------- recommenders
 
 
@@ -975,7 +1107,45 @@ def stream_timeline(spark, sf):
 
 @query
 def stream_product_counters(spark, sf):
-    return stateful.stream_product_counters(b.web_events(spark, sf))
+    return stateful.stream_product_counters(b.web_events(spark, sf)).drop("last_ts")
+
+
+@query
+def dedup_events(spark, sf):
+    """Double tracking dropped in a batch; the wide gap makes the table show some."""
+    rows = stateful.dedup_events(b.web_events(spark, sf), by_content=True, seconds=86_400)
+    return rows.select("event_id", "user_id", "normalised_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query
+def keyed_latest(spark, sf):
+    """Every event as a write of its user's row by the writer of its type; live rows."""
+    writes = b.interactions(spark, sf).select(
+        "user_id",
+        "product_id",
+        F.col("ts").alias("updated_at"),
+        (F.col("ts") + F.expr(f"INTERVAL {keyed.TTL['trending_products']} SECONDS")).alias("expires_at"),
+        F.col("interaction_id").alias("_version"),
+        F.col("interaction_type").alias("_writer"),
+        F.lit(True).alias("_late"),
+    )
+    rows = keyed.live(keyed.newest(writes, ["user_id"]), AS_OF)
+    return rows.select("user_id", "product_id", "updated_at", F.col("_writer").alias("writer"))
+
+
+@query
+def counters_live(spark, sf):
+    """Counts of the products written to without a pause of two days."""
+    counter = counters.Counter(("product_id",), ("action",), 2 * keyed.DAY)
+    rows = counters.increments(b.web_events(spark, sf), "product_counters")
+    return counters.live_counters(rows, counter, AS_OF)
+
+
+@query
+def history_live(spark, sf):
+    return counters.live_history(
+        windows.bounded_history(b.web_events(spark, sf), "recent_views").drop("rank"), "recent_views", AS_OF
+    )
 
 
 @query
