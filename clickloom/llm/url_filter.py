@@ -16,7 +16,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: n-gram sizes, hash buckets, weight of the ridge penalty.
 SIZES, BUCKETS, PENALTY = (3, 4, 5), 1 << 14, 1e-4
 #: A URL without a fitting rule is blocked from this probability on: a wrong block loses a page for good.
-THRESHOLD = 0.9
+THRESHOLD = 0.8
 #: Rows that a labelled table may have at most; a larger one is an error, not a sample.
 LABELLED_ROWS = 100_000
 
@@ -117,7 +117,8 @@ def train(labelled: DataFrame) -> Model:
     """Fit ``label`` 0 or 1 of ``labelled(url, label)``; rows with a NULL count for nothing.
 
     The table is small by agreement: one of more than ``LABELLED_ROWS`` rows is
-    refused. Without both labels every probability is that of the table, or 0.
+    refused. There is no intercept, so a URL without known n-grams is at one
+    half. Without both labels every probability is that of the table, or 0.
     """
     host, path = host_and_path(F.col("url"))
     rows = labelled.where("url is not null and label in (0, 1)").select(
@@ -134,8 +135,8 @@ def train(labelled: DataFrame) -> Model:
         return Vectors.sparse(BUCKETS, own, [len(own) ** -0.5] * len(own))
 
     data = rows.coalesce(1).sort("label", "host", "path").withColumn("features", F.udf(vector, VectorUDT())("host", "path"))
-    fitted = LogisticRegression(maxIter=100, regParam=PENALTY, standardization=False).fit(data)
-    return Model(fitted.coefficients.toArray(), float(fitted.intercept))
+    learner = LogisticRegression(maxIter=100, regParam=PENALTY, standardization=False, fitIntercept=False)
+    return Model(learner.fit(data).coefficients.toArray(), 0.0)
 
 
 def judge_urls(pages: DataFrame, model: Model, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
@@ -143,8 +144,8 @@ def judge_urls(pages: DataFrame, model: Model, rules=RULES, threshold: float = T
 
     The longest fitting rule decides; where none fits, the model does: block
     from a probability of ``threshold`` on. A NULL URL and one without ``://``
-    have an empty host and path and are judged by the model like any other, in
-    effect by its intercept. Repeated rows give repeated rows; extra columns are
+    have an empty host and path, no n-grams and so a probability of one half.
+    Repeated rows give repeated rows; extra columns are
     not read.
     """
     host, path = host_and_path(F.col("url"))
