@@ -2,38 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-from clickloom.sources.session import ensure_checkpoint_dir
+from clickloom.sources.session import checkpointed, require_checkpoint_dir
 
 #: Maps A-Z to a-z and leaves every other byte alone.
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def durable(frame: DataFrame) -> DataFrame:
-    """``frame`` written to the shared checkpoint folder, its lineage cut.
-
-    The folder is the one named in ``spark.checkpoint.dir``; a local session
-    that names none, as in tests, gets a temporary one.
-    """
-    spark = frame.sparkSession
-    if not ensure_checkpoint_dir(spark):
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="checkpoints-"))
-    return frame.checkpoint(eager=True)
+#: A frame written to the shared checkpoint folder, its lineage cut.
+durable = checkpointed
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name for ``name`` under the shared checkpoint folder."""
-    durable(spark.range(0))
     unique = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{unique}"
+    return f"{require_checkpoint_dir(spark)}/{name}-{unique}"
 
 
 def batch(schema: pa.Schema, *columns: Iterable) -> pa.RecordBatch:
@@ -58,10 +45,3 @@ def by_row(function, schema: pa.Schema):
                 yield batch(schema, *zip(*rows, strict=True))
 
     return run
-
-
-def text_key(text: Column) -> Column:
-    """Two 64-bit hashes under different seeds; equal for equal texts, NULL included."""
-    return F.struct(
-        F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b")
-    )

@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,15 +20,17 @@ SHINGLE = 8
 SIMILARITY = 0.8
 #: Bands and rows: a pair at 0.8 meets in a band with 99.6 %, one at 0.85 with 99.97 %.
 BANDS, ROWS = 14, 5
-#: Members of a candidate group that one task holds at a time.
-TILE = 20_000
+#: Lines and characters of a candidate group that one task holds at a time.
+TILE, TILE_CHARS = 20_000, 8_000_000
+#: Groups of so many lines are compared pair by pair.
+FEW = 24
 #: Code points that one signature step handles at a time.
 STEP = 2_000_000
 
 
 def normal_line(line: Column) -> Column:
     """The form in which lines are compared: trimmed, in lower case."""
-    return F.lower(F.btrim(line, F.lit(" \t\r")))
+    return F.lower(F.btrim(line, F.lit(" \t\r\x0b\x0c")))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -123,7 +126,7 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_groups(rows: DataFrame) -> DataFrame:
-    """``(leader, line_key)``: lines that share a band with their group's least line.
+    """``(leader, line_key)``: lines that share a band with their group's least line, the leader included.
 
     All lines of a bucket get the same leader, so two lines that share any
     bucket share a group; buckets of one line give no rows. A cluster that
@@ -132,7 +135,7 @@ def candidate_groups(rows: DataFrame) -> DataFrame:
     bands = rows.select("line_key", "line").mapInArrow(_band_rows, "band bigint, line_key bigint")
     leader = F.min("line_key").over(Window.partitionBy("band"))
     pairs = bands.select(leader.alias("leader"), "line_key").where("leader <> line_key").distinct()
-    return pairs
+    return pairs.union(pairs.select("leader", F.col("leader").alias("line_key")).distinct())
 
 
 # ---------------------------------------------------------------- verification
@@ -152,78 +155,204 @@ def similar(a: frozenset[str], b: frozenset[str], least: float = SIMILARITY) ->
     return both >= least * (len(a) + len(b) - both)
 
 
+def few_links(lines: list[str], least: float) -> list[tuple[int, int]]:
+    """Links among a few lines, each pair compared that is not linked already."""
+    sets, label, links = [shingles(x) for x in lines], list(range(len(lines))), []
+    for i in range(len(lines)):
+        for j in range(i):
+            if label[i] != label[j] and similar(sets[i], sets[j], least):
+                links.append((i, j))
+                label = [label[j] if x == label[i] else x for x in label]
+    return links
+
+
 class Group:
     """Links of one tile of a candidate group by exact comparison.
 
-    Residents are held, guests pass by. Lines that are linked already are not
-    compared, so a tight group costs a few comparisons for each line.
+    Residents are held, guests pass by. The rarest shingles of a line come
+    first; two lines that are similar enough share one of their first ones, so
+    only lines that do are compared (an exact filter). Lines that are linked
+    already are not compared: in a tight group a line meets a few members of
+    its largest part, and then only what lies outside of that part.
     """
 
-    def __init__(self, least: float):
-        self.least = least
-        self.keys: list[int] = []
-        self.sets: list[frozenset[str]] = []
-        self.part: list[int] = []
-        self.parts: dict[int, list[int]] = {}
-
-    def add(self, key: int, line: str, resident: bool) -> list[tuple[int, int]]:
-        own, links, hit = shingles(line), [], []
-        for p, members in self.parts.items():
-            for k in members:
-                if similar(own, self.sets[k], self.least):
-                    links.append((key, self.keys[k]))
-                    hit.append(p)
+    SAMPLE = 8
+
+    def __init__(self, keys: list[int], lines: list[str], least: float):
+        self.least, self.keys, self.lines = least, keys, lines
+        self.sets = [self._hashes(x) for x in lines]
+        values, counts = np.unique(np.concatenate(self.sets), return_counts=True)
+        self.values, self.counts = values, counts
+        self.parent = list(range(len(keys)))
+        self.size = [1] * len(keys)
+        self.large = -1  # a member of the large part, once there is one
+        self.sample: list[int] = []
+        self.inner: dict[int, list[int]] = {}  # first shingles of members of the large part
+        self.outer: dict[int, list[int]] = {}  # and of the others, as they were when they came
+
+    @staticmethod
+    def _hashes(line: str) -> np.ndarray:
+        points = np.frombuffer(line.ljust(SHINGLE, "\0").encode("utf-32-le"), np.uint32)
+        return np.unique(shingle_hashes(points))
+
+    def _first(self, own: np.ndarray) -> list[int]:
+        at = np.searchsorted(self.values, own)
+        known = at < len(self.values)
+        known[known] = self.values[at[known]] == own[known]
+        rarity = np.zeros(len(own), np.int64)
+        rarity[known] = self.counts[at[known]]
+        order = np.lexsort((own, rarity))
+        return own[order[: len(own) - math.ceil(self.least * len(own) - 1e-9) + 1]].tolist()
+
+    def _find(self, k: int) -> int:
+        parent = self.parent
+        while parent[k] != k:
+            parent[k] = k = parent[parent[k]]
+        return k
+
+    def _similar(self, line: str, own: np.ndarray, k: int) -> bool:
+        other = self.sets[k]
+        least, most = sorted((len(own), len(other)))
+        if least < self.least * most - 1e-9:
+            return False
+        both = np.concatenate((own, other))
+        both.sort()
+        shared = int((both[1:] == both[:-1]).sum())
+        if shared < self.least * (least + most - shared) - 1e-9:
+            return False
+        return similar(shingles(line), shingles(self.lines[k]), self.least)
+
+    def _links(self, line: str, own: np.ndarray, first: list[int]) -> list[int]:
+        """One similar resident of each part that has any."""
+        found: dict[int, int] = {}
+        top = self._find(self.large) if self.large >= 0 else -1
+        for k in self.sample:
+            if self._similar(line, own, k):
+                found[top] = k
+                break
+        tried: set[int] = set()
+        for index in (self.outer,) if top in found else (self.outer, self.inner):
+            for shingle in first:
+                for k in index.get(shingle, ()):
+                    if k in tried:
+                        continue
+                    tried.add(k)
+                    part = self._find(k)
+                    if part not in found and self._similar(line, own, k):
+                        found[part] = k
+                if index is self.inner and top in found:
                     break
-        if resident:
-            me = len(self.keys)
-            self.keys.append(key)
-            self.sets.append(own)
-            kept = max(hit, key=lambda p: len(self.parts[p]), default=me)
-            mine = self.parts.setdefault(kept, [])
-            mine.append(me)
-            for p in hit:
-                if p != kept:
-                    mine.extend(self.parts.pop(p))
+        return list(found.values())
+
+    def settle(self) -> list[tuple[int, int]]:
+        """Links among the residents."""
+        links = []
+        for k, (line, own) in enumerate(zip(self.lines, self.sets, strict=True)):
+            first = self._first(own)
+            for other in self._links(line, own, first):
+                links.append((self.keys[k], self.keys[other]))
+                a, b = self._find(k), self._find(other)
+                self.parent[a] = b
+                self.size[b] += self.size[a]
+                if self.large < 0 and self.size[b] >= self.SAMPLE:
+                    self.large = b
+                    self.sample = [j for j in range(k + 1) if self._find(j) == b][: self.SAMPLE]
+            index = self.inner if self.large >= 0 and self._find(k) == self._find(self.large) else self.outer
+            for shingle in first:
+                index.setdefault(shingle, []).append(k)
         return links
 
+    def visit(self, key: int, line: str) -> list[tuple[int, int]]:
+        """Links of a guest to the residents."""
+        own = self._hashes(line)
+        return [(key, self.keys[k]) for k in self._links(line, own, self._first(own))]
+
 
 def _verified(least: float):
     """``(a, b)`` links of rows (leader, tile, guest, line_key, line) sorted in that order."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        at, group = None, Group(least)
+        at, keys, lines, group = None, [], [], None
+
+        def ended():
+            """Links of a group without guests."""
+            if len(keys) > FEW:
+                return Group(keys, lines, least).settle()
+            return [(keys[i], keys[j]) for i, j in few_links(lines, least)]
+
         for got in batches:
             links: list[tuple[int, int]] = []
             for leader, tile, guest, key, line in zip(*(c.to_pylist() for c in got.columns), strict=True):
                 if at != (leader, tile):
-                    at, group = (leader, tile), Group(least)
-                links += group.add(key, line, not guest)
+                    if group is None and at is not None:
+                        links += ended()
+                    at, keys, lines, group = (leader, tile), [], [], None
+                if not guest:
+                    keys.append(key)
+                    lines.append(line)
+                elif keys:
+                    if group is None:
+                        group = Group(keys, lines, least)
+                        links += group.settle()
+                    links += group.visit(key, line)
             if links:
                 yield batch(schema, *zip(*links, strict=True))
+        if group is None and at is not None and (links := ended()):
+            yield batch(schema, *zip(*links, strict=True))
 
     return run
 
 
-def similar_lines(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``(a, b)`` links between ``line_key`` of ``rows(line_key, line)`` at a Jaccard similarity of ``least`` or more.
+def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(line_key, raw)`` of the wanted lines of texts."""
+    schema = pa.schema([("line_key", pa.int64()), ("raw", pa.string())])
+    for got in batches:
+        for start in range(0, got.num_rows, 500):
+            part, picked = got.slice(start, 500), []
+            for text, wanted in zip(part.column(0), part.column(1), strict=True):
+                own = text.as_py().split("\n")
+                picked += [(w["line_key"], own[w["line_no"]]) for w in wanted.as_py()]
+            yield batch(schema, *zip(*picked, strict=True))
+
 
-    A group of more than ``TILE`` lines is cut in tiles by a hash: the lines of
-    a tile stay there as residents and visit the tiles before as guests.
+def line_texts(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``line_key, line`` of ``firsts(line_key, first)``, read from the document that ``first`` names.
+
+    Each line is wanted of one document, so a line that very many documents
+    hold is fetched once; documents without wanted lines leave the join.
     """
-    pairs = candidate_groups(rows)
-    members = durable(pairs.union(pairs.select("leader", F.col("leader").alias("line_key")).distinct()))
-    large = members.groupBy("leader").count().where(F.col("count") > TILE)
-    large = large.select(F.col("leader").alias("large"), F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))
+    wanted = firsts.groupBy("first.doc_id", "first.doc_key").agg(
+        F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "line_key")).alias("wanted")
+    )
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("own_id"), F.col("text").cast("string").alias("text"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("doc_key"))
+    picked = rows.join(wanted, same).select("text", "wanted").mapInArrow(_picked, "line_key bigint, raw string")
+    # only a repeated document gives a line again
+    return picked.select("line_key", normal_line(F.col("raw")).alias("line")).dropDuplicates(["line_key"])
+
+
+def similar_lines(docs: DataFrame, rows: DataFrame, firsts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """``(a, b)`` links between line keys at a Jaccard similarity of ``least`` or more.
+
+    ``rows(line_key, line)`` are the lines of ``docs``, ``firsts(line_key,
+    first, size)`` one place and the characters of each. A candidate group of more than ``TILE`` lines or
+    ``TILE_CHARS`` characters is cut in tiles by a hash: the lines of a tile
+    stay there as residents and visit the tiles before as guests.
+    """
+    members = durable(candidate_groups(rows))
+    wanted = members.select(F.col("line_key").alias("member")).distinct()
+    places = firsts.join(wanted, F.col("line_key") == F.col("member"), "left_semi")
+    sizes = places.select(F.col("line_key").alias("sized"), "size")
+    tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum("size") / TILE_CHARS)).cast("int")
+    large = members.join(sizes, F.col("line_key") == F.col("sized")).groupBy("leader").agg(tiles.alias("tiles")).where("tiles > 1")
+    large = large.select(F.col("leader").alias("large"), "tiles")
     own = F.pmod(F.xxhash64("line_key"), F.coalesce("tiles", F.lit(1))).cast("int")
     placed = members.join(large, F.col("leader") == F.col("large"), "left").withColumn("own", own)
     placed = placed.select(
         "leader", F.explode(F.sequence(F.lit(0), "own")).alias("tile"), "own", F.col("line_key").alias("member")
     )
-    # a group member's text, from one of its occurrences
-    wanted = members.select(F.col("line_key").alias("wanted")).distinct()
-    texts = rows.join(wanted, F.col("line_key") == F.col("wanted"), "left_semi")
-    texts = texts.select("line_key", "line").dropDuplicates(["line_key"])
+    texts = line_texts(docs, places)
     full = placed.join(texts, F.col("member") == F.col("line_key")).select(
         "leader", "tile", (F.col("tile") != F.col("own")).alias("guest"), "line_key", "line"
     )
@@ -247,10 +376,11 @@ def duplicate_lines(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     (equal id and text) share a verdict. Extra columns are not read.
     """
     rows = lines(docs).withColumn("line_key", F.xxhash64("line"))
-    roots = connected_components(similar_lines(rows, least))
-    occurrences = durable(rows.select("doc_id", "doc_key", "line_no", "line_key"))
+    size = F.char_length("line").alias("size")
+    occurrences = durable(rows.select("doc_id", "doc_key", "line_no", "line_key", size))
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "doc_key", "line_no")
-    firsts = occurrences.groupBy("line_key").agg(F.min(place).alias("first"))
+    firsts = occurrences.groupBy("line_key").agg(F.min(place).alias("first"), F.max("size").alias("size"))
+    roots = connected_components(similar_lines(docs, rows, firsts, least))
     firsts = firsts.join(roots, F.col("line_key") == F.col("node"), "left").select(
         F.col("line_key").alias("key"), "first", F.coalesce("root", "line_key").alias("component_id")
     )
@@ -267,6 +397,18 @@ def duplicate_lines(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
 
 
+def _remaining(texts: pd.Series, gone: pd.Series) -> pd.Series:
+    """Texts without the lines of the given numbers; whole where there are none."""
+
+    def rest(text, numbers):
+        if text is None or numbers is None:
+            return text
+        out = set(numbers.tolist())
+        return "\n".join(x for k, x in enumerate(text.split("\n")) if k not in out)
+
+    return pd.Series([rest(t, g) for t, g in zip(texts, gone, strict=True)], dtype=object)
+
+
 def drop_duplicate_lines(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``docs`` without the lines that ``duplicate_lines`` does not keep.
 
@@ -278,10 +420,8 @@ def drop_duplicate_lines(docs: DataFrame, least: float = SIMILARITY) -> DataFram
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key"), "_gone")
     own = F.xxhash64(F.col("text").cast("string"))
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_key")), "left")
-    old = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(old) - 1), F.col("_gone"))
-    rest = F.array_join(F.transform(stay, lambda k: F.get(old, k)), "\n")
-    out = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest))
+    remaining = F.pandas_udf(_remaining, "string")
+    out = joined.withColumn("text", remaining(F.col("text").cast("string"), F.col("_gone")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

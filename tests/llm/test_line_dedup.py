@@ -98,3 +98,34 @@ def test_text_without_repeated_lines(frame, odd):
     assert out.columns == docs.columns
     assert {r.doc_id: r.text for r in out.collect()} == {1: "keep this line\n\nand that one", 2: "", 3: "new here", 4: None}
     assert line_dedup.drop_duplicate_lines(odd).count() == odd.count()
+
+
+def test_large_groups_link_what_all_pairs_link():
+    rng = random.Random(7)
+    base = [rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(160)]
+    lines = set()
+    for _ in range(160):  # a tight core, lines at the edge of the threshold and beyond
+        own = base[:]
+        for _ in range(rng.randint(0, 5)):
+            own[rng.randrange(160)] = rng.choice("0123456789")
+        lines.add("".join(own))
+    lines = sorted(lines) + ["short", "shorter", "shorter!"]
+    part = plain([(0, "\n".join(lines))])
+    for residents in (len(lines), 60):
+        group = line_dedup.Group(list(range(residents)), lines[:residents], 0.8)
+        links = group.settle()
+        for k in range(residents, len(lines)):
+            links += group.visit(k, lines[k])
+        for a, b in links:
+            x, y = line_dedup.shingles(lines[a]), line_dedup.shingles(lines[b])
+            assert len(x & y) >= 0.8 * len(x | y)
+        if residents < len(lines):
+            rest = line_dedup.Group(list(range(residents, len(lines))), lines[residents:], 0.8)
+            links += rest.settle()
+        label = list(range(len(lines)))
+        for a, b in links:
+            label = [label[b] if x == label[a] else x for x in label]
+        ours = {}
+        for k, line in enumerate(lines):
+            ours.setdefault(label[k], set()).add(part[line])
+        assert all(len(v) == 1 for v in ours.values()) and len(ours) == len(set(part.values()))
