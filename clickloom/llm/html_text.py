@@ -37,6 +37,8 @@ HEADS = frozenset("header".split())
 ARTICLE = frozenset("article main".split())
 #: Standard deviation of the smoothing in lines, and the threshold as a share of the mean ratio.
 SIGMA, SHARE = 2.0, 0.5
+#: Share of the page's text from which an element marked by tag or by name is the page rather than beside it.
+MOST, WHOLE = 0.5, 0.9
 WORD = re.compile(r"[a-z]+")
 
 
@@ -47,6 +49,7 @@ class Element:
     beside: bool = False  # marks its content as no part of the article
     named: bool = False  # by class, id or role alone
     remarks: bool = False
+    hidden: bool = False
     article: bool = False
 
 
@@ -110,13 +113,16 @@ class Lines(HTMLParser):
         values = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden")}
         element = Element(tag, tuple(self.open))
         if values or tag in BESIDE or tag in ARTICLE or tag in HEADS:
-            words = set(WORD.findall(" ".join(values.get(k, "") for k in ("class", "id", "role")).lower()))
             within = any(self.elements[k].article for k in self.open)
+            words = set(WORD.findall(f"{values.get('class', '')} {values.get('role', '')}".lower()))
+            if not within:  # inside, an id alone is an anchor such as "discussion"
+                own = set(WORD.findall(values.get("id", "").lower()))
+                words |= own & REMARKS if tag in ARTICLE else own
             names = NAMES if within else NAMES | HEADS
             element.remarks = bool(words & REMARKS)
             element.named = tag not in ("html", "body", "main") and bool(words & names)
-            hidden = "hidden" in values or values.get("aria-hidden") == "true"
-            element.beside = tag in BESIDE or hidden or (tag in HEADS and not within) or element.named
+            element.hidden = "hidden" in values or values.get("aria-hidden") == "true"
+            element.beside = tag in BESIDE or element.hidden or (tag in HEADS and not within) or element.named
             element.article = (tag in ARTICLE or "main" in words and "role" in values) and not element.named
         self.elements.append(element)
         self.open.append(len(self.elements) - 1)
@@ -163,12 +169,38 @@ def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 def _beside(elements: list[Element], lines: list[Line]) -> np.ndarray:
     """Which lines lie in an element beside the article.
 
-    A frame whose name sounds so but that holds an article, such as a page
-    "with-sidebar", is no such element, unless it holds readers' remarks.
+    A marked frame that holds an article, such as a form around the page or a
+    page "with-sidebar", is no such element, unless an article outside has far
+    more text, as with teasers. Without an article outside it, nor is a frame
+    with most of the page's text; a form can be that inside an article, too.
+    Hidden elements and readers' remarks always are.
     """
     frames = {k for e in elements if e.article for k in e.above}
-    marked = {k for k, e in enumerate(elements) if e.beside and not (k in frames and e.named and not e.remarks)}
-    return np.array([any(k in marked for k in x.inside) for x in lines], bool)
+    marked = [[k for k in x.inside if elements[k].beside] for x in lines]
+    depth = np.array([len(m) for m in marked])
+    if not depth.any():
+        return depth > 0
+    inside: dict[int, list[int]] = {}
+    for i, m in enumerate(marked):
+        for k in m:
+            inside.setdefault(k, []).append(i)
+    final = {k for k in inside if elements[k].hidden or elements[k].remarks}
+    # text that is not a link and may be the page's
+    sizes = np.array([0 if final.intersection(m) else max(0, len(x.text) - x.linked) for x, m in zip(lines, marked, strict=True)])
+    article = np.array([any(elements[k].article for k in x.inside) for x in lines])
+    total = sizes.sum()
+    outside = sizes[article & (depth == 0)].sum()  # of articles in no marked frame
+    held = {k: sizes[at].sum() for k, at in inside.items() if k not in final}
+    for k in sorted(held, key=lambda k: (k not in frames, -held[k], k)):
+        e, at = elements[k], np.array(inside[k])
+        if k in frames:
+            free = e.tag == "form" or 2 * held[k] >= outside
+        else:
+            free = held[k] > (WHOLE if e.named else MOST) * total and (not outside or e.tag == "form")
+        if free:
+            depth[at] -= 1
+            outside += sizes[at[article[at] & (depth[at] == 0)]].sum()
+    return depth > 0
 
 
 def main_lines(elements: list[Element], lines: list[Line]) -> list[Line]:
@@ -176,10 +208,10 @@ def main_lines(elements: list[Element], lines: list[Line]) -> list[Line]:
 
     Each line has a ratio of text characters to tags; lines beside the article
     have 0. The ratios are smoothed, lines above a share of the mean form
-    clusters. The cluster with the most text tells the container: the article
-    element around most of it, or else the innermost element around all of it.
+    clusters. Where article elements hold most of the clusters' text, all of
+    them are the container, or else the innermost element around all clusters.
     Every line of the container that is not beside the article is returned,
-    short ones and head lines included; without an article element, lines
+    short ones and head lines included; outside of article elements, lines
     that are links and little else are left out.
     """
     if not lines:
@@ -190,25 +222,18 @@ def main_lines(elements: list[Element], lines: list[Line]) -> list[Line]:
     if not ratios.any():
         return []
     level = smoothed(ratios)
-    above = (level >= SHARE * level.mean()) & ~beside
-    # clusters are runs of lines above the threshold; lines beside the article do not part them
-    cluster = np.cumsum(~above & ~beside)
-    mass = np.bincount(cluster[above], sizes[above])
-    best = np.flatnonzero(above & (cluster == mass.argmax()))
-    around: dict[int, float] = {}
-    for k in best.tolist():
-        for e in lines[k].inside:
-            around[e] = around.get(e, 0.0) + sizes[k]
-    half = 0.5 * sizes[best].sum()
-    articles = [e for e, size in around.items() if elements[e].article and size >= half]
-    if articles:
-        container = min(articles)  # the outermost: an article may be cut in parts
-        return [x for x, off in zip(lines, beside, strict=True) if not off and container in x.inside]
-    container = max(e for e, size in around.items() if size >= sizes[best].sum())
-    return [
-        x for x, off in zip(lines, beside, strict=True)
-        if not off and container in x.inside and x.linked < 0.8 * len(x.text)
-    ]
+    article = np.array([any(elements[e].article for e in x.inside) for x in lines])
+    links = ~article & np.array([x.linked >= 0.8 * len(x.text) for x in lines])
+    above = (level >= SHARE * level.mean()) & ~beside & ~links
+    if not above.any():
+        above = ~beside & ~links
+    if not above.any():
+        return []
+    if 2 * sizes[above & article].sum() >= sizes[above].sum():
+        return [lines[k] for k in np.flatnonzero(article & ~beside)]
+    around = set.intersection(*(set(lines[k].inside) for k in np.flatnonzero(above)))
+    container = max(around)
+    return [lines[k] for k in np.flatnonzero(~beside & ~links) if container in lines[k].inside]
 
 
 def extract(html: str | None) -> str:

@@ -33,6 +33,41 @@ def test_extract(html, text):
     assert html_text.extract(html) == text
 
 
+LONG, SHORT = "".join(f"<p>{P}</p>" for _ in range(5)), "".join(f"<li>{k}</li>" for k in range(12))
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        # no article element: two regions parted by short lines
+        (
+            f"<div><section>{LONG}<ul>{SHORT}</ul></section><section>{3 * f'<p>{P}</p>'}</section></div>",
+            " ".join([P] * 5 + [str(k) for k in range(12)] + [P] * 3),
+        ),
+        # sibling articles, of one or of different sizes, and with a long list between
+        (f"<article>{LONG}</article><article>{LONG}</article>", " ".join([P] * 10)),
+        (f"<div class=ad>{P}</div><article>{LONG}</article><article><p>{P}</p></article>", " ".join([P] * 6)),
+        (f"<article>{LONG}<ul>{SHORT}</ul></article><article><p>{P}</p></article>", " ".join([P] * 5 + [str(k) for k in range(12)] + [P])),
+        # an article of less than half of the text
+        (f"<div><article><p>{P}</p></article><section>{LONG}</section></div><footer>{P}</footer>", " ".join([P] * 6)),
+        # the whole page in one form, or in a frame with such a name
+        (f"<form><nav><a href=1>Home</a></nav><article><p>{P}</p></article></form>", P),
+        (f"<form><nav><a href=1>Home</a></nav><h1>Head</h1>{LONG}<footer>{P}</footer></form>", " ".join(["Head", *[P] * 5])),
+        (f"<main><form>{LONG}<aside>{P}</aside></form></main>", " ".join([P] * 5)),
+        (f"<div class=has-sidebar>{LONG}<div class=sidebar>{P}</div></div>", " ".join([P] * 5)),
+        # an id inside an article, or of an article, is an anchor
+        (f"<article><p>{P}</p><section id=discussion><h2 id=related>Head</h2><p>{P}</p></section></article>", f"{P} Head {P}"),
+        (f"<article id=search-engines><p>{P}</p></article><div>{P}</div>", P),
+        # teasers beside an article are still no part of it
+        (f"<article>{LONG}</article><aside><article><p>{P}</p></article></aside>", " ".join([P] * 5)),
+        (f"<div class=page-sidebar><article>{LONG}</article><div class=related><article>{P}</article></div></div>", " ".join([P] * 5)),
+        (f"<div class=related><article>{P}</article></div><main>{LONG}</main><div hidden><article>{LONG * 3}</article></div>", " ".join([P] * 5)),
+    ],
+)
+def test_every_region_is_kept(html, text):
+    assert html_text.extract(html) == text
+
+
 def test_supplied_pages_give_the_article():
     rows = duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()
     from html import unescape
