@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.ranking import top_n_per_group
 from clickloom.functions.times import AsOf
 from clickloom.operators import aggregates, content, ml
+from clickloom.sources.session import checkpointed
 
 LIKED = 10
+#: Users and products that meet in one task when all pairs are scored.
+BLOCK = 2048
 
 
 def behaviour_scores(interactions: DataFrame, products: DataFrame) -> DataFrame:
@@ -18,16 +24,17 @@ def behaviour_scores(interactions: DataFrame, products: DataFrame) -> DataFrame:
     return pairs.select("user_id", "product_id", F.col("total_score").cast("double").alias("score"))
 
 
-def content_scores(behaviour: DataFrame, similar: DataFrame, liked: int = LIKED) -> DataFrame:
+def content_scores(behaviour: DataFrame, similar: DataFrame, liked: int | None = LIKED) -> DataFrame:
     """Products similar to a user's best ones, weighted by liking times similarity.
 
-    A user takes part with ``liked`` products and each of these with its short
-    list of ``similar(product_id, similar_id, similarity)``.
+    A user takes part with ``liked`` products, or all of them for None, and each
+    of these with its short list of ``similar(product_id, similar_id, similarity)``.
     """
-    best = top_n_per_group(
-        behaviour.where("score > 0 and user_id is not null"),
-        ["user_id"], [F.desc("score"), F.asc("product_id")], liked, spread_by="product_id",
-    )
+    best = behaviour.where("score > 0 and user_id is not null")
+    if liked is not None:
+        best = top_n_per_group(
+            best, ["user_id"], [F.desc("score"), F.asc("product_id")], liked, spread_by="product_id"
+        )
     # scores are whole and similarities have six digits, so the sums are exact
     points = F.sum(F.col("score").cast("decimal(18,0)") * F.col("similarity").cast("decimal(10,6)"))
     return (
@@ -60,21 +67,125 @@ def sources(
     return named.unionByName(popular.withColumn("source", F.lit("popularity")))
 
 
-def collaborative_ratings(interactions: DataFrame, as_of: AsOf, n: int = 20) -> DataFrame:
-    """Best predictions of an ALS model of the implicit ratings."""
+def collaborative_model(interactions: DataFrame) -> tuple[ALSModel, dict[str, DataFrame]]:
+    """ALS model of the implicit ratings, with the label tables of its indices."""
     ratings, labels = ml.index_ids(aggregates.implicit_ratings(interactions))
-    model = ml.train_als(ratings)
+    return ml.train_als(ratings), labels
+
+
+def _ratings(model: ALSModel, labels: dict[str, DataFrame], as_of: AsOf, n: int) -> DataFrame:
     lists = ml.recommend_for_all(model, labels, str(as_of), n)
     entry = F.inline("recommendations")
     rows = lists.select("user_id", entry)
     return rows.select("user_id", "product_id", F.col("predicted_rating").cast("double").alias("score"))
 
 
+def collaborative_ratings(interactions: DataFrame, as_of: AsOf, n: int = 20) -> DataFrame:
+    """Best predictions of an ALS model of the implicit ratings."""
+    return _ratings(*collaborative_model(interactions), as_of, n)
+
+
+def _blocks(factors: DataFrame, side: int, own: str, other: str, others: int) -> DataFrame:
+    """``id, vector`` of one side, sent to each of the ``others`` blocks of the other side."""
+    number = F.floor(F.col("id") / BLOCK).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
+    rows = factors.select(F.lit(side).alias("side"), "id", "vector", number.alias(own))
+    return rows.withColumn(other, every).select("side", "id", "vector", "user_block", "product_block")
+
+
+def best_products(users: DataFrame, goods: DataFrame, n: int) -> DataFrame:
+    """``(user_index, product_index)`` of the ``n`` largest products of ``vector`` per user.
+
+    ``users`` and ``goods`` are ``(id, vector)`` with dense ids. All pairs meet,
+    a block of users with a block of products, and a pair of blocks keeps ``n``
+    products a user.
+    """
+    last = [(x.agg(F.max("id")).first()[0] or 0) // BLOCK + 1 for x in (users, goods)]
+    rows = _blocks(users, 0, "user_block", "product_block", last[1]).unionByName(
+        _blocks(goods, 1, "product_block", "user_block", last[0])
+    )
+    schema = pa.schema([("user_index", pa.int32()), ("product_index", pa.int32()), ("score", pa.float64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        side, ids = table["side"].to_numpy(), table["id"].to_numpy()
+        if side.min() == side.max():
+            return schema.empty_table()
+        vectors = np.asarray(table["vector"].combine_chunks().flatten()).reshape(len(ids), -1)
+        order = np.argsort(ids, kind="stable")  # the lesser product first where scores are equal
+        own, held = order[side[order] == 0], order[side[order] == 1]
+        scores = np.round(vectors[own] @ vectors[held].T, 9)
+        first = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+        columns = (np.repeat(ids[own], first.shape[1]), ids[held][first].ravel(), np.take_along_axis(scores, first, 1).ravel())
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    pairs = rows.groupBy("user_block", "product_block").applyInArrow(
+        run, "user_index int, product_index int, score double"
+    )
+    best = top_n_per_group(pairs, ["user_index"], [F.desc("score"), F.asc("product_index")], n)
+    return best.select("user_index", "product_index")
+
+
+def popular_ratings(
+    model: ALSModel, labels: dict[str, DataFrame], ratings: DataFrame, counts: DataFrame, n: int
+) -> DataFrame:
+    """``(user_id, product_id)`` of the best ``n`` sums of prediction and popularity.
+
+    Both are weighted as in the blend. The sum is one scalar product: the share
+    of popularity is a further factor of the product, the weight one of the user.
+    """
+    weights = ml.HYBRID_WEIGHTS
+    top = ratings.where("score > 0").groupBy("user_id").agg(F.max("score").alias("_top"))
+    scale = F.lit(weights["cf"]) / F.col("_top")
+    users = (
+        model.userFactors.join(labels["user_id"].withColumnRenamed("user_index", "id"), "id")
+        .join(top, "user_id")
+        .select("id", F.concat(
+            F.transform("features", lambda x: x.cast("double") * scale), F.array(F.lit(weights["popularity"]))
+        ).alias("vector"))
+    )
+    most = counts.agg(F.max("score")).first()[0] or 1.0
+    share = F.coalesce(F.col("score"), F.lit(0.0)) / F.lit(most)
+    goods = (
+        model.itemFactors.join(labels["product_id"].withColumnRenamed("product_index", "id"), "id")
+        .join(counts, "product_id", "left")
+        .select("id", F.concat(F.transform("features", lambda x: x.cast("double")), F.array(share)).alias("vector"))
+    )
+    return ml.index_to_label(best_products(users, goods, n), labels).select("user_id", "product_id")
+
+
 def recommend_hybrid(
     interactions: DataFrame, products: DataFrame, as_of: AsOf, n: int = 10, similar: DataFrame | None = None
 ) -> DataFrame:
-    """Blended lists of ALS, content, popularity and behaviour."""
+    """Blended lists of ALS, content, popularity and behaviour.
+
+    The lists are those of scoring every user with every product. A product
+    that behaviour or content names is scored in all sources. Of the others,
+    which have a prediction and popularity only, ``n`` by the sum of both and
+    ``n`` by popularity, where a prediction is not positive, are enough. Each
+    user's best prediction and the most popular product are among these, so the
+    blend scales by the best of all products.
+    """
     if similar is None:
         similar = content.content_similarity(products)
-    scores = sources(interactions, products, similar, collaborative_ratings(interactions, as_of))
+    model, labels = collaborative_model(interactions)
+    # each is used several times; with their plans inside, that of the blend would outgrow the driver
+    behaviour = checkpointed(behaviour_scores(interactions, products))
+    alike = checkpointed(content_scores(behaviour, similar, liked=None))
+    ratings = checkpointed(_ratings(model, labels, as_of, n))
+    sold = interactions.where("product_id is not null").join(products.select("product_id"), "product_id", "left_semi")
+    counts = checkpointed(sold.groupBy("product_id").agg(F.count("*").cast("double").alias("score")))
+    users = sold.select("user_id").unionByName(ratings.select("user_id")).where("user_id is not null").distinct()
+    bestsellers = counts.orderBy(F.desc("score"), F.asc("product_id")).limit(n).select("product_id")
+    pair = ["user_id", "product_id"]
+    pairs = behaviour.select(pair).unionByName(alike.select(pair)).unionByName(ratings.select(pair))
+    pairs = pairs.unionByName(popular_ratings(model, labels, ratings, counts, n))
+    pairs = pairs.unionByName(users.crossJoin(bestsellers))
+    pairs = checkpointed(pairs.where("user_id is not null").distinct())
+    known = pairs.join(labels["user_id"], "user_id").join(labels["product_id"], "product_id")
+    predicted = model.transform(known).select(*pair, F.col("prediction").cast("double").alias("score"))
+    parts = {"behavior": behaviour, "content": alike, "cf": predicted, "popularity": pairs.join(counts, "product_id")}
+    scores = None
+    for source, rows in parts.items():
+        rows = rows.select(*pair, "score", F.lit(source).alias("source"))
+        scores = rows if scores is None else scores.unionByName(rows)
     return ml.hybrid_blend(scores, n=n)

@@ -2,7 +2,7 @@ import math
 import random
 
 import pytest
-from clickloom.operators import content, ml
+from clickloom.operators import aggregates, content, ml
 from clickloom.plans import batch, hybrid
 from clickloom.sources import keyed, sinks
 
@@ -178,6 +178,61 @@ def test_hybrid_lists_use_all_sources(spark, shop):
     assert len(lists) == 30 and all(0 < r.score <= 1 for r in lists)
 
 
+def test_hybrid_lists_are_those_of_all_pairs(spark, shop, monkeypatch):
+    rng = random.Random(4)
+    products = shop.products([(k, "AB"[k % 2], 5.0, f"w{k % 7} v{k % 5}") for k in range(60)])
+    data = [(u, rng.randrange(59), rng.choice(["view", "click", "purchase"]), k) for u in range(12) for k in range(16)]
+    data += [(20 + k, 59, "view", k) for k in range(40)]  # a bestseller of users of its own
+    seen = shop.interactions(data)
+    fitted = []
+    train = ml.train_als
+
+    def once(ratings, **kwargs):
+        if not fitted:
+            fitted.append(train(ratings, **kwargs))
+        return fitted[0]
+
+    monkeypatch.setattr(ml, "train_als", once)
+    if hasattr(hybrid, "BLOCK"):
+        monkeypatch.setattr(hybrid, "BLOCK", 7)
+    similar = content.content_similarity(products).persist()
+    got = {}
+    for r in hybrid.recommend_hybrid(seen, products, AS_OF, similar=similar).orderBy("rank").collect():
+        got.setdefault(r.user_id, []).append((r.product_id, r.score))
+
+    _, labels = ml.index_ids(aggregates.implicit_ratings(seen))
+    parts = {name: {} for name in ml.HYBRID_WEIGHTS}
+    users, goods = (
+        {r[1]: r.features for r in factors.join(labels[c].withColumnRenamed(i, "id"), "id").select("features", c).collect()}
+        for factors, c, i in (
+            (fitted[0].userFactors, "user_id", "user_index"), (fitted[0].itemFactors, "product_id", "product_index")
+        )
+    )
+    everyone = {x[0] for x in data}
+    near = {}
+    for r in similar.collect():
+        near.setdefault(r.product_id, []).append((r.similar_id, r.similarity))
+    for u in everyone:
+        for p in range(60):
+            if u in users and p in goods:
+                parts["cf"][u, p] = sum(a * b for a, b in zip(users[u], goods[p]))
+            parts["popularity"][u, p] = sum(x[1] == p for x in data)
+    for r in hybrid.behaviour_scores(seen, products).collect():
+        parts["behavior"][r.user_id, r.product_id] = r.score
+        for p, s in near.get(r.product_id, []):
+            parts["content"][r.user_id, p] = parts["content"].get((r.user_id, p), 0.0) + r.score * s
+    assert set(got) == everyone
+    for u in everyone:
+        whole = {}
+        for name, weight in ml.HYBRID_WEIGHTS.items():
+            own = {p: v for (k, p), v in parts[name].items() if k == u and v > 0}
+            for p, v in own.items():
+                whole[p] = whole.get(p, 0.0) + weight * v / max(own.values())
+        best = sorted(whole.values(), reverse=True)[:10]
+        assert [s for _, s in got[u]] == pytest.approx(best, abs=1e-5)
+        assert [whole[p] for p, _ in got[u]] == pytest.approx(best, abs=1e-5)
+
+
 def test_batch_jobs_are_repeatable(spark, shop, tmp_path):
     rng = random.Random(6)
     data = shop.interactions(
