@@ -41,18 +41,20 @@ RULES = (
     Rule("block", "net", "/fr/"),
 )
 
-#: The small labelled table: names of sites of the kinds that curated lists block, names of others,
-#: and the forms in which both occur alike, so that neither prefix nor path tells them apart.
+#: The small labelled table: general words of the kinds of sites that curated lists block and of others, no host
+#: label of the supplied pages, and forms in which both occur alike, so that neither prefix nor path tells them apart.
 BLOCKED_SITES = (
-    "casino-royal online-casino win-casino casino-slots free-bets bets-today sportsbet poker-win jackpot-slots "
-    "adult-video adult-x xxx-adult porn-tube sex-chat cheap-pills pills-online viagra-pharmacy cheap-meds spam-farm "
-    "link-farm seo-spam spam-links ads-track track-ads ads-tracker popads-click malware-load warez-crack free-crack "
-    "payday-loans cheap-loans win-prize free-prize replica-watches cheap-replica"
+    "casino roulette-wheel slot-machine jackpot blackjack baccarat betting bookmaker wagers sportsbook poker-room lottery-winner "
+    "porn porn-tube xxx-videos adult-video adult-entertainment erotic nude-cams escort-girls sex-chat fetish viagra viagra-tablets cialis-online pharmacy-discount "
+    "steroids weight-loss-miracle phishing-login malware-download trojan-loader keygen-crack warez torrent-movies "
+    "payday-loan instant-credit free-money get-rich-quick miracle-cure replica-watches fake-diploma spam-mailer "
+    "link-exchange click-tracker popup-adverts adserver banner-network"
 ).split()
 OTHER_SITES = (
-    "library garden weather university news history cooking museum software travel city science theatre transport "
-    "school music thernd ththor ndtion ertion thenes wiki parliament hospital chess archive radio trains bakery "
-    "maps thther onand reading nature birds tionth thathe"
+    "library garden-plants weather-report university news-daily history cooking-recipes museum software travel-guide city-council "
+    "science theatre public-transport primary-school music-lessons encyclopedia parliament hospital chess-club archive "
+    "radio railways bakery maps reading nature-reserve birds astronomy geography orchestra-hall fire-brigade football-club "
+    "mathematics engineering literature local-government photography health-service bicycle-repair"
 ).split()
 PREFIXES = ("", "www.", "blog.", "m.")
 PATHS = ("/en/12", "/de/2520.html", "/fr/825/", "/es/338", "/en/41.html", "/", "/en/18044/", "/de/9", "/fr/7801", "/es/51/")

@@ -125,6 +125,23 @@ def test_urls(spark):
         assert model.probability(good, "/en/77") < url_filter.THRESHOLD
 
 
+def test_labelled_table_is_not_drawn_from_the_pages():
+    """No listed name is a label of a host of the supplied pages."""
+    urls = duckdb.sql("SELECT DISTINCT url FROM '/root/testdata/sf0.1/pages.parquet'").fetchall()
+    labels = {label for (url,) in urls for label in plain_host_path(url)[0].split(".")}
+    assert not labels & {*url_filter.BLOCKED_SITES, *url_filter.OTHER_SITES}
+
+
+def test_held_out_names(spark):
+    """Kinds of words of the table, in names that are not in it."""
+    model = url_filter.train(url_filter.labelled_table(spark))
+    bad = [model.probability(h, "/en/7") for h in ("www.betting-casino.test", "porn-videos.test", "jackpot-poker.test", "m.viagra-pharmacy.test")]
+    good = [model.probability(h, "/en/7") for h in ("www.city-museum.test", "science-library.test", "school-theatre.test", "m.history-archive.test")]
+    assert min(bad) >= url_filter.THRESHOLD > 0.5 > max(good)
+    # wording of neither list is near one half and so is allowed
+    assert 0.2 < model.probability("qwxzv.test", "/en/7") < url_filter.THRESHOLD
+
+
 def test_labelled_tables(spark):
     kind = "url string, label int"
     assert url_filter.train(spark.createDataFrame([], kind)).probability("a", "/") < 1e-9
