@@ -5,7 +5,7 @@ from clickloom.operators import aggregates, dashboards, joins, lists
 from clickloom.streaming import stateful
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, rows
+from shop import AS_OF, rows
 
 
 def test_rule_segments_reach_every_branch(shop):

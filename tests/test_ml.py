@@ -6,7 +6,7 @@ from clickloom.operators import aggregates, content, ml
 from clickloom.plans import batch, hybrid
 from clickloom.sources import keyed, sinks
 
-from conftest import AS_OF, rows
+from shop import AS_OF, rows
 
 
 @pytest.fixture(scope="module")

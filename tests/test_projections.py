@@ -3,7 +3,7 @@ from clickloom.functions.times import trailing_window
 from clickloom.operators import projections
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, rows
+from shop import AS_OF, rows
 
 
 def test_price_band_edges(spark):

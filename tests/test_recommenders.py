@@ -8,7 +8,7 @@ from clickloom.operators import windows
 from clickloom.plans import explain, publish, recommenders
 from clickloom.sources import keyed
 
-from conftest import AS_OF
+from shop import AS_OF
 
 RELATIONS = {"A": ["B", "C", "D"], "B": ["C", "A", "D"], "C": ["A", "B", "D"], "D": ["A", "B", "C"]}
 CATALOGUE = [(100 * c + k, "ABCD"[c]) for c in range(4) for k in range(1, 13)]

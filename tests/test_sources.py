@@ -4,7 +4,7 @@ from clickloom.sources import events as event_source
 from clickloom.sources import keyed, session, sinks, tables
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, rows
+from shop import AS_OF, rows
 
 
 def test_parse_and_reject(spark):

@@ -12,7 +12,7 @@ from clickloom.sources import keyed
 from clickloom.streaming import counters, jobs, stateful
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, rows
+from shop import AS_OF, rows
 
 
 def write_lines(folder, batches):

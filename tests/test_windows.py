@@ -4,7 +4,7 @@ from clickloom.functions.ranking import top_n_per_group
 from clickloom.operators import lists, windows
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, rows
+from shop import AS_OF, rows
 
 
 def test_salted_top_n_equals_brute_force(spark):
