@@ -1,4 +1,5 @@
 import pytest
+from odd_rows import ODD
 
 
 @pytest.fixture(scope="session")
@@ -12,22 +13,6 @@ def frame(spark):
     return make
 
 
-#: Ids and texts that every operator has to take: NULLs, empty, blank, repeated, beyond ASCII, very long.
-ODD = [
-    (1, "One two three four five six."),
-    (2, None),
-    (3, ""),
-    (4, " \t\n\r\x0b\x0c"),
-    (1, "One two three four five six."),
-    (None, "One two three four five six."),
-    (None, None),
-    (5, "Ünïcode ſtrange İ 😀 日本語   words here"),
-    (6, "long " * 30_000),
-    (7, "x" * 70_000),
-    (8, "\n\n\n"),
-]
-
-
 @pytest.fixture(scope="session")
 def odd(frame):
     return frame(ODD)
