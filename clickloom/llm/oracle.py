@@ -11,6 +11,21 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _PLAIN = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 
+#: CRC-32 of a text's bytes, as a macro-like expression over the table of the ``crc`` recursion.
+_CRC_TABLE = """crc(i, k, c) AS (
+            SELECT i, 0, i FROM range(256) AS r(i)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8
+        ),
+        tab AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE k = 8)"""
+
+
+def _crc(ascii_text: str) -> str:
+    points = f"list_transform(string_split({ascii_text}, ''), lambda x: CAST(ord(x) AS BIGINT))"
+    step = "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {points}), {step}), 4294967295)"
+
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": f"""
         WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents),
@@ -100,4 +115,43 @@ ORACLE: dict[str, str] = {
                (failed_bits & 119) = 0 AS kept, failed_bits
         FROM r
     """,
+    "op13_periodic_runs": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        d AS (
+            SELECT row_number() OVER () AS rid, doc_id, {_PLAIN.replace("(text,", "(coalesce(text, ''),")} AS w,
+                   {_crc("CAST(doc_id AS VARCHAR)")} AS h
+            FROM documents, tab
+        ),
+        e AS (SELECT rid, doc_id, w, h, len(w) AS n, h // 10 AS g FROM d),
+        f AS (SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM e WHERE h % 10 = 0 AND n > 0),
+        texts AS (
+            SELECT rid, doc_id, list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) AS w FROM f
+            UNION ALL SELECT rid, doc_id, w FROM e WHERE h IS NULL OR h % 10 <> 0 OR n = 0
+        ),
+        words AS (SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM texts),
+        pairs AS (
+            SELECT x.rid, x.i, y.i - x.i AS q FROM words x JOIN words y
+            ON x.rid = y.rid AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+        ),
+        stretches AS (
+            SELECT rid, q, min(i) AS start, count(*) + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM pairs)
+            GROUP BY rid, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+        ),
+        runs AS (SELECT rid, start, length, min(q) AS period FROM stretches GROUP BY rid, start, length),
+        per_doc AS (
+            SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+                   min({{'l': -length, 's': start, 'p': period}}) AS best
+            FROM runs GROUP BY rid
+        ),
+        dropped AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+        kept AS (
+            SELECT rid, string_agg(word, ' ' ORDER BY i) AS collapsed
+            FROM words ANTI JOIN dropped USING (rid, i) GROUP BY rid
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, -best.l AS length, best.p AS period,
+               1000 * -best.l // best.p AS exponent_milli,
+               sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+        FROM texts LEFT JOIN per_doc USING (rid) LEFT JOIN kept USING (rid)
+    """,
 }

@@ -12,6 +12,7 @@ from clickloom.llm import (
     decontamination,
     html_text,
     line_dedup,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -95,3 +96,8 @@ def op10_quality_rules(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), "kept", "failed_bits",
     )
+
+
+@query
+def op13_periodic_runs(spark, sf):
+    return periodic_runs.run_report(periodic_runs.plant_runs(table(spark, sf, "documents")))

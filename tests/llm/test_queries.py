@@ -36,7 +36,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_one_query_for_each_operator_and_the_pipeline():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == sorted(set(numbers)) and len(numbers) >= 10
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
