@@ -12,6 +12,7 @@ from clickloom.llm import (
     decontamination,
     html_text,
     line_dedup,
+    packing,
     periodic_runs,
     quality_classifier,
     quality_rules,
@@ -29,6 +30,10 @@ QUERIES: dict[str, Query] = {}
 PIECES = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
+#: Where the byte-level BPE file of the queries is.
+BYTE_PIECES = os.environ.get("BYTE_BPE_FILE", "/opt/tokenizers/byte_bpe_50k.json")
+
+
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
     return run
@@ -98,6 +103,11 @@ def op10_quality_rules(spark, sf):
     )
 
 
+@query
+def op11_best_fit_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"), BYTE_PIECES)
+
+
 @query
 def op13_periodic_runs(spark, sf):
     return periodic_runs.run_report(periodic_runs.plant_runs(table(spark, sf, "documents")))
