@@ -26,6 +26,30 @@ def _crc(ascii_text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295, {points}), {step}), 4294967295)"
 
 
+def _after(edit: str, cost: str, line: str, then: str, allowed: str = "true") -> str:
+    """A least repair (cost, audit, lines) that begins with ``edit`` and goes on as ``then``."""
+    total = f"CASE WHEN {allowed} THEN {then}.c + {cost} ELSE 1000000000 END"
+    return f"{{'c': {total}, 'a': '{edit}' || {then}.a, 'x': {line} || {then}.x}}"
+
+
+def _least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _row_options(state: int) -> str:
+    """Least repairs from a row on, before insertions: delete, keep or rename."""
+    to, role = (3, "assistant") if state == 2 else (2, "user")
+    stays, extra = "fault NOT IN (1, 2)", "CASE WHEN fault = 3 THEN 1 ELSE 0 END"
+    line = "role || ':' || text || chr(10)"
+    options = [_after("D", "3", "''", f"b{state}")]
+    options.append(_after("R", f"2 + {extra}", f"'{role}:' || text || chr(10)", f"b{to}", stays))
+    for initial, target in {0: [("s", 1), ("u", 2)], 1: [("u", 2)], 2: [("a", 3)], 3: [("u", 2)]}[state]:
+        options.append(_after("K", extra, line, f"b{target}", f"{stays} AND left(role, 1) = '{initial}'"))
+    return _least(*options)
+
+
+_USER, _ASSISTANT = "'user:' || chr(10)", "'assistant:' || chr(10)"
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": f"""
         WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents),
@@ -115,6 +139,62 @@ ORACLE: dict[str, str] = {
                (failed_bits & 119) = 0 AS kept, failed_bits
         FROM r
     """,
+    "op12_conversation_repair": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        source AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   {_crc("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS m
+            FROM conversations, tab
+        ),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+                   CASE m WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE WHEN m = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM source WHERE m <> 0
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS i,
+                   regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+            FROM damaged
+        ),
+        counted AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM placed),
+        judged AS (
+            SELECT *, CASE WHEN last = '' THEN 1 WHEN nth > 1 THEN 2 WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+                   left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair
+            FROM counted
+        ),
+        faults AS (
+            SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                   count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv_id
+        ),
+        ends AS (
+            SELECT {{'c': 0, 'a': '', 'x': ''}} AS b0, {{'c': 4, 'a': 'II', 'x': {_USER} || {_ASSISTANT}}} AS b1,
+                   {{'c': 2, 'a': 'I', 'x': {_ASSISTANT}}} AS b2, {{'c': 0, 'a': '', 'x': ''}} AS b3
+        ),
+        repairs AS (
+            SELECT conv_id, n AS i, b0, b1, b2, b3 FROM faults, ends
+            UNION ALL
+            SELECT conv_id, i, {_least("o0", _after("I", "2", _USER, "u"))}, {_least("o1", _after("I", "2", _USER, "u"))}, u,
+                   {_least("o3", _after("I", "2", _USER, "u"))}
+            FROM (
+                SELECT *, {_least("o2", _after("I", "2", _ASSISTANT, "o3"))} AS u
+                FROM (
+                    SELECT r.conv_id, r.i - 1 AS i, {_row_options(0)} AS o0, {_row_options(1)} AS o1, {_row_options(2)} AS o2, {_row_options(3)} AS o3
+                    FROM repairs r JOIN judged j ON r.conv_id IS NOT DISTINCT FROM j.conv_id AND r.i = j.i
+                )
+            )
+        ),
+        results AS (
+            SELECT f.*, b0.c AS cost, b0.a AS audit, sha256(left(b0.x, greatest(0, length(b0.x) - 1))) AS repaired_sha256
+            FROM faults f JOIN repairs r ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = 0
+        )
+        SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+               coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN results r ON c.conv_id IS NOT DISTINCT FROM r.conv_id
+    """,
     "op13_periodic_runs": f"""
         WITH RECURSIVE {_CRC_TABLE},
         d AS (

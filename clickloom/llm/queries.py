@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
+    conversations,
     decontamination,
     html_text,
     line_dedup,
@@ -108,6 +109,11 @@ def op11_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), BYTE_PIECES)
 
 
+@query
+def op12_conversation_repair(spark, sf):
+    return conversations.damaged_report(table(spark, sf, "conversations"))
+
+
 @query
 def op13_periodic_runs(spark, sf):
     return periodic_runs.run_report(periodic_runs.plant_runs(table(spark, sf, "documents")))
