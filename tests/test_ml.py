@@ -147,6 +147,41 @@ def test_one_word_in_every_text(shop):
     assert all(first[k] == (k + 150) % 300 for k in range(300))
 
 
+def test_equal_contents_behind_the_heads_are_not_read(spark, shop, monkeypatch):
+    """One word in all 3,000 texts at the same weight: ties go to small ids, which the heads hold."""
+    seen = []
+    further = content._further_pairs
+    monkeypatch.setattr(content, "_further_pairs", lambda *a: seen.append(further(*a)) or seen[-1])
+    products = shop.products([(k, "A", 1.0, f"gold w{k}") for k in range(3000)])
+    got = content.content_similarity(products, 3)
+    assert seen[0].count() == 0
+    for r in got.where("product_id in (0, 2, 2999)").collect():
+        assert r.similar_id == [j for j in range(4) if j != r.product_id][r["rank"] - 1]
+
+
+def test_levels_are_read_down_to_the_bound(spark, shop, monkeypatch):
+    rng = random.Random(21)
+    words = [f"w{k}" for k in range(40)]
+    data = [(k, "A", 1.0, " ".join(["all"] * rng.randint(1, 3) + rng.choices(words, k=rng.randint(1, 6)))) for k in range(400)]
+    counts = []
+    further = content._further_pairs
+    monkeypatch.setattr(content, "_further_pairs", lambda *a: counts.append(further(*a).count()) or further(*a))
+    lists = {}
+    for r in content.content_similarity(shop.products(data), 4).orderBy("rank").collect():
+        lists.setdefault(r.product_id, []).append((r.similar_id, r.similarity))
+    bags = [t.split() for _, _, _, t in data]
+    df = {w: sum(w in b for b in bags) for w in {x for b in bags for x in b}}
+    vectors = []
+    for bag in bags:
+        v = {w: bag.count(w) * (math.log(401 / (df[w] + 1)) + 1) for w in bag}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        vectors.append({w: x / norm for w, x in v.items()})
+    for k, own in enumerate(vectors):
+        near = [(-round(sum(x * v.get(w, 0.0) for w, x in own.items()), 6), j) for j, v in enumerate(vectors) if j != k]
+        assert lists[k] == [(j, -s) for s, j in sorted(near)[:4]]
+    assert counts[0] < 0.5 * 400 * 399
+
+
 def test_dense_index_is_the_rank_of_an_id(spark):
     ids = [5, -3, 2**40, 7, 5, None, 0]
     got = dict(rows(ml.dense_index(spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(4))))
