@@ -23,6 +23,8 @@ PART_RELATIONS = {
     "SMALL": ["STANDARD", "ECONOMY", "LARGE"],
     "STANDARD": ["ECONOMY", "LARGE", "MEDIUM"],
 }
+# The interaction types whose shares stand for the factors of a model.
+PREDICTED_TYPES = ("view", "click", "search", "category_view", "recommendation_click")
 DEFAULT_CATEGORY = "ECONOMY"
 PRICE_EDGES = (902, 905, 907, 909)
 

@@ -6,6 +6,8 @@ the whole tables.
 
 from __future__ import annotations
 
+from clickloom.registry.binding import PREDICTED_TYPES
+
 ORACLE: dict[str, str] = {}
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -571,17 +573,38 @@ add("content_similarity_texts", "", "SELECT * FROM sm",
       CASE WHEN item_id % 2 = 0 THEN 'even' ELSE 'odd' END AS category FROM benchmark)""", *similar("bm"))
 PAIRS = f"""pa AS (SELECT user_id, product_id, CAST(sum({PREFERENCE}) AS DOUBLE) AS score
     FROM s JOIN p USING (product_id) WHERE category IS NOT NULL GROUP BY ALL)"""
-add("hybrid_sources", "s p", "SELECT user_id, product_id, source, score FROM sr", BODY, *similar("pb"),
-    PAIRS, """ct AS (SELECT user_id, similar_id AS product_id,
+CONTENT = """ct AS (SELECT user_id, similar_id AS product_id,
       CAST(sum(CAST(score AS DECIMAL(18, 0)) * CAST(similarity AS DECIMAL(10, 6))) AS DOUBLE) AS score
-      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS k FROM pa
-        WHERE score > 0 AND user_id IS NOT NULL) t
-      JOIN sm USING (product_id) WHERE k <= 10 GROUP BY ALL)""",
-    """sr AS (SELECT user_id, product_id, 'behavior' AS source, score FROM pa
+      FROM pa JOIN sm USING (product_id) WHERE score > 0 AND user_id IS NOT NULL GROUP BY ALL)"""
+POPULAR = "pc AS (SELECT product_id, CAST(count(*) AS DOUBLE) AS score FROM s JOIN p USING (product_id) GROUP BY product_id)"
+add("hybrid_sources", "s p", """SELECT user_id, product_id, 'behavior' AS source, score FROM pa
+      UNION ALL SELECT user_id, product_id, 'content', score FROM ct
+      UNION ALL SELECT NULL, product_id, 'popularity', score FROM pc""", BODY, *similar("pb"), PAIRS, CONTENT, POPULAR)
+
+
+def shares(key: str, name: str) -> str:
+    """Shares of the interaction types per user or product, as columns ``name0`` ...."""
+    columns = ", ".join(
+        f"round(count(*) FILTER (interaction_type = '{t}') / count(*), 4) AS {name}{k}" for k, t in enumerate(PREDICTED_TYPES)
+    )
+    return f"{name}f AS (SELECT {key}, {columns} FROM s WHERE {key} IS NOT NULL GROUP BY {key})"
+
+
+DOT = " + ".join(f"u{k} * g{k}" for k in range(len(PREDICTED_TYPES)))
+add("recommend_hybrid_lists", "s p", """SELECT user_id, CAST(rank AS INTEGER) AS rank, product_id, round(score, 6) AS score FROM bl
+      WHERE rank <= 10""",
+    BODY, *similar("pb"), PAIRS, CONTENT, POPULAR, shares("user_id", "u"), shares("product_id", "g"),
+    """us AS (SELECT DISTINCT user_id FROM s JOIN p USING (product_id) WHERE user_id IS NOT NULL
+      UNION SELECT user_id FROM uf)""",
+    f"""al AS (SELECT user_id, product_id, 'behavior' AS source, score FROM pa WHERE user_id IS NOT NULL
       UNION ALL SELECT user_id, product_id, 'content', score FROM ct
-      UNION ALL SELECT user_id, product_id, 'popularity', CAST(n AS DOUBLE)
-        FROM (SELECT user_id, product_id FROM pa UNION SELECT user_id, product_id FROM ct)
-        JOIN (SELECT product_id, count(*) AS n FROM s WHERE product_id IS NOT NULL GROUP BY product_id) USING (product_id))""")
+      UNION ALL SELECT user_id, product_id, 'popularity', score FROM us, pc
+      UNION ALL SELECT user_id, product_id, 'cf', {DOT} FROM uf, gf)""",
+    """bl AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS rank FROM (
+      SELECT user_id, product_id, round(sum(score / best * CASE source WHEN 'cf' THEN 0.4 WHEN 'content' THEN 0.3
+        WHEN 'popularity' THEN 0.2 ELSE 0.1 END), 9) AS score
+      FROM (SELECT *, max(score) OVER (PARTITION BY user_id, source) AS best FROM al WHERE score > 0)
+      GROUP BY user_id, product_id))""")
 add("recommend_hybrid", "s p", """SELECT DISTINCT user_id, 10::BIGINT AS entries, true AS ranks_dense,
     true AS products_distinct, true AS scores_in_range FROM s JOIN p USING (product_id)""")
 

@@ -924,7 +924,7 @@ def hybrid_blend(spark, sf):
 
 @query
 def hybrid_sources(spark, sf):
-    """The deterministic scores of the hybrid recommender."""
+    """The deterministic scores of the hybrid recommender; popularity has no user."""
     goods = b.products(spark, sf)
     similar = content.content_similarity(goods, 5)
     rows = hybrid.sources(b.shop_interactions(spark, sf), goods, similar)
@@ -934,7 +934,7 @@ def hybrid_sources(spark, sf):
 @query
 def recommend_hybrid(spark, sf):
     """Lists blended of ALS, content, popularity and behaviour: their form."""
-    rows = hybrid.recommend_hybrid(b.shop_interactions(spark, sf), b.products(spark, sf), AS_OF)
+    rows = hybrid.recommend_hybrid(b.shop_interactions(spark, sf), b.products(spark, sf))
     per_user = rows.groupBy("user_id").agg(
         F.count("*").alias("entries"),
         (F.max("rank") == F.count("*")).alias("ranks_dense"),
@@ -944,6 +944,21 @@ def recommend_hybrid(spark, sf):
     return per_user.select("user_id", "entries", "ranks_dense", "products_distinct", "scores_in_range")
 
 
+@query
+def recommend_hybrid_lists(spark, sf):
+    """The lists themselves, with predictions that SQL can form: shares of the interaction types."""
+    rows, goods = b.shop_interactions(spark, sf), b.products(spark, sf)
+    types = b.PREDICTED_TYPES
+
+    def factors(key):
+        counts = [F.count_if(F.col("interaction_type") == t) for t in types]
+        shares = F.array(*(F.round(c / F.count("*"), 4) for c in counts))
+        return rows.where(f"{key} is not null").groupBy(key).agg(shares.alias("features"))
+
+    lists = hybrid.recommend_hybrid(rows, goods, 10, factors=(factors("user_id"), factors("product_id")))
+    return lists.select("user_id", "rank", "product_id", F.round("score", 6).alias("score"))
+
+
 @query
 def content_similarity(spark, sf):
     return content.content_similarity(b.products(spark, sf), 5)

@@ -207,9 +207,9 @@ def test_hybrid_lists_use_all_sources(spark, shop):
     products = shop.products([(k, "AB"[k % 2], 5.0, f"w{k % 4} v{k % 3}") for k in range(24)])
     seen = shop.interactions([(u, rng.randrange(20), rng.choice(["view", "click"]), k) for u in range(6) for k in range(9)])
     similar = content.content_similarity(products)
-    scores = hybrid.sources(seen, products, similar, hybrid.collaborative_ratings(seen, AS_OF))
-    assert {r.source for r in scores.select("source").distinct().collect()} == set(ml.HYBRID_WEIGHTS)
-    lists = hybrid.recommend_hybrid(seen, products, AS_OF, n=5).collect()
+    scores = hybrid.sources(seen, products, similar)
+    assert {r.source for r in scores.select("source").distinct().collect()} == set(ml.HYBRID_WEIGHTS) - {"cf"}
+    lists = hybrid.recommend_hybrid(seen, products, n=5).collect()
     assert len(lists) == 30 and all(0 < r.score <= 1 for r in lists)
 
 
@@ -228,11 +228,11 @@ def test_hybrid_lists_are_those_of_all_pairs(spark, shop, monkeypatch):
         return fitted[0]
 
     monkeypatch.setattr(ml, "train_als", once)
-    if hasattr(hybrid, "BLOCK"):
-        monkeypatch.setattr(hybrid, "BLOCK", 7)
+    monkeypatch.setattr(hybrid, "BLOCK", 7)
+    monkeypatch.setattr(hybrid, "TOGETHER", 3)
     similar = content.content_similarity(products).persist()
     got = {}
-    for r in hybrid.recommend_hybrid(seen, products, AS_OF, similar=similar).orderBy("rank").collect():
+    for r in hybrid.recommend_hybrid(seen, products, similar=similar).orderBy("rank").collect():
         got.setdefault(r.user_id, []).append((r.product_id, r.score))
 
     _, labels = ml.index_ids(aggregates.implicit_ratings(seen))
@@ -268,6 +268,36 @@ def test_hybrid_lists_are_those_of_all_pairs(spark, shop, monkeypatch):
         assert [whole[p] for p, _ in got[u]] == pytest.approx(best, abs=1e-5)
 
 
+@pytest.mark.parametrize("block,scores", [(4, 10), (16, 10**6)])
+def test_best_products_equal_all_pairs(spark, monkeypatch, block, scores):
+    rng = random.Random(9)
+    monkeypatch.setattr(hybrid, "BLOCK", block)
+    monkeypatch.setattr(hybrid, "TOGETHER", 8)
+    monkeypatch.setattr(hybrid, "SCORES", scores)
+    centres = [[rng.gauss(0, 1) for _ in range(4)] for _ in range(6)]
+    vector = lambda: [x + rng.gauss(0, 0.1) for x in rng.choice(centres)]
+    users = [(k, vector(), 0.3) for k in range(50)]
+    goods = [(k, vector(), rng.random()) for k in range(120)] + [(200 + k, [1.0, 0.0, 0.0, 0.0], 0.5) for k in range(20)]
+    wanted = spark.createDataFrame(users, "user_id bigint, features array<double>, weight double")
+    blocks = hybrid.product_blocks(spark.createDataFrame(goods, "product_id bigint, features array<double>, share double"))
+    read = []
+    scored = hybrid._scored
+    monkeypatch.setattr(hybrid, "_scored", lambda w, g, n, p: read.append(w.join(g, "block").count()) or scored(w, g, n, p))
+    got = {}
+    for r in hybrid.best_products(wanted, blocks, 5).orderBy("rank").collect():
+        got.setdefault(r.user_id, []).append((r.product_id, r.score))
+    for k, own, weight in users:
+        full = sorted((-round(sum(a * b for a, b in zip(own, v, strict=True)) + weight * s, 9), p) for p, v, s in goods)
+        assert [p for p, _ in got[k]] == [p for _, p in full[:5]]
+    assert sum(read) < 0.75 * len(users) * len(goods)
+
+
+def test_best_products_of_nothing(spark):
+    users = spark.createDataFrame([(1, [1.0], 0.2)], "user_id bigint, features array<double>, weight double")
+    goods = spark.createDataFrame([], "product_id bigint, features array<double>, share double")
+    assert hybrid.best_products(users, hybrid.product_blocks(goods), 3).collect() == []
+
+
 def test_batch_jobs_are_repeatable(spark, shop, tmp_path):
     rng = random.Random(6)
     data = shop.interactions(
