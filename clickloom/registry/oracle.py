@@ -478,6 +478,45 @@ add("candidate_union", "e i p", "SELECT user_id, product_id, rank FROM cu WHERE
 add("refresh_recommendations", "e i p",
     MERGE.format("AND user_id IN (SELECT user_id FROM d)"), trend_rank("i"), CANDIDATES, FAVOURITES,
     "new_list AS (SELECT user_id, product_id, rank AS o FROM cu WHERE rank <= 10)")
+
+
+def stream_batches(days: int) -> list[str]:
+    """CTEs of the lists after each day: ``l<k>`` of its users, ``st<k>`` of all users with the time of the list."""
+    out = ["st0 AS (SELECT NULL::BIGINT AS user_id, NULL::BIGINT AS product_id, NULL::INTEGER AS rank, NULL::TIMESTAMP AS ts WHERE false)"]
+    for k in range(1, days + 1):
+        span = f"ts >= {NOW} - INTERVAL {days + 1 - k} DAYS AND ts < {NOW} - INTERVAL {days - k} DAYS"
+        out += [
+            f"d{k} AS (SELECT * FROM e WHERE {IMPORTANT} AND {span})",
+            f"u{k} AS (SELECT user_id, max(ts) AS ts FROM d{k} GROUP BY user_id)",
+            f"""c{k} AS (SELECT user_id, product_id, 0 AS blk, 0 AS w, '' AS c, rk FROM u{k} CROSS JOIN tp UNION ALL
+              SELECT user_id, tr.product_id, 1, -n, category, rk
+              FROM (SELECT user_id, category, count(*) AS n FROM d{k} WHERE category IS NOT NULL GROUP BY ALL)
+              JOIN tr USING (category) WHERE rk <= 3)""",
+            f"""n{k} AS (SELECT user_id, product_id, row_number() OVER (PARTITION BY user_id ORDER BY blk, w, c, rk, product_id) AS rank
+              FROM (SELECT *, row_number() OVER (PARTITION BY user_id, product_id ORDER BY blk, w, c, rk) AS k FROM c{k}) t
+              WHERE k = 1 AND NOT EXISTS (SELECT 1 FROM d{k} d WHERE d.user_id = t.user_id AND d.product_id = t.product_id))""",
+            f"""m{k} AS (SELECT user_id, product_id, min(o) AS o FROM (
+                SELECT user_id, product_id, rank AS o FROM n{k} WHERE rank <= 10 UNION ALL
+                SELECT s.user_id, product_id, 1000 + rank FROM st{k - 1} s JOIN u{k} u ON s.user_id = u.user_id
+                WHERE u.ts <= s.ts + INTERVAL 3 DAYS) GROUP BY ALL)""",
+            f"""l{k} AS (SELECT * FROM (SELECT user_id, product_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY o)
+              AS INTEGER) AS rank FROM m{k}) WHERE rank <= 15)""",
+            f"""st{k} AS (SELECT user_id, product_id, rank, ts FROM l{k} JOIN u{k} USING (user_id)
+              UNION ALL SELECT * FROM st{k - 1} WHERE user_id NOT IN (SELECT user_id FROM u{k}))""",
+        ]
+    return out
+
+
+TRENDING = f"""tp AS (SELECT product_id, row_number() OVER (ORDER BY trending_score DESC, product_id) AS rk
+    FROM ({trending('i', 5)}))"""
+add("stream_refresh", "e i p",
+    " UNION ALL ".join(f"SELECT {k - 1}::BIGINT AS day, user_id, rank, product_id FROM l{k}" for k in range(1, 7)),
+    trend_rank("i"), TRENDING, *stream_batches(6))
+add("event_router", "e", """SELECT 'input' AS sink, NULL::BIGINT AS rows_stored, count(*) AS rows_counted FROM e
+    UNION ALL SELECT 'raw_events', count(*), count(*) FROM e WHERE event_id % 50 <> 0
+    UNION ALL SELECT 'rejected_events', count(*), count(*) FROM e WHERE event_id % 50 = 0
+    UNION ALL SELECT 'interactions', count(*), count(*) FROM e WHERE event_id % 50 <> 0
+      AND (event_type = 'product_view' OR event_type IN ('click', 'recommendation_click') AND product_id IS NOT NULL)""")
 add("distinct_values", "s", "SELECT DISTINCT user_id, interaction_type FROM s")
 add("drop_matching_sessions", "b", f"""SELECT session_id, user_id, last_activity FROM b
     WHERE NOT starts_with(session_id, 'tab_1') AND last_activity >= {NOW} - INTERVAL 1440 MINUTES""")

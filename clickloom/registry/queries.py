@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import scalars, weights
@@ -27,7 +27,8 @@ from clickloom.registry import binding as b
 from clickloom.registry.binding import AS_OF
 from clickloom.sources import events as event_source
 from clickloom.sources import keyed, tables
-from clickloom.streaming import counters, stateful
+from clickloom.sources.session import shared_folder
+from clickloom.streaming import counters, jobs, refresh_state, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1132,6 +1133,55 @@ def dedup_events(spark, sf):
     return rows.select("event_id", "user_id", "normalised_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+@query
+def event_router(spark, sf):
+    """Events as JSON through the router, one batch replayed: rows in each sink, and as counted while written."""
+    root = shared_folder(spark, "router")
+    rows = b.web_events(spark, sf)
+    record = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("event_id"), "user_id", "event_type", "data",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"), "session_id",
+    ))
+    broken = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("broken "), F.col("event_id").cast("string")))
+    rows.select(F.coalesce(broken, record).alias("value")).write.text(f"{root}/in")
+    parsed = event_source.parse_events(event_source.file_source(spark, f"{root}/in"), rejects=True)
+    jobs.event_router(parsed, f"{root}/out", f"{root}/state", available_now=True).awaitTermination()
+    counts = spark.read.parquet(f"{root}/out/sink_counts")
+    first = spark.read.text(f"{root}/in").select(F.col("value").cast("binary").alias("value"))
+    jobs.route_batch(
+        event_source.parse_events(first, rejects=True), 0, f"{root}/out", writer=counts.first()["writer"]
+    )
+    observed = spark.read.parquet(f"{root}/out/sink_counts").groupBy("sink").agg(F.sum("rows").alias("rows_counted"))
+    stored = None
+    for sink in ("raw_events", "rejected_events", "interactions"):
+        rows = spark.read.parquet(f"{root}/out/{sink}").select(F.lit(sink).alias("sink"))
+        stored = rows if stored is None else stored.unionByName(rows)
+    stored = stored.groupBy("sink").agg(F.count("*").alias("rows_stored"))
+    return observed.join(stored, "sink", "left").select("sink", "rows_stored", "rows_counted")
+
+
+@query
+def stream_refresh(spark, sf):
+    """The lists after each of six daily micro-batches of the stateful refresh."""
+    root = shared_folder(spark, "lists")
+    rows, trending, shelf = b.web_events(spark, sf), _trending(spark, sf), _shelf(spark, sf)
+    for back in range(6, 0, -1):
+        day = rows.where(
+            f"ts >= timestamp_ntz'{AS_OF}' - interval {back} days and ts < timestamp_ntz'{AS_OF}' - interval {back - 1} days"
+        )
+        day.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        lists = refresh_state.stream_lists(stream, trending, shelf)
+        jobs.store_lists(lists, f"{root}/out", f"{root}/state", available_now=True).awaitTermination()
+    stored = spark.read.parquet(f"{root}/out")
+    # micro-batches without events, in which only timers run, take numbers too
+    days = stored.groupBy("batch_id").agg((F.row_number().over(Window.orderBy("batch_id")) - 1).cast("bigint").alias("day"))
+    rows = stored.join(days, "batch_id")
+    return rows.select("day", "user_id", F.posexplode("product_ids").alias("_p", "product_id")).select(
+        "day", "user_id", (F.col("_p") + 1).cast("int").alias("rank"), "product_id"
+    )
+
+
 @query
 def keyed_latest(spark, sf):
     """Every event as a write of its user's row by the writer of its type; live rows."""

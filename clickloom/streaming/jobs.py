@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -78,20 +78,34 @@ def route_batch(
 
     Raw events, interactions, counter increments and history entries are
     appended under the batch id; rejects (rows without an event type) are kept
-    with their text; ``forward`` receives the messages for the processing
-    topic. Counters and histories are folded when they are read.
+    with their text and without a time; ``forward`` receives the messages for
+    the processing topic. Counters and histories are folded when they are read.
+
+    Each sink counts the rows it writes while it writes them; ``sink_counts``
+    keeps the counts beside that of the batch. Events and rejects together must
+    be the batch, else the batch fails and is run again.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    seen: dict[str, Observation] = {}
+
+    def counted(sink: str, rows: DataFrame) -> DataFrame:
+        seen[sink] = Observation()
+        return rows.observe(seen[sink], F.count(F.lit(1)).alias("rows"))
+
     try:
         events = batch.where("event_type is not null")
-        rejects = batch.where("event_type is null").select("raw")
-        sinks.append_batch(
-            rejects.withColumn("ts", F.current_timestamp()), f"{root}/rejected_events", batch_id, writer
-        )
-        sinks.append_raw_events(events, f"{root}/raw_events", batch_id, writer)
+        rejects = batch.where("event_type is null").select("raw").withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+        sinks.append_batch(counted("rejected_events", rejects), f"{root}/rejected_events", batch_id, writer)
+        sinks.append_raw_events(counted("raw_events", events), f"{root}/raw_events", batch_id, writer)
         sinks.append_interactions(
-            projections.to_interaction(events), f"{root}/interactions", batch_id, writer
+            counted("interactions", projections.to_interaction(events)), f"{root}/interactions", batch_id, writer
         )
+        counts = {"input": batch.count()} | {sink: o.get.get("rows", 0) for sink, o in seen.items()}
+        if counts["input"] != counts["raw_events"] + counts["rejected_events"]:
+            raise ValueError(f"batch {batch_id} of {writer} lost rows: {counts}")
+        table = [(sink, rows, None) for sink, rows in counts.items()]
+        observed = batch.sparkSession.createDataFrame(table, "sink string, rows bigint, ts timestamp_ntz")
+        sinks.append_batch(observed, f"{root}/sink_counts", batch_id, writer)
         counters.store_counters(events, root, batch_id, writer)
         for kind in windows.HISTORIES:
             counters.store_history(events, root, kind, batch_id, writer)
@@ -168,6 +182,21 @@ def stream_refresh(
     )
 
 
+def store_lists(lists: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Append the changed lists of ``refresh_state.stream_lists`` by batch id; a replayed batch replaces itself."""
+
+    def body(batch: DataFrame, batch_id: int, writer: str) -> None:
+        sinks.append_batch(batch, path, batch_id, writer, "updated_at")
+
+    return start_batches(lists, body, "lists", checkpoint, available_now, mode="update")
+
+
+def newest_lists(stored: DataFrame) -> DataFrame:
+    """``user_id, product_ids, updated_at`` of each user's last batch."""
+    last = F.max_by(F.struct("product_ids", "updated_at"), "batch_id")
+    return stored.groupBy("user_id").agg(last.alias("_l")).select("user_id", "_l.*")
+
+
 # ----------------------------------------------------------------- sessions
 
 

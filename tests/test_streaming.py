@@ -9,7 +9,7 @@ from clickloom.operators import aggregates, projections, windows
 from clickloom.plans.refresh import refresh_recommendations
 from clickloom.sources import events as event_source
 from clickloom.sources import keyed
-from clickloom.streaming import counters, jobs, stateful
+from clickloom.streaming import counters, jobs, refresh_state, stateful
 from pyspark.sql import functions as F
 
 from shop import AS_OF, rows
@@ -99,6 +99,11 @@ def test_router_stores_everything_once(spark, tmp_path):
     assert sorted(rows(stored, *columns)) == sorted(rows(want, *columns))
     writer = {r.writer for r in stored.select("writer").distinct().collect()}.pop()
 
+    def counts():
+        return dict(rows(spark.read.parquet(f"{root}/sink_counts").groupBy("sink").sum("rows")))
+
+    assert counts() == {"input": 123, "raw_events": 120, "rejected_events": 3, "interactions": want.count()}
+
     def check():
         counted = stateful.stream_product_counters(events)
         got = jobs.counters.read_counters(spark, root, "product_counters", AS_OF)
@@ -123,6 +128,8 @@ def test_router_stores_everything_once(spark, tmp_path):
     )
     jobs.route_batch(first, 0, root, writer=writer)
     assert spark.read.parquet(f"{root}/raw_events").count() == 120
+    assert spark.read.parquet(f"{root}/rejected_events").count() == 3
+    assert counts()["input"] == 123
     check()
     for _ in range(2):
         jobs.fold_stores(spark, root, AS_OF)
@@ -178,6 +185,53 @@ def test_refresh_stream_equals_folded_batches(spark, tmp_path):
     assert all(len(v) <= 15 and len(set(v)) == len(v) for v in got.values())
 
 
+SHELF = [(c, 10 * (1 + "AB".index(c)) + k, k) for c in "AB" for k in range(1, 6)]
+
+
+def test_state_lists_equal_folded_batches(spark, tmp_path):
+    batches = shop_batches(12)
+    write_lines(tmp_path / "in", [*batches, [line(9, "page_view", 1, page="/")]])
+    trending = spark.createDataFrame([(k, k) for k in range(1, 8)], "product_id bigint, rank int")
+    shelf = spark.createDataFrame(SHELF, "category string, product_id bigint, rank int")
+    lists = refresh_state.stream_lists(stream(spark, tmp_path / "in"), trending, shelf)
+    jobs.store_lists(lists, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    got = dict(rows(jobs.newest_lists(stored), "user_id", "product_ids"))
+    have = {}
+    for k in range(3):
+        now = static(spark, tmp_path / "in" / f"{k:03d}.json")
+        old = spark.createDataFrame(list(have.items()), "user_id bigint, product_ids array<bigint>")
+        have |= dict(rows(refresh_recommendations(now, old, trending, shelf)))
+    assert got == have and 9 not in got
+
+
+def test_state_lists_end_after_their_life(spark, tmp_path):
+    day = 86_400
+    view = lambda user, age, product: line(user, "product_view", age, product_id=product, category="A")
+    steps = [
+        [view(1, 10 * day, 11), view(2, 10 * day, 12)],
+        [view(1, 8 * day, 12)],  # two days later: the list goes on
+        [view(2, 5 * day, 11), view(3, 5 * day, 11)],  # five days later: a new list
+        [view(1, 2 * day, 13), line(4, "click", 2 * day)],
+    ]
+    trending = spark.createDataFrame([], "product_id bigint, rank int")
+    shelf = spark.createDataFrame(SHELF, "category string, product_id bigint, rank int")
+    out = str(tmp_path / "out")
+    write_lines(tmp_path / "in", steps)
+    lists = refresh_state.stream_lists(stream(spark, tmp_path / "in"), trending, shelf)
+    jobs.store_lists(lists, out, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    seen = {}
+    for user, products in rows(spark.read.parquet(out).orderBy("batch_id"), "user_id", "product_ids"):
+        seen.setdefault(user, []).append(products)
+    assert seen == {1: [[12, 13], [11, 13, 12], [11, 12]], 2: [[11, 13], [12, 13]], 3: [[12, 13]], 4: [[]]}
+
+
+def test_entries_of_an_active_user_are_combined(spark, shop):
+    events = shop.events([(1, "product_view", {"category": "A", "product_id": str(k % 3)}, k) for k in range(900)])
+    got = refresh_state.interest_entries(events.coalesce(1)).collect()
+    assert len(got) == 3 and sum(r.n for r in got) == 900 and max(r.ts for r in got).replace(tzinfo=None) == AS_OF
+
+
 def test_refresh_by_hand(spark, shop):
     events = shop.events(
         [
