@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import re
@@ -29,6 +30,8 @@ ARCHIVE_CHARS, FILE_RECORDS = 4_000_000, 2_000
 #: Crawl time and address of pages that carry none.
 DATE, ADDRESS = "20240101000000", "0.0.0.0"
 END = b"\r\n\r\n"
+#: Fixed value: the first bytes of a gzip member.
+GZIP = b"\x1f\x8b"
 
 
 # ------------------------------------------------------------------------- ARC
@@ -59,12 +62,18 @@ def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], int, bytes]]:
 
     The first record describes the file: its content names the version and the
     fields of every header line. A header line is cut from the right, so a URL
-    may hold spaces; the content is as long as the header declares.
+    may hold spaces; the content is as long as the header declares, of any
+    bytes. A gzipped file, whole or record by record, is inflated first and
+    offsets are those of the inflated file. Bytes of a header line that are not
+    UTF-8 are written as ``%XX``.
     """
+    if data[:2] == GZIP:
+        data = gzip.decompress(data)
 
     def line(at: int) -> tuple[str, int]:
         end = data.index(b"\n", at)
-        return data[at:end].decode("utf-8", "replace").rstrip("\r"), end + 1
+        text = data[at:end].rstrip(b"\r").decode("utf-8", "surrogateescape")
+        return re.sub("[\udc80-\udcff]", lambda m: f"%{ord(m[0]) - 0xDC00:02X}", text), end + 1
 
     first, at = line(0)
     if not first.startswith("filedesc://"):
@@ -146,7 +155,7 @@ def records(archives: DataFrame, payloads: bool) -> DataFrame:
     fields = [("record_id", pa.string()), ("page_id", pa.int64()), ("uri", pa.string()), ("date", pa.string()),
               ("address", pa.string()), ("kind", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())]
     if payloads:
-        fields += [("head", pa.string()), ("payload", pa.string())]
+        fields += [("head", pa.binary()), ("payload", pa.binary())]
     schema = pa.schema(fields)
 
     def run(batches):
@@ -167,21 +176,23 @@ def records(archives: DataFrame, payloads: bool) -> DataFrame:
                         "application/http; msgtype=response" if head else fields["Content-type"],
                         len(payload),
                         digest,
-                        *((head.decode("utf-8", "replace"), payload.decode("utf-8", "replace")) if payloads else ()),
+                        *((head, payload) if payloads else ()),
                     ))
                 if rows:
                     yield batch(schema, *zip(*rows, strict=True))
 
-    return archives.mapInArrow(run, RECORD + (", head string, payload string" if payloads else ""))
+    return archives.mapInArrow(run, RECORD + (", head binary, payload binary" if payloads else ""))
 
 
 def converted(archives: DataFrame) -> DataFrame:
-    """``record``: each ARC record of ``archives`` as the text of a WARC record without its closing lines.
+    """``record``: each ARC record of ``archives`` as the bytes of a WARC record without its closing lines.
 
     Of the records with equal payloads of ``LEAST_PAYLOAD`` bytes or more, the
     one with the smallest ``page_id`` is a response with head and payload; rows
     that repeat this page are responses, too. The others are revisits: they hold the
     head and refer to the response. A NULL ``page_id`` is larger than any other.
+    Head and payload are kept as the bytes they are. ``archives`` is read twice
+    and must give the same files again.
     """
     small = records(archives, payloads=False).where(F.col("payload_bytes") >= LEAST_PAYLOAD)
     order = F.struct(F.col("page_id").isNull().alias("n"), "page_id", "record_id", "uri", "date")
@@ -190,29 +201,29 @@ def converted(archives: DataFrame) -> DataFrame:
     rows = records(archives, payloads=True).join(firsts, F.col("payload_digest") == F.col("digest"), "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
     crlf = "\r\n"
-    head = F.when(F.col("head") == "", F.lit("")).otherwise(F.concat("head", F.lit(crlf * 2)))
+    raw = lambda x: (F.lit(x) if isinstance(x, str) else x).cast("binary")
+    head = F.when(F.octet_length("head") == 0, raw("")).otherwise(F.concat("head", raw(crlf * 2)))
     block = F.when(again, head).otherwise(F.concat(head, "payload"))
     refers = F.concat(
         F.lit("WARC-Refers-To: "), "first.record_id", F.lit(f"{crlf}WARC-Refers-To-Target-URI: "), "first.uri",
         F.lit(f"{crlf}WARC-Refers-To-Date: "), "first.date", F.lit(f"{crlf}WARC-Profile: {SAME_PAYLOAD}{crlf}"),
     )
+    rows = rows.withColumn("_block", block)
     lines = [
         ("WARC-Record-ID", F.col("record_id")), ("WARC-Target-URI", F.col("uri")), ("WARC-Date", F.col("date")),
         ("WARC-IP-Address", F.col("address")), ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "payload_digest")),
-        ("WARC-Block-Digest", F.concat(F.lit("sha256:"), F.sha2(block.cast("binary"), 256))), ("Content-Type", F.col("kind")),
-        ("Content-Length", F.octet_length(block).cast("string")),
+        ("WARC-Block-Digest", F.concat(F.lit("sha256:"), F.sha2("_block", 256))), ("Content-Type", F.col("kind")),
+        ("Content-Length", F.octet_length("_block").cast("string")),
     ]
-    return rows.select(
-        F.concat(
-            F.lit(f"WARC/1.1{crlf}WARC-Type: "),
-            F.when(again, "revisit").otherwise("response"),
-            F.lit(crlf),
-            F.when(again, refers).otherwise(""),
-            *(x for name, value in lines for x in (F.lit(f"{name}: "), value, F.lit(crlf))),
-            F.lit(crlf),
-            block,
-        ).alias("record")
+    header = F.concat(
+        F.lit(f"WARC/1.1{crlf}WARC-Type: "),
+        F.when(again, "revisit").otherwise("response"),
+        F.lit(crlf),
+        F.when(again, refers).otherwise(""),
+        *(x for name, value in lines for x in (F.lit(f"{name}: "), value, F.lit(crlf))),
+        F.lit(crlf),
     )
+    return rows.select(F.concat(raw(header), "_block").alias("record"))
 
 
 def write_warc(rows: DataFrame, folder: str) -> None:
@@ -220,15 +231,22 @@ def write_warc(rows: DataFrame, folder: str) -> None:
 
     Spark's text writer ends each record with two line ends, which is the
     format's own record end, and commits files by task, so a lost executor
-    leaves no halves.
+    leaves no halves. A string holds any bytes, and the writer leaves them as
+    they are.
     """
-    writer = rows.select("record").write.option("lineSep", END.decode()).option("compression", "gzip")
+    writer = rows.select(F.col("record").cast("string")).write.option("lineSep", END.decode()).option("compression", "gzip")
     writer.option("maxRecordsPerFile", FILE_RECORDS).text(folder)
 
 
 # --------------------------------------------------------------------- reading
 
 
+def read_arc(spark: SparkSession, folder: str) -> DataFrame:
+    """``archive, content`` of the ARC files in ``folder``, gzipped or not, for ``converted``."""
+    files = spark.read.format("binaryFile").load(folder)
+    return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("archive"), "content")
+
+
 class Inflated:
     """A gzipped file in memory as a byte stream, inflated as it is read."""
 
@@ -325,7 +343,9 @@ def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     ``page_id`` stays NULL. Repeated rows give repeated records; rows that
     repeat a response's page are responses. Extra columns are not read; an
     empty table gives an empty result. ``folder`` is a new one in the shared
-    checkpoint folder unless given.
+    checkpoint folder unless given. The pages are packed in two passes; if
+    these give different files, as after a shuffle whose order changes, and a
+    revisit finds no response, the query ends with an error.
     """
     spark = pages.sparkSession
     folder = folder or shared_folder(spark, "warc")
@@ -335,7 +355,9 @@ def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     first = own.select(
         F.col("record_id").alias("response_id"), F.col("page_id").alias("response_page"), F.col("payload_bytes").alias("size")
     ).dropDuplicates(["response_id"])
-    again = back.where("record_type = 'revisit'").join(first, F.col("refers_to_id") == F.col("response_id"))
+    again = back.where("record_type = 'revisit'").join(first, F.col("refers_to_id") == F.col("response_id"), "left")
+    lost = F.raise_error(F.concat(F.lit("no record "), "refers_to_id"))
+    again = again.withColumn("size", F.when(F.col("response_id").isNull(), lost.cast("bigint")).otherwise(F.col("size")))
     none = F.lit(None).cast("bigint")
     columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     return own.withColumn("refers_to", none).select(*columns).union(

@@ -32,6 +32,10 @@ ROWS = [
 ]
 
 
+def text(row):
+    return bytes(row.record).decode()
+
+
 def plain(rows):
     payloads = [(i, (h or "").encode()) for i, _, h in rows]
     out = []
@@ -76,13 +80,13 @@ def test_foreign_arc_with_spaces_in_the_url_and_short_version_block():
 
 def test_version_1_converts_like_version_2(spark):
     made = [warc.converted(warc.pack_pages(pages(spark, ROWS[:6]), v)) for v in "12"]
-    kinds = [sorted(r.record.split("\r\n")[1] for r in m.collect()) for m in made]
+    kinds = [sorted(text(r).split("\r\n")[1] for r in m.collect()) for m in made]
     assert kinds[0] == kinds[1] == ["WARC-Type: response"] * 4 + ["WARC-Type: revisit"] * 2
 
 
 def test_records_are_synthesised_the_same_way_again(spark):
     packed = warc.pack_pages(pages(spark, ROWS).coalesce(1))
-    one, two = (sorted(r.record for r in warc.converted(packed).collect()) for _ in range(2))
+    one, two = (sorted(text(r) for r in warc.converted(packed).collect()) for _ in range(2))
     assert one == two
     assert all("WARC-Date: 2024-01-01T00:00:00Z" in r and "WARC-Record-ID: <urn:uuid:" in r for r in one)
 
@@ -117,3 +121,63 @@ def test_damage_is_seen(spark, tmp_path):
     (folder / "part-0.txt.gz").write_bytes(gzip.compress(data + b"Content-Length: 3\r\n\r\nabc\r\n\r\n"))
     with pytest.raises(Exception, match="damaged"):
         warc.read_warc(spark, str(folder)).agg(F.count("*")).collect()
+
+
+#: Contents that are not UTF-8: a Latin-1 page, a GIF, a response of each, and a URL in Latin-1.
+FOREIGN = [
+    (b"http://a.example/latin", b"HTTP/1.0 200 OK\r\nX-Title: caf\xe9\r\n\r\n" + b"<p>caf\xe9 \xfcber\xff</p>" * 20),
+    (b"http://a.example/pic.gif", b"HTTP/1.0 200 OK\r\n\r\nGIF89a\x00\x01\x80\xff\xfe\r\n\r\n\x00" + bytes(range(256)) * 2),
+    (b"http://a.example/raw.gif", b"GIF89a\xff\x00\n" + bytes(range(255, -1, -1))),
+    (b"http://a.example/again.gif", b"HTTP/1.0 200 OK\r\n\r\nGIF89a\x00\x01\x80\xff\xfe\r\n\r\n\x00" + bytes(range(256)) * 2),
+    (b"http://a.example/caf\xe9 x", b"HTTP/1.0 200 OK\r\n\r\n\xff"),
+]
+
+
+def foreign_arc(packed):
+    """An ARC 1 file; ``packed`` gives each record, and the description, a gzip member of its own."""
+    block = b"1 0 Somebody\nURL IP-address Archive-date Content-type Archive-length\n"
+    parts = [b"filedesc://f.arc 1.2.3.4 19990101000000 text/plain %d\n" % len(block) + block + b"\n"]
+    parts += [u + b" 1.2.3.4 19990203040506 image/gif %d\n" % len(c) + c + b"\n" for u, c in FOREIGN]
+    return b"".join(map(gzip.compress, parts)) if packed else b"".join(parts)
+
+
+@pytest.mark.parametrize("kind", ["plain", "member by member", "one member"])
+def test_any_bytes_are_converted_unchanged(spark, tmp_path, kind):
+    (tmp_path / "arc").mkdir()
+    data = foreign_arc(kind == "member by member")
+    (tmp_path / "arc" / "f.arc.gz").write_bytes(gzip.compress(data) if kind == "one member" else data)
+    archives = warc.read_arc(spark, str(tmp_path / "arc"))
+    folder = str(tmp_path / "warc")
+    warc.write_warc(warc.converted(archives), folder)
+    blocks = {}
+    for file in (tmp_path / "warc").glob("part-*"):
+        for fields, block in warc.warc_records(file.read_bytes()):
+            blocks[fields["WARC-Target-URI"]] = (fields["WARC-Type"], fields["WARC-Payload-Digest"], block)
+    assert len(blocks) == len(FOREIGN)
+    # records without a page id count as the same page, so none is a revisit
+    assert {own for own, _, _ in blocks.values()} == {"response"}
+    for url, content in FOREIGN:
+        _, digest, block = blocks[url.replace(b"\xe9", b"%E9").decode()]
+        _, payload = warc.split_response(content)
+        assert digest == "sha256:" + hashlib.sha256(payload).hexdigest()
+        assert block == content
+    back = warc.read_warc(spark, folder).collect()
+    assert sorted(r.payload_bytes for r in back) == sorted(len(warc.split_response(c)[1]) for _, c in FOREIGN)
+
+
+def test_a_lost_response_is_an_error(spark, tmp_path, monkeypatch):
+    """Files that differ between the passes never lose a revisit silently."""
+    made = warc.records
+
+    def other_ids(archives, payloads):
+        rows = made(archives, payloads)
+        return rows if payloads else rows.withColumn("record_id", F.concat("record_id", F.lit("x")))
+
+    monkeypatch.setattr(warc, "records", other_ids)
+    with pytest.raises(Exception, match="no record"):
+        warc.archive_pages(pages(spark, ROWS)).collect()
+
+
+def test_a_shuffled_source(spark):
+    got = warc.archive_pages(pages(spark, ROWS).repartition(5, "url").orderBy("page_id"))
+    assert sorted(map(tuple, got.collect()), key=str) == plain(ROWS)
