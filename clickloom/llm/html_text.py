@@ -35,8 +35,12 @@ NAMES = REMARKS | frozenset(
 #: The same outside an article only: an article may have a head line of its own.
 HEADS = frozenset("header".split())
 ARTICLE = frozenset("article main".split())
-#: Standard deviation of the smoothing in lines, and the threshold as a share of the mean ratio.
-SIGMA, SHARE = 2.0, 0.5
+#: Standard deviation of the smoothing in lines; the threshold as a share of the mean ratio and, at most, in
+#: characters a tag; lines below so many characters are short: their ratio says little.
+SIGMA, SHARE, ENOUGH, SHORT = 1.0, 0.2, 20.0, 100
+#: An element of an article that a class marks is beside it if its ratio is below this share of the article's,
+#: or so much of its text is links.
+NAMED_SHARE, LINKED = 0.5, 0.5
 #: Share of the page's text from which an element marked by tag or by name is the page rather than beside it.
 MOST, WHOLE = 0.5, 0.9
 WORD = re.compile(r"[a-z]+")
@@ -50,6 +54,7 @@ class Element:
     named: bool = False  # by class, id or role alone
     remarks: bool = False
     hidden: bool = False
+    within: bool = False  # named by a class inside an article: its ratio decides
     article: bool = False
 
 
@@ -114,7 +119,9 @@ class Lines(HTMLParser):
         element = Element(tag, tuple(self.open))
         if values or tag in BESIDE or tag in ARTICLE or tag in HEADS:
             within = any(self.elements[k].article for k in self.open)
-            words = set(WORD.findall(f"{values.get('class', '')} {values.get('role', '')}".lower()))
+            said = f"{values.get('class', '')} {values.get('role', '')}".lower()
+            # inside an article only a whole class name counts, not a part of "notice-of-facts"
+            words = set(said.split() if within else WORD.findall(said))
             if not within:  # inside, an id alone is an anchor such as "discussion"
                 own = set(WORD.findall(values.get("id", "").lower()))
                 words |= own & REMARKS if tag in ARTICLE else own
@@ -123,6 +130,8 @@ class Lines(HTMLParser):
             element.named = tag not in ("html", "body", "main") and bool(words & names)
             element.hidden = "hidden" in values or values.get("aria-hidden") == "true"
             element.beside = tag in BESIDE or element.hidden or (tag in HEADS and not within) or element.named
+            by_class = not names.intersection(values.get("role", "").lower().split())
+            element.within = within and element.named and by_class and not (element.remarks or element.hidden or tag in BESIDE)
             element.article = (tag in ARTICLE or "main" in words and "role" in values) and not element.named
         self.elements.append(element)
         self.open.append(len(self.elements) - 1)
@@ -166,6 +175,25 @@ def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(values, kernel)[reach : reach + len(values)] / whole
 
 
+def _acquit(elements: list[Element], lines: list[Line]) -> None:
+    """Unmark what only a class marks inside an article, unless its ratio is low or it is mostly links."""
+    inside: dict[int, list[Line]] = {}
+    rest = []
+    for x in lines:
+        own = [k for k in x.inside if elements[k].within]
+        for k in own:
+            inside.setdefault(k, []).append(x)
+        if not own and any(elements[k].article for k in x.inside):
+            rest.append(x)
+    if not inside:
+        return
+    ratio = lambda some: sum(len(x.text) for x in some) / max(1, sum(x.tags for x in some))
+    least = NAMED_SHARE * ratio(rest) if rest else 0.0
+    for k, own in inside.items():
+        linked = sum(x.linked for x in own) >= LINKED * sum(len(x.text) for x in own)
+        elements[k].beside = ratio(own) < least or linked
+
+
 def _beside(elements: list[Element], lines: list[Line]) -> np.ndarray:
     """Which lines lie in an element beside the article.
 
@@ -207,15 +235,17 @@ def main_lines(elements: list[Element], lines: list[Line]) -> list[Line]:
     """The lines of the content regions.
 
     Each line has a ratio of text characters to tags; lines beside the article
-    have 0. The ratios are smoothed, lines above a share of the mean form
-    clusters. Where article elements hold most of the clusters' text, all of
-    them are the container, or else the innermost element around all clusters.
-    Every line of the container that is not beside the article is returned,
-    short ones and head lines included; outside of article elements, lines
+    have 0. The ratios are smoothed and lines above a threshold form clusters:
+    a share of the mean, but no more than ``ENOUGH`` characters a tag. Where
+    article elements hold most of the clusters' text, all of them are the
+    container, or else the innermost element around all clusters. The clusters'
+    lines in the container are returned, and its short lines, such as heads and
+    list items, whose own ratio says little. Outside of article elements, lines
     that are links and little else are left out.
     """
     if not lines:
         return []
+    _acquit(elements, lines)
     beside = _beside(elements, lines)
     sizes = np.array([len(x.text) for x in lines], float)
     ratios = np.where(beside, 0.0, sizes / np.array([max(1, x.tags) for x in lines]))
@@ -224,16 +254,18 @@ def main_lines(elements: list[Element], lines: list[Line]) -> list[Line]:
     level = smoothed(ratios)
     article = np.array([any(elements[e].article for e in x.inside) for x in lines])
     links = ~article & np.array([x.linked >= 0.8 * len(x.text) for x in lines])
-    above = (level >= SHARE * level.mean()) & ~beside & ~links
+    region = level >= min(SHARE * level.mean(), ENOUGH)
+    above = region & ~beside & ~links
     if not above.any():
         above = ~beside & ~links
     if not above.any():
         return []
+    kept = ~beside & (region | (sizes < SHORT))
     if 2 * sizes[above & article].sum() >= sizes[above].sum():
-        return [lines[k] for k in np.flatnonzero(article & ~beside)]
+        return [lines[k] for k in np.flatnonzero(article & kept)]
     around = set.intersection(*(set(lines[k].inside) for k in np.flatnonzero(above)))
     container = max(around)
-    return [lines[k] for k in np.flatnonzero(~beside & ~links) if container in lines[k].inside]
+    return [lines[k] for k in np.flatnonzero(kept & ~links) if container in lines[k].inside]
 
 
 def extract(html: str | None) -> str:

@@ -1,6 +1,7 @@
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
 from clickloom.llm import html_text, url_filter
@@ -33,6 +34,30 @@ def test_extract(html, text):
     assert html_text.extract(html) == text
 
 
+@pytest.mark.parametrize("tag", ["section class='alert level'", "div class='share price table'", "p class='notice-of-facts'"])
+def test_class_words_alone_drop_no_text_of_an_article(tag):
+    name = tag.split()[0]
+    inner = P * 2 if name == "p" else f"<p>{P}</p><p>{P}</p>"
+    html = f"<article><p>{P}</p><{tag}>{inner}</{name}><p>{P}</p></article>"
+    assert html_text.extract(html).count("Lorem") == 4
+
+
+def test_named_adverts_of_low_ratio_or_links_are_dropped():
+    advert = "<div class='ad box'><b>Buy</b> <i>now</i><br><span>!</span></div>"
+    links = "<div class='related'>" + "".join(f"<a href={k}>{P}</a>" for k in range(4)) + "</div>"
+    assert html_text.extract(f"<article><p>{P}</p>{advert}<p>{P}</p>{links}</article>") == f"{P} {P}"
+
+
+def test_clusters_of_ratios_decide(monkeypatch):
+    """Random levels give another text: the clusters, not the container alone, select the lines."""
+    rng = np.random.default_rng(1)
+    pages = [f"<article>{''.join(f'<p>{k} {P * 3}</p>' for k in range(20))}</article>" for _ in range(10)]
+    whole = [html_text.extract(p) for p in pages]
+    assert all(t.count("Lorem") == 60 for t in whole)
+    monkeypatch.setattr(html_text, "smoothed", lambda values: rng.random(len(values)) ** 4)
+    assert all(html_text.extract(p) != t for p, t in zip(pages, whole, strict=True))
+
+
 LONG, SHORT = "".join(f"<p>{P}</p>" for _ in range(5)), "".join(f"<li>{k}</li>" for k in range(12))
 
 
