@@ -517,6 +517,17 @@ add("event_router", "e", """SELECT 'input' AS sink, NULL::BIGINT AS rows_stored,
     UNION ALL SELECT 'rejected_events', count(*), count(*) FROM e WHERE event_id % 50 = 0
     UNION ALL SELECT 'interactions', count(*), count(*) FROM e WHERE event_id % 50 <> 0
       AND (event_type = 'product_view' OR event_type IN ('click', 'recommendation_click') AND product_id IS NOT NULL)""")
+add("closed_sessions", "", """SELECT session_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS started_at,
+      strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_activity, count(*) AS heartbeats FROM (
+      SELECT *, sum(new) OVER (PARTITION BY session_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM (
+        SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY session_id ORDER BY ts) + INTERVAL 2 DAYS THEN 0 ELSE 1 END AS new
+        FROM (SELECT 'tab_' || user_id || '_' || event_type AS session_id, ts FROM events)))
+    GROUP BY session_id, run""")
+add("stream_timeline_levels", "i", f"""SELECT strftime(time_bucket(INTERVAL 1 HOUR, m), '%Y-%m-%d %H:%M') AS bucket,
+      CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(views) AS BIGINT) AS views, CAST(sum(purchases) AS BIGINT) AS purchases,
+      count(*) AS fine_windows, max(clicks + views + purchases) AS busiest FROM (
+        SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS m, count(*) FILTER ({CLICK}) AS clicks, count(*) FILTER ({VIEW}) AS views,
+          count(*) FILTER (interaction_type = 'purchase') AS purchases FROM i GROUP BY 1) GROUP BY 1""")
 add("distinct_values", "s", "SELECT DISTINCT user_id, interaction_type FROM s")
 add("drop_matching_sessions", "b", f"""SELECT session_id, user_id, last_activity FROM b
     WHERE NOT starts_with(session_id, 'tab_1') AND last_activity >= {NOW} - INTERVAL 1440 MINUTES""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,7 +29,7 @@ from clickloom.registry.binding import AS_OF
 from clickloom.sources import events as event_source
 from clickloom.sources import keyed, tables
 from clickloom.sources.session import shared_folder
-from clickloom.streaming import counters, jobs, refresh_state, stateful
+from clickloom.streaming import counters, jobs, refresh_state, session_state, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1182,6 +1183,39 @@ def stream_refresh(spark, sf):
     )
 
 
+def _drained(rows: DataFrame, build: Callable[[DataFrame], DataFrame], name: str, last: dict) -> DataFrame:
+    """What an append stream gives for the first half of the time, then the rest, then a ``last`` row that closes all before it."""
+    spark = rows.sparkSession
+    root = shared_folder(spark, name)
+    half = f"ts < timestamp_ntz'{AS_OF}' - interval 15 days"
+    far = F.to_timestamp_ntz(F.lit("2030-01-01 00:00:00"))
+    end = spark.range(1).select(*(last.get(c, F.lit(None)).cast(t).alias(c) for c, t in rows.drop("ts").dtypes), far.alias("ts"))
+    for part in (rows.where(half), rows.where(f"not ({half})"), end):
+        part.write.mode("append").parquet(f"{root}/in")
+        out = build(spark.readStream.schema(rows.schema).parquet(f"{root}/in"))
+        writer = out.writeStream.outputMode("append").option("checkpointLocation", f"{root}/state")
+        writer.format("parquet").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+@query
+def stream_timeline_levels(spark, sf):
+    """Minutes added up to hours in one stream, over three micro-batches."""
+    rows = b.interactions(spark, sf).select("interaction_type", "ts")
+    out = _drained(rows, stateful.stream_timeline_levels, "timeline", {"interaction_type": F.lit("view")})
+    return out.withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd HH:mm"))
+
+
+@query
+def closed_sessions(spark, sf):
+    """Tabs that end after two days without a heartbeat, closed by timers over three micro-batches."""
+    rows = b.heartbeats(spark, sf).select("session_id", "ts")
+    build = lambda s: session_state.closed_sessions(s, timedelta(days=2))
+    out = _drained(rows, build, "sessions", {"session_id": F.lit("last")})
+    times = [F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("started_at", "last_activity")]
+    return out.select("session_id", *times, "heartbeats")
+
+
 @query
 def keyed_latest(spark, sf):
     """Every event as a write of its user's row by the writer of its type; live rows."""

@@ -98,6 +98,30 @@ def stream_timeline(
     )
 
 
+def stream_timeline_levels(
+    interactions: DataFrame, fine: str = "1 minute", coarse: str = "1 hour", delay: str = "10 minutes"
+) -> DataFrame:
+    """The timeline per ``coarse`` window from closed ``fine`` windows, in one stream; for append mode.
+
+    The events are counted once; the second aggregate adds up the rows of the
+    first by the time of their windows. ``fine_windows`` counts those with
+    events, ``busiest`` is the largest number of clicks, views and purchases in one.
+    """
+    kind = F.col("interaction_type")
+    marked = event_time(interactions).withWatermark("ts", delay)
+    small = marked.groupBy(F.window("ts", fine)).agg(
+        F.count_if(kind.isin(*weights.CLICK_TYPES)).alias("clicks"),
+        F.count_if(kind.isin(*weights.VIEW_TYPES)).alias("views"),
+        F.count_if(kind == "purchase").alias("purchases"),
+    )
+    large = small.groupBy(F.window(F.window_time("window"), coarse).alias("wide")).agg(
+        *(F.sum(c).alias(c) for c in ("clicks", "views", "purchases")),
+        F.count("*").alias("fine_windows"),
+        F.max(F.col("clicks") + F.col("views") + F.col("purchases")).alias("busiest"),
+    )
+    return large.select(F.col("wide.start").alias("bucket"), "clicks", "views", "purchases", "fine_windows", "busiest")
+
+
 def session_activity(heartbeats: DataFrame) -> DataFrame:
     """Latest state per session: last activity, and the user of that moment."""
     last = F.max(F.struct("ts", "event_id", "user_id"))

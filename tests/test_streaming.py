@@ -5,11 +5,12 @@ import os
 import random
 from datetime import timedelta
 
+import pytest
 from clickloom.operators import aggregates, projections, windows
 from clickloom.plans.refresh import refresh_recommendations
 from clickloom.sources import events as event_source
 from clickloom.sources import keyed
-from clickloom.streaming import counters, jobs, refresh_state, stateful
+from clickloom.streaming import counters, jobs, refresh_state, session_state, stateful
 from pyspark.sql import functions as F
 
 from shop import AS_OF, rows
@@ -185,6 +186,11 @@ def test_refresh_stream_equals_folded_batches(spark, tmp_path):
     assert all(len(v) <= 15 and len(set(v)) == len(v) for v in got.values())
 
 
+def as_interactions(events):
+    kind = F.when(F.col("event_type") == "product_view", "view").otherwise("click")
+    return events.withColumn("interaction_type", kind).select("interaction_type", "ts")
+
+
 SHELF = [(c, 10 * (1 + "AB".index(c)) + k, k) for c in "AB" for k in range(1, 6)]
 
 
@@ -232,6 +238,36 @@ def test_entries_of_an_active_user_are_combined(spark, shop):
     assert len(got) == 3 and sum(r.n for r in got) == 900 and max(r.ts for r in got).replace(tzinfo=None) == AS_OF
 
 
+def test_sessions_close_by_their_timers(spark, tmp_path):
+    beat = lambda tab, age: line(1, "heartbeat", age, tab)
+    steps = [
+        [beat("a", 9000), beat("a", 8800), beat("a", 8500), beat("b", 8700), beat(None, 8700), *[beat("c", 8600 - k) for k in range(50)]],
+        [beat("a", 8201), beat("b", 8399)],  # 299 and 301 seconds later
+        [beat("a", 3000)],
+        [beat("z", 0)],
+    ]
+    write_lines(tmp_path / "in", steps)
+    got = drain(session_state.closed_sessions(stream(spark, tmp_path / "in")), "append", tmp_path, "closed")
+    age = lambda t: round((AS_OF - t.replace(tzinfo=None)).total_seconds())
+    seen = sorted((r.session_id, age(r.started_at), age(r.last_activity), r.heartbeats) for r in got.collect())
+    # the last one of a closes too: the watermark is ten minutes before z; z stays open
+    assert seen == [("a", 3000, 3000, 1), ("a", 9000, 8201, 4), ("b", 8399, 8399, 1), ("b", 8700, 8700, 1), ("c", 8600, 8551, 50)]
+    with pytest.raises(ValueError):
+        session_state.closed_sessions(static(spark, tmp_path / "in"), timedelta(seconds=30))
+
+
+def test_timeline_levels_equal_the_batch(spark, tmp_path):
+    write_lines(tmp_path / "in", [*shop_batches(7), [line(1, "search", -90_000, query="x")]])
+    got = drain(stateful.stream_timeline_levels(as_interactions(stream(spark, tmp_path / "in"))), "append", tmp_path, "levels")
+    minutes = rows(stateful.stream_timeline(as_interactions(static(spark, tmp_path / "in"))))
+    want = {}
+    for bucket, *counts in minutes:
+        if bucket.replace(tzinfo=None) < AS_OF:
+            want.setdefault(bucket.replace(minute=0), []).append(counts)
+    want = {k: (*(sum(c) for c in zip(*v, strict=True)), len(v), max(map(sum, v))) for k, v in want.items()}
+    assert {r[0]: tuple(r[1:]) for r in got.collect()} == want
+
+
 def test_refresh_by_hand(spark, shop):
     events = shop.events(
         [
@@ -355,9 +391,6 @@ def test_timeline_stream_equals_batch(spark, tmp_path):
              for age in range(4000, 1000, -7)]
     late = [line(1, "product_view", -90000, event_id="z", product_id=1)]
     write_lines(tmp_path / "in", [lines[:200], lines[200:], late])
-    as_interactions = lambda e: e.withColumn(
-        "interaction_type", F.when(F.col("event_type") == "product_view", "view").otherwise("click")
-    ).select("interaction_type", "ts")
     got = drain(stateful.stream_timeline(as_interactions(stream(spark, tmp_path / "in"))), "append", tmp_path, "line")
     want = stateful.stream_timeline(as_interactions(static(spark, tmp_path / "in"))).filter(
         F.col("bucket") < F.lit(AS_OF)
