@@ -13,6 +13,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.functions.ranking import top_n_per_group
 from clickloom.operators.windows import list_rank
@@ -121,6 +122,27 @@ def index_ids(ratings: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     return out, labels
 
 
+def model_ids(ratings: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Integer indices for a model, with the label tables, as cheap as the ids allow.
+
+    ALS needs integers, not dense ones: ids that an integer can hold are their
+    own indices, and only the distinct ids are listed. Others are numbered by
+    ``index_ids``. Rows with a NULL id drop out.
+    """
+    names = {"user_id": "user_index", "product_id": "product_index"}
+    whole = [isinstance(ratings.schema[c].dataType, T.IntegralType) for c in names]
+    if not all(whole):
+        return index_ids(ratings)
+    ends = [f(c).cast("bigint").alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max)]
+    found = ratings.agg(*ends).first()
+    if any(x is not None and not -INT_MAX <= x <= INT_MAX for x in found):
+        return index_ids(ratings)
+    known = ratings.where(" and ".join(f"{c} is not null" for c in names))
+    indices = {index: F.col(c).cast("int") for c, index in names.items()}
+    labels = {c: known.select(indices[index].alias(index), c).distinct() for c, index in names.items()}
+    return known.withColumns(indices), labels
+
+
 def train_als(
     train: DataFrame,
     rating: str = "rating",

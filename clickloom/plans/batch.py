@@ -58,7 +58,7 @@ def run_behaviour_batch(
         "user_segment",
         ["user_id"],
     )
-    ratings, labels = ml.index_ids(preference_ratings(reduced, products))
+    ratings, labels = ml.model_ids(preference_ratings(reduced, products))
     ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     model = ml.train_als(ml.split_ratings(ratings).train, blocks=als_blocks)
     lists = ml.recommend_for_all(model, labels, str(as_of), n)
@@ -99,7 +99,7 @@ def run_collaborative(
 ) -> DataFrame:
     """Implicit ratings up to ``as_of``, tuned ALS, its metrics, stored model and lists."""
     past = interactions.where(F.col("ts") <= time_literal(interactions, "ts", as_of))
-    ratings, labels = ml.index_ids(aggregates.implicit_ratings(past))
+    ratings, labels = ml.model_ids(aggregates.implicit_ratings(past))
     ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
     parts = ml.split_ratings(ratings, validation=0.16, test=0.2)
     model, _, _ = ml.tune_als(parts.train, parts.validation, grid, als_blocks)

@@ -75,7 +75,7 @@ def sources(interactions: DataFrame, products: DataFrame, similar: DataFrame) ->
 
 def collaborative_model(interactions: DataFrame) -> tuple[ALSModel, dict[str, DataFrame]]:
     """ALS model of the implicit ratings, with the label tables of its indices."""
-    ratings, labels = ml.index_ids(aggregates.implicit_ratings(interactions))
+    ratings, labels = ml.model_ids(aggregates.implicit_ratings(interactions))
     return ml.train_als(ratings), labels
 
 

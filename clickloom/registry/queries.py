@@ -742,7 +742,7 @@ def _ratings(spark, sf):
 @query
 def train_als(spark, sf):
     """Predictions of the held-out pairs by a trained model."""
-    ratings, _ = ml.index_ids(_ratings(spark, sf))
+    ratings, _ = ml.model_ids(_ratings(spark, sf))
     parts = ml.split_ratings(ratings)
     model = ml.train_als(parts.train)
     return model.transform(parts.test).select("user_id", "product_id", "rating", "prediction")
@@ -750,7 +750,7 @@ def train_als(spark, sf):
 
 @query
 def recommend_for_all(spark, sf):
-    ratings, labels = ml.index_ids(_ratings(spark, sf))
+    ratings, labels = ml.model_ids(_ratings(spark, sf))
     model = ml.train_als(ml.split_ratings(ratings).train)
     rows = windows.list_rank(
         ml.recommend_for_all(model, labels, AS_OF).select("user_id", "recommendations")
@@ -842,7 +842,7 @@ def index_to_label(spark, sf):
 @query
 def als_properties(spark, sf):
     """What holds of any right model: all rated pairs predicted, lists dense, distinct, in order."""
-    ratings, labels = ml.index_ids(_ratings(spark, sf).where("product_id is not null"))
+    ratings, labels = ml.model_ids(_ratings(spark, sf).where("product_id is not null"))
     model = ml.train_als(ratings)
     done = model.transform(ratings).agg(
         F.count("*").alias("n"), F.count_if(~F.isnan("prediction")).alias("good")

@@ -182,6 +182,19 @@ def test_levels_are_read_down_to_the_bound(spark, shop, monkeypatch):
     assert counts[0] < 0.5 * 400 * 399
 
 
+def test_model_ids_keep_integers(spark):
+    data = [(5, -7, 1.0), (2**31 - 1, 9, 2.0), (None, 9, 1.0), (5, None, 1.0)]
+    rated, labels = ml.model_ids(spark.createDataFrame(data, "user_id bigint, product_id bigint, rating double"))
+    assert sorted(rows(rated, "user_id", "user_index", "product_index")) == [(5, 5, -7), (2**31 - 1, 2**31 - 1, 9)]
+    assert sorted(rows(labels["product_id"], "product_index", "product_id")) == [(-7, -7), (9, 9)]
+    wide, _ = ml.model_ids(spark.createDataFrame([(2**40, 1, 1.0), (3, 1, 1.0)], "user_id bigint, product_id bigint, rating double"))
+    assert sorted(rows(wide, "user_id", "user_index")) == [(3, 0), (2**40, 1)]
+    named, _ = ml.model_ids(spark.createDataFrame([("b", 1, 1.0), ("a", 1, 1.0)], "user_id string, product_id bigint, rating double"))
+    assert sorted(rows(named, "user_id", "user_index")) == [("a", 0), ("b", 1)]
+    nothing, _ = ml.model_ids(spark.createDataFrame([], "user_id bigint, product_id bigint, rating double"))
+    assert nothing.count() == 0
+
+
 def test_dense_index_is_the_rank_of_an_id(spark):
     ids = [5, -3, 2**40, 7, 5, None, 0]
     got = dict(rows(ml.dense_index(spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(4))))
@@ -235,7 +248,7 @@ def test_hybrid_lists_are_those_of_all_pairs(spark, shop, monkeypatch):
     for r in hybrid.recommend_hybrid(seen, products, similar=similar).orderBy("rank").collect():
         got.setdefault(r.user_id, []).append((r.product_id, r.score))
 
-    _, labels = ml.index_ids(aggregates.implicit_ratings(seen))
+    _, labels = ml.model_ids(aggregates.implicit_ratings(seen))
     parts = {name: {} for name in ml.HYBRID_WEIGHTS}
     users, goods = (
         {r[1]: r.features for r in factors.join(labels[c].withColumnRenamed(i, "id"), "id").select("features", c).collect()}
