@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -157,6 +158,17 @@ def train_als(
     checkpointed, so the checkpoint folder is required.
     """
     require_checkpoint_dir(train.sparkSession)
+    als = _als(rating, rank, iterations, regularisation, blocks)
+    return als.fit(train.withColumn(rating, F.col(rating).cast("float")))
+
+
+def _als(
+    rating: str = "rating",
+    rank: int = 10,
+    iterations: int = ALS_ITERATIONS,
+    regularisation: float = ALS_REGULARISATION,
+    blocks: int | None = None,
+) -> ALS:
     als = ALS(
         userCol="user_index",
         itemCol="product_index",
@@ -167,9 +179,39 @@ def train_als(
         seed=SEED,
         coldStartStrategy="drop",
     )
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
-    return als.fit(train.withColumn(rating, F.col(rating).cast("float")))
+    return als.setNumUserBlocks(blocks).setNumItemBlocks(blocks) if blocks else als
+
+
+def als_grid(
+    train: DataFrame,
+    validation: DataFrame,
+    grid: Sequence[tuple[int, int, float]] = ALS_GRID,
+    blocks: int | None = None,
+    parallel: int = 2,
+) -> list[tuple[tuple[int, int, float], ALSModel, float | None]]:
+    """Setting, model and validation RMSE of each ``(rank, iterations, regularisation)``, in grid order.
+
+    ``parallel`` models are fitted at a time, so the small stages of one fill
+    the gaps of another. The RMSE is None where no pair could be predicted.
+    """
+    require_checkpoint_dir(train.sparkSession)
+    als = _als(blocks=blocks)
+    maps = [{als.rank: r, als.maxIter: i, als.regParam: x} for r, i, x in grid]
+    train = train.withColumn("rating", F.col("rating").cast("float")).persist(StorageLevel.MEMORY_AND_DISK)
+    validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
+    fits = als.fitMultiple(train, maps)
+
+    def fitted(_: int) -> tuple[int, ALSModel, float | None]:
+        number, model = next(fits)
+        return number, model, regression_metrics(model.transform(validation)).first()["rmse"]
+
+    try:
+        with ThreadPoolExecutor(parallel) as pool:
+            found = sorted(pool.map(fitted, range(len(maps))), key=lambda f: f[0])
+    finally:
+        train.unpersist()
+        validation.unpersist()
+    return [(tuple(grid[k]), model, rmse) for k, model, rmse in found]
 
 
 def tune_als(
@@ -179,21 +221,11 @@ def tune_als(
     blocks: int | None = None,
 ) -> tuple[ALSModel, tuple[int, int, float], float]:
     """The model of lowest validation RMSE over the grid; the first on a tie."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for setting in grid:
-        rank, iterations, regularisation = setting
-        model = train_als(train, rank=rank, iterations=iterations,
-                          regularisation=regularisation, blocks=blocks)
-        rmse = regression_metrics(model.transform(validation)).first()["rmse"]
-        if rmse is not None and (best is None or rmse < best[2]):
-            best = (model, setting, rmse)
-    train.unpersist()
-    validation.unpersist()
-    if best is None:
+    known = [f for f in als_grid(train, validation, grid, blocks) if f[2] is not None]
+    if not known:
         raise ValueError("no validation pair could be predicted")
-    return best
+    setting, model, rmse = min(known, key=lambda f: f[2])
+    return model, setting, rmse
 
 
 def regression_metrics(

@@ -507,11 +507,11 @@ def stream_batches(days: int) -> list[str]:
     return out
 
 
-TRENDING = f"""tp AS (SELECT product_id, row_number() OVER (ORDER BY trending_score DESC, product_id) AS rk
+TREND_PLACES = f"""tp AS (SELECT product_id, row_number() OVER (ORDER BY trending_score DESC, product_id) AS rk
     FROM ({trending('i', 5)}))"""
 add("stream_refresh", "e i p",
     " UNION ALL ".join(f"SELECT {k - 1}::BIGINT AS day, user_id, rank, product_id FROM l{k}" for k in range(1, 7)),
-    trend_rank("i"), TRENDING, *stream_batches(6))
+    trend_rank("i"), TREND_PLACES, *stream_batches(6))
 add("event_router", "e", """SELECT 'input' AS sink, NULL::BIGINT AS rows_stored, count(*) AS rows_counted FROM e
     UNION ALL SELECT 'raw_events', count(*), count(*) FROM e WHERE event_id % 50 <> 0
     UNION ALL SELECT 'rejected_events', count(*), count(*) FROM e WHERE event_id % 50 = 0
@@ -578,6 +578,20 @@ add("kmeans_properties", "i p", """SELECT CAST(count(*) AS BIGINT) AS users, tru
 add("index_ids", "i", """SELECT user_id, CAST(row_number() OVER (ORDER BY user_id) - 1 AS INTEGER) AS user_index
     FROM (SELECT DISTINCT user_id FROM rt)""", RATED.format("i"))
 add("index_to_label", "i", "SELECT user_id, product_id, interaction_count FROM rt", RATED.format("i"))
+add("tuned_als", "", """SELECT count(*) AS settings, true AS all_scored, 1::BIGINT AS chosen, true AS has_choice,
+    CAST(sum(r) AS BIGINT) AS ranks, CAST(sum(x) AS DOUBLE) AS regularisations FROM (VALUES (2, 0.5), (4, 0.1), (4, 0.1)) t(r, x)""")
+add("saved_model", "s p", """SELECT count(*) AS pairs, count(*) AS same
+    FROM (SELECT DISTINCT user_id, product_id FROM s JOIN p USING (product_id) WHERE user_id IS NOT NULL)""")
+add("list_rank", "i", "SELECT user_id, rank, product_id, interaction_count FROM fav WHERE rank <= 5", FAVOURITES)
+add("write_partitioned", "p", "SELECT product_id, name, category, price FROM p")
+add("write_snapshot", "s p", trending("s", 20))
+add("write_json", "p", """SELECT category, count(*) AS products, string_agg(DISTINCT name, ',' ORDER BY name) AS names
+    FROM p GROUP BY category""")
+add("import_relational", "u", "SELECT *, (SELECT count(*) FROM u) AS rows_written FROM u")
+add("append_interactions", "e", """SELECT event_id, user_id, product_id,
+    CASE event_type WHEN 'product_view' THEN 'view' WHEN 'click' THEN 'click_' || action
+    ELSE event_type END AS interaction_type, ts, event_id % 2 AS batch FROM e
+    WHERE event_type IN ('product_view', 'click', 'recommendation_click')""")
 add("als_properties", "s p", """SELECT count(*) AS pairs, true AS all_predicted, count(DISTINCT user_id) AS users,
     CAST(count(DISTINCT user_id) * least(10, count(DISTINCT product_id)) AS BIGINT) AS entries, true AS ranks_dense,
     true AS ratings_in_order, true AS products_distinct

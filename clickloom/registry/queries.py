@@ -27,7 +27,7 @@ from clickloom.plans.picks import explode_recommendations
 from clickloom.registry import binding as b
 from clickloom.registry.binding import AS_OF
 from clickloom.sources import events as event_source
-from clickloom.sources import keyed, tables
+from clickloom.sources import keyed, sinks, tables
 from clickloom.sources.session import shared_folder
 from clickloom.streaming import counters, jobs, refresh_state, session_state, stateful
 
@@ -748,6 +748,96 @@ def train_als(spark, sf):
     return model.transform(parts.test).select("user_id", "product_id", "rating", "prediction")
 
 
+@query
+def tuned_als(spark, sf):
+    """The settings of a small grid and which one has the least validation error."""
+    ratings, _ = ml.model_ids(_ratings(spark, sf))
+    parts = ml.split_ratings(ratings, validation=0.2)
+    grid = ((2, 3, 0.5), (4, 3, 0.1), (4, 5, 0.1))
+    found = ml.als_grid(parts.train, parts.validation, grid)
+    least = min(rmse for _, _, rmse in found)
+    rows = [(k, *setting, 0 < rmse < 1e6, rmse == least) for k, (setting, _, rmse) in enumerate(found)]
+    table = spark.createDataFrame(rows, "number int, rank int, iterations int, regularisation double, scored boolean, chosen boolean")
+    chosen = F.min(F.when(F.col("chosen"), F.col("number")))
+    return table.agg(
+        F.count("*").alias("settings"), F.bool_and("scored").alias("all_scored"),
+        F.count_if("chosen").alias("chosen"), chosen.isNotNull().alias("has_choice"),
+        F.sum("rank").alias("ranks"), F.round(F.sum("regularisation"), 6).alias("regularisations"),
+    )
+
+
+@query
+def saved_model(spark, sf):
+    """A model written and read again predicts the same for every pair."""
+    ratings, _ = ml.model_ids(_ratings(spark, sf))
+    model = ml.train_als(ratings, rank=4, iterations=3)
+    path = shared_folder(spark, "model")
+    sinks.save_model(model, path)
+    again = sinks.load_als(path).transform(ratings).select("user_id", "product_id", F.col("prediction").alias("again"))
+    both = model.transform(ratings).join(again, ["user_id", "product_id"])
+    return both.agg(F.count("*").alias("pairs"), F.count_if(F.col("prediction") == F.col("again")).alias("same"))
+
+
+@query
+def list_rank(spark, sf):
+    """Entries of the favourite lists with their places."""
+    liked = aggregates.favourite_products(b.interactions(spark, sf), 5)
+    entry = F.struct("rank", "product_id", "interaction_count")
+    lists = liked.groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("_l"))
+    fields = F.transform("_l", lambda e: F.struct(e["product_id"].alias("product_id"), e["interaction_count"].alias("interaction_count")))
+    return windows.list_rank(lists.select("user_id", fields.alias("recommendations")))
+
+
+@query
+def write_partitioned(spark, sf):
+    """Products written by category, twice, and the folders read one by one."""
+    path = shared_folder(spark, "products")
+    for _ in range(2):
+        sinks.write_partitioned(b.products(spark, sf), path)
+    return spark.read.parquet(path).select("product_id", "name", "category", "price")
+
+
+@query
+def write_snapshot(spark, sf):
+    path = shared_folder(spark, "trending")
+    rows = aggregates.trending_products(b.shop_interactions(spark, sf), b.products(spark, sf), AS_OF)
+    for _ in range(2):
+        sinks.write_snapshot(rows, path)
+    return spark.read.parquet(path)
+
+
+@query
+def write_json(spark, sf):
+    """Rule segments as JSON documents, read back by their schema."""
+    path = shared_folder(spark, "segments")
+    rows = b.products(spark, sf).groupBy("category").agg(
+        F.count("*").alias("products"), F.sort_array(F.collect_set("name")).alias("names")
+    )
+    sinks.write_json(rows, path)
+    stored = tables.load_json_results(spark, path, "category string, products bigint, names array<string>")
+    return stored.select("category", "products", F.array_join("names", ",").alias("names"))
+
+
+@query
+def import_relational(spark, sf):
+    """A table copied and counted on both sides."""
+    path = shared_folder(spark, "customers")
+    written = tables.import_relational(b.users(spark, sf), path)
+    return spark.read.parquet(path).withColumn("rows_written", F.lit(written).cast("bigint"))
+
+
+@query
+def append_interactions(spark, sf):
+    """Two batches of interactions, the first one written twice."""
+    path = shared_folder(spark, "interactions")
+    rows = projections.to_interaction(b.web_events(spark, sf))
+    halves = [rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1")]
+    for number, half in ((0, halves[0]), (1, halves[1]), (0, halves[0])):
+        sinks.append_interactions(half, path, number, "query")
+    stored = spark.read.parquet(path)
+    return stored.select("event_id", "user_id", "product_id", "interaction_type", "ts", F.col("batch_id").cast("bigint").alias("batch"))
+
+
 @query
 def recommend_for_all(spark, sf):
     ratings, labels = ml.model_ids(_ratings(spark, sf))
