@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -29,8 +31,14 @@ STEP = 500_000
 
 
 def normal_line(line: Column) -> Column:
-    """The form in which lines are compared: trimmed, in lower case."""
-    return F.lower(F.btrim(line, F.lit(" \t\r\x0b\x0c")))
+    """The form in which lines are compared: trimmed, in lower case.
+
+    Trimming walks through all of a line's characters, so only lines that
+    begin or end with a blank are trimmed.
+    """
+    blanks = " \t\r\x0b\x0c"
+    outer = [test(line, F.lit(c)) for c in blanks for test in (F.startswith, F.endswith)]
+    return F.lower(F.when(reduce(or_, outer), F.btrim(line, F.lit(blanks))).otherwise(line))
 
 
 def lines(docs: DataFrame) -> DataFrame:
