@@ -185,12 +185,61 @@ def similar(a: frozenset[str], b: frozenset[str], least: float = SIMILARITY) ->
     return both >= least * (len(a) + len(b) - both)
 
 
+def shingle_codes(line: str) -> tuple[np.ndarray, bool]:
+    """Sorted distinct codes of a line's shingles, and whether they tell shingles apart for certain.
+
+    Eight characters below 256 are their eight bytes, any other shingle is a
+    64-bit hash. Lines of fewer characters than a shingle are padded.
+    """
+    points = np.frombuffer(line.ljust(SHINGLE, "\0").encode("utf-32-le"), np.uint32)
+    narrow = points < 256
+    codes, width = points.astype(np.uint64), 1
+    while width < SHINGLE:
+        codes = (codes[:-width] << np.uint64(8 * width)) | codes[width:]
+        width *= 2
+    plain = bool(narrow.all())
+    if not plain:
+        wide = np.convolve(~narrow, np.ones(SHINGLE, np.int64), "valid") > 0
+        codes = np.where(wide, shingle_hashes(points), codes)
+    codes.sort()
+    fresh = np.ones(len(codes), bool)
+    np.not_equal(codes[1:], codes[:-1], out=fresh[1:])
+    return codes[fresh], plain and len(line) >= SHINGLE
+
+
+def similar_codes(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """``similar`` of two sets of codes."""
+    small, large = sorted((len(a), len(b)))
+    if small < least * large:
+        return False
+    both = np.concatenate((a, b))
+    both.sort()
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared >= least * (small + large - shared)
+
+
+class Lines:
+    """Lines that are compared exactly: by their codes and, where a code may be a hash, by their text."""
+
+    def __init__(self, lines: list[str], least: float):
+        self.lines, self.least = lines, least
+        self.codes = [shingle_codes(x) for x in lines]
+
+    def similar(self, line: str, own: tuple[np.ndarray, bool], k: int) -> bool:
+        """Whether a line with the codes ``own`` is similar to line ``k``."""
+        if not similar_codes(own[0], self.codes[k][0], self.least):
+            return False
+        if own[1] and self.codes[k][1]:
+            return True
+        return similar(shingles(line), shingles(self.lines[k]), self.least)
+
+
 def few_links(lines: list[str], least: float) -> list[tuple[int, int]]:
     """Links among a few lines, each pair compared that is not linked already."""
-    sets, label, links = [shingles(x) for x in lines], list(range(len(lines))), []
+    sets, label, links = Lines(lines, least), list(range(len(lines))), []
     for i in range(len(lines)):
         for j in range(i):
-            if label[i] != label[j] and similar(sets[i], sets[j], least):
+            if label[i] != label[j] and sets.similar(lines[i], sets.codes[i], j):
                 links.append((i, j))
                 label = [label[j] if x == label[i] else x for x in label]
     return links
@@ -209,9 +258,9 @@ class Group:
     SAMPLE = 8
 
     def __init__(self, keys: list[int], lines: list[str], least: float):
-        self.least, self.keys, self.lines = least, keys, lines
-        self.sets = [self._hashes(x) for x in lines]
-        values, counts = np.unique(np.concatenate(self.sets), return_counts=True)
+        self.least, self.keys = least, keys
+        self.held = Lines(lines, least)
+        values, counts = np.unique(np.concatenate([c for c, _ in self.held.codes]), return_counts=True)
         self.values, self.counts = values, counts
         self.parent = list(range(len(keys)))
         self.size = [1] * len(keys)
@@ -220,11 +269,6 @@ class Group:
         self.inner: dict[int, list[int]] = {}  # first shingles of members of the large part
         self.outer: dict[int, list[int]] = {}  # and of the others, as they were when they came
 
-    @staticmethod
-    def _hashes(line: str) -> np.ndarray:
-        points = np.frombuffer(line.ljust(SHINGLE, "\0").encode("utf-32-le"), np.uint32)
-        return np.unique(shingle_hashes(points))
-
     def _first(self, own: np.ndarray) -> list[int]:
         at = np.searchsorted(self.values, own)
         known = at < len(self.values)
@@ -240,24 +284,12 @@ class Group:
             parent[k] = k = parent[parent[k]]
         return k
 
-    def _similar(self, line: str, own: np.ndarray, k: int) -> bool:
-        other = self.sets[k]
-        least, most = sorted((len(own), len(other)))
-        if least < self.least * most - 1e-9:
-            return False
-        both = np.concatenate((own, other))
-        both.sort()
-        shared = int((both[1:] == both[:-1]).sum())
-        if shared < self.least * (least + most - shared) - 1e-9:
-            return False
-        return similar(shingles(line), shingles(self.lines[k]), self.least)
-
-    def _links(self, line: str, own: np.ndarray, first: list[int]) -> list[int]:
+    def _links(self, line: str, own: tuple[np.ndarray, bool], first: list[int]) -> list[int]:
         """One similar resident of each part that has any."""
         found: dict[int, int] = {}
         top = self._find(self.large) if self.large >= 0 else -1
         for k in self.sample:
-            if self._similar(line, own, k):
+            if self.held.similar(line, own, k):
                 found[top] = k
                 break
         tried: set[int] = set()
@@ -268,7 +300,7 @@ class Group:
                         continue
                     tried.add(k)
                     part = self._find(k)
-                    if part not in found and self._similar(line, own, k):
+                    if part not in found and self.held.similar(line, own, k):
                         found[part] = k
                 if index is self.inner and top in found:
                     break
@@ -277,8 +309,8 @@ class Group:
     def settle(self) -> list[tuple[int, int]]:
         """Links among the residents."""
         links = []
-        for k, (line, own) in enumerate(zip(self.lines, self.sets, strict=True)):
-            first = self._first(own)
+        for k, (line, own) in enumerate(zip(self.held.lines, self.held.codes, strict=True)):
+            first = self._first(own[0])
             for other in self._links(line, own, first):
                 links.append((self.keys[k], self.keys[other]))
                 a, b = self._find(k), self._find(other)
@@ -294,8 +326,8 @@ class Group:
 
     def visit(self, key: int, line: str) -> list[tuple[int, int]]:
         """Links of a guest to the residents."""
-        own = self._hashes(line)
-        return [(key, self.keys[k]) for k in self._links(line, own, self._first(own))]
+        own = shingle_codes(line)
+        return [(key, self.keys[k]) for k in self._links(line, own, self._first(own[0]))]
 
 
 def _verified(least: float):
