@@ -10,7 +10,7 @@ from operator import or_
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import batch, durable
@@ -155,17 +155,38 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch(schema, pa.array(bands.ravel()), pa.array(own))
 
 
+def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(leader, line_key)`` of rows (band, line_key) sorted in that order; only the bucket's leader is held."""
+    schema = pa.schema([("leader", pa.int64()), ("line_key", pa.int64())])
+    last = None  # band and leader of the row before
+    for got in batches:
+        if not got.num_rows:
+            continue
+        band, key = (c.to_numpy() for c in got.columns)
+        starts = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
+        least = key[starts]
+        if last is not None and last[0] == band[0]:
+            least[0] = last[1]
+        leader = np.repeat(least, np.diff(starts, append=len(band)))
+        last = band[-1], leader[-1]
+        others = leader != key
+        others[1:] &= (band[1:] != band[:-1]) | (key[1:] != key[:-1])
+        led = np.unique(leader[others])
+        leaders, keys = np.concatenate((leader[others], led)), np.concatenate((key[others], led))
+        yield batch(schema, pa.array(leaders), pa.array(keys))
+
+
 def candidate_groups(rows: DataFrame) -> DataFrame:
     """``(leader, line_key)``: lines that share a band with their group's least line, the leader included.
 
     All lines of a bucket get the same leader, so two lines that share any
     bucket share a group; buckets of one line give no rows. A cluster that
-    meets in most of its bands is one group, not one for each band.
+    meets in most of its bands is one group, not one for each band. Buckets
+    pass by in order of band and line, so none of them is held.
     """
     bands = rows.select("line_key", "line").mapInArrow(_band_rows, "band bigint, line_key bigint")
-    leader = F.min("line_key").over(Window.partitionBy("band"))
-    pairs = bands.select(leader.alias("leader"), "line_key").where("leader <> line_key").distinct()
-    return pairs.union(pairs.select("leader", F.col("leader").alias("line_key")).distinct())
+    bands = bands.repartition("band").sortWithinPartitions("band", "line_key")
+    return bands.mapInArrow(_led, "leader bigint, line_key bigint").distinct()
 
 
 # ---------------------------------------------------------------- verification

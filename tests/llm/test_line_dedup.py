@@ -129,3 +129,49 @@ def test_large_groups_link_what_all_pairs_link():
         for k, line in enumerate(lines):
             ours.setdefault(label[k], set()).add(part[line])
         assert all(len(v) == 1 for v in ours.values()) and len(ours) == len(set(part.values()))
+
+
+def test_codes_decide_like_sets_of_shingles():
+    rng = random.Random(9)
+    wide = ["日本語のテキスト", "ÿ", "Ā", "\U0001f600", "\0"]
+    lines = ["", "ab", "ab\0", "a" * 8, "a" * 400, "\0" * 9]
+    for _ in range(60):
+        line = "".join(rng.choice("abcdé ") for _ in range(rng.randint(1, 60)))
+        lines += [line, line + rng.choice(wide), line[:-1], rng.choice(wide) + line[1:], line + line[:4]]
+    sets = [line_dedup.shingles(x) for x in lines]
+    held = line_dedup.Lines(lines, 0.8)
+    for i, own in enumerate(held.codes):
+        for j in range(i):
+            assert held.similar(lines[i], own, j) == line_dedup.similar(sets[i], sets[j])
+
+
+def test_repeated_code_values_keep_lines_apart(monkeypatch):
+    monkeypatch.setattr(line_dedup, "shingle_hashes", lambda points: np.zeros(len(points) - 7, np.uint64))
+    lines = ["ひとつめの行はこのとおりです", "ふたつめの行はまったく別の話です", "ひとつめの行はこのとおりです。"]
+    assert line_dedup.few_links(lines, 0.8) == [(2, 0)]
+
+
+def test_trimming_takes_all_blanks_at_both_ends(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["", " ", "a", " A", "a\t ", "\r\x0b\x0c x y \r", "\xa0z", "\tb"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in frame.select(line_dedup.normal_line(F.col("t"))).collect()]
+    assert got == [t.strip(" \t\r\x0b\x0c").lower() for t in texts]
+
+
+def test_buckets_pass_by_in_batches():
+    import pyarrow as pa
+
+    rng = random.Random(10)
+    rows = sorted((rng.randint(-9, 9), rng.randint(-40, 40)) for _ in range(300))
+    buckets = {}
+    for band, key in rows:
+        buckets.setdefault(band, set()).add(key)
+    wanted = {(min(v), k) for v in buckets.values() if len(v) > 1 for k in v}
+    names = ["band", "line_key"]
+    for size in (1, 7, 1000):
+        parts = [rows[k : k + size] for k in range(0, len(rows), size)]
+        parts = [pa.record_batch([pa.array(c, pa.int64()) for c in zip(*p, strict=True)], names) for p in parts]
+        got = [tuple(r.values()) for b in line_dedup._led(iter(parts)) for r in b.to_pylist()]
+        assert set(got) == wanted
