@@ -9,8 +9,8 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -348,16 +348,67 @@ def assemble_scale(features: DataFrame) -> tuple[DataFrame, PipelineModel]:
     return model.transform(ready), model
 
 
+def silhouettes(rows: DataFrame) -> DataFrame:
+    """``k, cluster, users, silhouette, mean_silhouette`` of (k, cluster, features) rows.
+
+    ``features`` is an array of numbers; every ``k`` is a clustering of its own
+    and all are scored together. With squared Euclidean distance the mean
+    distance from a point to a cluster follows from the cluster's size, mean
+    and mean square, so one aggregation gives all that a second pass over the
+    rows needs: a few numbers for each cluster, never pairs of users. A user
+    alone in a cluster, or with all others in the same one, has 0. An empty
+    table has no rows.
+    """
+    dims = len(FEATURES)
+    value = [F.element_at("features", i + 1) for i in range(dims)]
+    square = sum((v * v for v in value[1:]), value[0] * value[0])
+    points = rows.select("k", "cluster", "features", square.alias("_square"))
+    parts = points.groupBy("k", "cluster").agg(
+        F.count("*").alias("users"),
+        F.avg("_square").alias("square"),
+        F.array(*[F.avg(v) for v in value]).alias("mean"),
+    )
+    clusters = parts.groupBy("k").agg(
+        F.collect_list(F.struct("cluster", "users", "square", "mean")).alias("_clusters")
+    )
+
+    def distance(part: Column) -> Column:
+        product = sum((v * part["mean"][i] for i, v in enumerate(value[1:], 1)), value[0] * part["mean"][0])
+        return F.greatest(F.col("_square") + part["square"] - 2 * product, F.lit(0.0))
+
+    same = F.filter("_clusters", lambda c: c["cluster"] == F.col("cluster"))[0]
+    others = F.filter("_clusters", lambda c: c["cluster"] != F.col("cluster"))
+    met = points.join(clusters, "k").select(
+        "k",
+        "cluster",
+        same["users"].alias("users"),
+        (distance(same) * same["users"] / F.nullif(same["users"] - 1, F.lit(0))).alias("own"),
+        F.array_min(F.transform(others, distance)).alias("next"),
+    )
+    widest = F.nullif(F.greatest("own", "next"), F.lit(0.0))
+    score = F.when(F.col("own").isNotNull() & F.col("next").isNotNull(), (F.col("next") - F.col("own")) / widest)
+    found = met.withColumn("score", F.coalesce(score, F.lit(0.0))).groupBy("k", "cluster").agg(
+        F.count("*").alias("users"), F.sum("score").alias("total")
+    )
+    means = found.groupBy("k").agg((F.sum("total") / F.sum("users")).alias("mean_silhouette"))
+    return found.join(means, "k").select(
+        "k", "cluster", "users", (F.col("total") / F.col("users")).alias("silhouette"), "mean_silhouette"
+    )
+
+
 def kmeans_select_k(
     scaled: DataFrame, ks: Sequence[int] = tuple(CLUSTER_RANGE), iterations: int = 100
 ) -> tuple[KMeansModel, dict[int, float]]:
-    """The K-Means model of best silhouette and the silhouette of each k."""
+    """The K-Means model of best silhouette and the silhouette of each k, all scored in one job."""
     data = scaled.select("user_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    scores: dict[int, float] = {}
-    models: dict[int, KMeansModel] = {}
+    models = {k: KMeans(k=k, seed=SEED, maxIter=iterations).fit(data) for k in ks}
+    placed = data
     for k in ks:
-        models[k] = KMeans(k=k, seed=SEED, maxIter=iterations).fit(data)
-        scores[k] = ClusteringEvaluator().evaluate(models[k].transform(data))
+        placed = models[k].copy().setPredictionCol(f"_{k}").transform(placed)
+    choices = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_{k}").alias("cluster")) for k in ks])
+    placed = placed.select(vector_to_array("features").alias("features"), F.explode(choices).alias("_c"))
+    found = silhouettes(placed.select("_c.k", "_c.cluster", "features"))
+    scores = {r.k: r.mean_silhouette for r in found.select("k", "mean_silhouette").distinct().collect()}
     data.unpersist()
     best = min(scores, key=lambda k: (-scores[k], k))
     return models[best], scores

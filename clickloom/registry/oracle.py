@@ -573,6 +573,24 @@ add("assemble_scale", "i p", "SELECT user_id, " + ", ".join(
     f"""round(CASE WHEN stddev_samp(v.{c}) OVER () > 0 THEN (v.{c} - avg(v.{c}) OVER ())
       / stddev_samp(v.{c}) OVER () ELSE 0 END, 6) AS {c}""" for c in STANDARD) + " FROM v", features("i"),
     "v AS (SELECT user_id, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in STANDARD) + " FROM ft)")
+add("silhouette_by_k", "i p", """SELECT k, c AS cluster, users, round(total / users, 6) AS silhouette, mean_silhouette,
+    k = (SELECT k FROM best ORDER BY mean_silhouette DESC, k LIMIT 1) AS chosen FROM scored JOIN best USING (k)""",
+    features("i"),
+    "v AS (SELECT user_id, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in STANDARD) + " FROM ft)",
+    "z AS (SELECT user_id, CAST(total_interactions AS BIGINT) AS t, [" + ", ".join(
+        f"""CASE WHEN stddev_samp({c}) OVER () > 0
+        THEN ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () ELSE 0 END""" for c in STANDARD) + "] AS x FROM v)",
+    """a AS (SELECT k, user_id, x, list_dot_product(x, x) AS q, (t * k) // ((SELECT max(t) FROM z) + 1) AS c
+    FROM z, (SELECT unnest([2, 3, 4, 5, 6, 7]) AS k))""",
+    "g AS (SELECT k, c, count(*) AS n, avg(q) AS q, [" + ", ".join(
+        f"avg(x[{i + 1}])" for i in range(len(STANDARD))) + "] AS m FROM a GROUP BY k, c)",
+    """d AS (SELECT a.k, a.user_id, a.c, g.c AS o, g.n, greatest(a.q + g.q - 2 * list_dot_product(a.x, g.m), 0) AS d
+    FROM a JOIN g USING (k))""",
+    """w AS (SELECT k, user_id, c, max(CASE WHEN o = c AND n > 1 THEN d * n / (n - 1) END) AS own,
+    min(CASE WHEN o <> c THEN d END) AS nearest FROM d GROUP BY k, user_id, c)""",
+    """scored AS (SELECT k, c, count(*) AS users, sum(CASE WHEN own IS NULL OR nearest IS NULL OR greatest(own, nearest) = 0
+    THEN 0 ELSE (nearest - own) / greatest(own, nearest) END) AS total FROM w GROUP BY k, c)""",
+    "best AS (SELECT k, round(sum(total) / sum(users), 6) AS mean_silhouette FROM scored GROUP BY k)")
 add("kmeans_properties", "i p", """SELECT CAST(count(*) AS BIGINT) AS users, true AS k_in_range, true AS best_silhouette,
     true AS all_used FROM ft""", features("i"))
 add("index_ids", "i", """SELECT user_id, CAST(row_number() OVER (ORDER BY user_id) - 1 AS INTEGER) AS user_index

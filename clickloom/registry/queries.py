@@ -903,6 +903,33 @@ def kmeans_properties(spark, sf):
     )
 
 
+@query
+def silhouette_by_k(spark, sf):
+    """Silhouettes of 2 to 7 equally wide bands of activity over the standardised features."""
+    features = aggregates.user_features(
+        b.interactions(spark, sf), b.products(spark, sf), AS_OF, ordered=False
+    )
+    scaled, _ = ml.assemble_scale(features)
+    top = scaled.agg(F.max("total_interactions")).scalar()
+    rows = scaled.select(
+        F.col("total_interactions").cast("bigint").alias("total"),
+        top.cast("bigint").alias("top"),
+        vector_to_array("features").alias("features"),
+        F.explode(F.array(*[F.lit(k) for k in ml.CLUSTER_RANGE])).alias("k"),
+    )
+    rows = rows.select("k", F.expr("total * k div (top + 1)").alias("cluster"), "features")
+    found = ml.silhouettes(rows).withColumn("mean_silhouette", F.round("mean_silhouette", 6))
+    best = found.agg(F.max_by("k", F.struct("mean_silhouette", -F.col("k")))).scalar()
+    return found.select(
+        "k",
+        "cluster",
+        "users",
+        F.round("silhouette", 6).alias("silhouette"),
+        "mean_silhouette",
+        (F.col("k") == best).alias("chosen"),
+    )
+
+
 @query
 def assemble_scale(spark, sf):
     """Standardised features of each user."""

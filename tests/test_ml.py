@@ -87,6 +87,43 @@ def test_scaling_and_clusters(spark):
     assert tops == [[("A", 30)], [("B", 30)]]
 
 
+def test_silhouettes_equal_the_pairs(spark):
+    rng = random.Random(3)
+    points = {k: [(rng.randrange(k), [rng.random() * 3 for _ in ml.FEATURES]) for _ in range(25)] for k in (2, 4)}
+    points[3] = [(0, [1.0] * len(ml.FEATURES)), (0, [1.0] * len(ml.FEATURES)), (2, [5.0] * len(ml.FEATURES))]
+    points[1] = [(7, [float(k)] * len(ml.FEATURES)) for k in range(3)]
+    rows = [(k, c, x) for k, members in points.items() for c, x in members]
+    frame = spark.createDataFrame(rows, "k int, cluster int, features array<double>")
+    got = {(r.k, r.cluster): r for r in ml.silhouettes(frame).collect()}
+    for k, members in points.items():
+        each = {}
+        for i, (c, x) in enumerate(members):
+            far = {}
+            for j, (o, y) in enumerate(members):
+                if i != j:
+                    far.setdefault(o, []).append(sum((a - b) ** 2 for a, b in zip(x, y, strict=True)))
+            means = {o: sum(d) / len(d) for o, d in far.items()}
+            own, rest = means.pop(c, None), min(means.values(), default=None)
+            known = own is not None and rest is not None and max(own, rest) > 0
+            each.setdefault(c, []).append((rest - own) / max(own, rest) if known else 0.0)
+        assert {c for n, c in got if n == k} == set(each)
+        mean = sum(sum(v) for v in each.values()) / len(members)
+        for c, v in each.items():
+            assert got[k, c].users == len(v)
+            assert abs(got[k, c].silhouette - sum(v) / len(v)) < 1e-9
+            assert abs(got[k, c].mean_silhouette - mean) < 1e-9
+    assert ml.silhouettes(frame.limit(0)).collect() == []
+
+
+def test_silhouettes_equal_the_evaluator(spark):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    scaled, _ = ml.assemble_scale(features(spark))
+    model, scores = ml.kmeans_select_k(scaled, ks=(2, 3))
+    wanted = ClusteringEvaluator().evaluate(model.transform(scaled))
+    assert abs(scores[model.summary.k] - wanted) < 1e-9
+
+
 def test_cluster_rules_take_the_first_match(spark):
     profile = spark.createDataFrame(
         [
