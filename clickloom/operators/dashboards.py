@@ -189,6 +189,35 @@ def live_metrics(interactions: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
+def _wider(spans: DataFrame, minutes: int) -> DataFrame:
+    """Bitmaps of each span joined with those of the span that ends ``minutes`` before."""
+    ends = F.array(F.col("minute_end"), F.col("minute_end") + F.expr(f"INTERVAL {minutes} MINUTES"))
+    rows = spans.select(F.explode(ends).alias("minute_end"), "part", "users")
+    return rows.groupBy("minute_end", "part").agg(F.bitmap_or_agg("users").alias("users"))
+
+
+def live_users(minutes: DataFrame, as_of: AsOf, hours: int = 24) -> DataFrame:
+    """Distinct users of the hour and of the five minutes before each minute's end.
+
+    ``minutes`` are the bitmaps of ``stream_user_minutes``. Spans double from
+    one minute to 32; two spans that overlap give the 60, since a user counts
+    once however often a bit is set. So a bitmap is merged seven times, not
+    once for each of 60 minutes. The ends lie in the ``hours`` up to ``as_of``;
+    one whose hour has no user has no row.
+    """
+    end, until = F.col("minute_end"), time_literal(minutes, "minute_end", to_datetime(as_of))
+    since = until - F.expr(f"INTERVAL {int(hours)} HOURS")
+    four = _wider(_wider(minutes.filter((end > since - F.expr("INTERVAL 1 HOUR")) & (end <= until)), 1), 2)
+    hour = _wider(_wider(_wider(_wider(four, 4), 8), 16), 28)
+
+    def users(spans: DataFrame, name: str) -> DataFrame:
+        inside = spans.filter((end > since) & (end <= until))
+        return inside.groupBy("minute_end").agg(F.sum(F.bitmap_count("users")).alias(name))
+
+    both = users(hour, "total_users").join(users(_wider(four, 1), "active_users"), "minute_end", "left")
+    return both.withColumn("active_users", F.coalesce("active_users", F.lit(0).cast("bigint")))
+
+
 def active_sessions(sessions: DataFrame, as_of: AsOf, minutes: int = 5) -> DataFrame:
     """Sessions seen in the last minutes, newest first."""
     rows = trailing_window(sessions, as_of, ts="last_activity", minutes=minutes)

@@ -528,6 +528,10 @@ add("stream_timeline_levels", "i", f"""SELECT strftime(time_bucket(INTERVAL 1 HO
       count(*) AS fine_windows, max(clicks + views + purchases) AS busiest FROM (
         SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS m, count(*) FILTER ({CLICK}) AS clicks, count(*) FILTER ({VIEW}) AS views,
           count(*) FILTER (interaction_type = 'purchase') AS purchases FROM i GROUP BY 1) GROUP BY 1""")
+add("live_users", "i", f"""SELECT strftime(e, '%Y-%m-%d %H:%M') AS minute_end, count(DISTINCT user_id) AS total_users,
+      count(DISTINCT CASE WHEN ts >= e - INTERVAL 5 MINUTES THEN user_id END) AS active_users
+    FROM (SELECT unnest(generate_series({NOW} - INTERVAL 1439 MINUTES, {NOW}, INTERVAL 1 MINUTE)) AS e)
+    JOIN i ON ts >= e - INTERVAL 1 HOUR AND ts < e WHERE user_id IS NOT NULL GROUP BY e""")
 add("distinct_values", "s", "SELECT DISTINCT user_id, interaction_type FROM s")
 add("drop_matching_sessions", "b", f"""SELECT session_id, user_id, last_activity FROM b
     WHERE NOT starts_with(session_id, 'tab_1') AND last_activity >= {NOW} - INTERVAL 1440 MINUTES""")

@@ -1323,6 +1323,15 @@ def stream_timeline_levels(spark, sf):
     return out.withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd HH:mm"))
 
 
+@query
+def live_users(spark, sf):
+    """Distinct users of the last hour and five minutes at every minute of a day, from a stream's bitmaps."""
+    rows = b.interactions(spark, sf).select("user_id", "ts")
+    minutes = _drained(rows, stateful.stream_user_minutes, "users", {"user_id": F.lit(0).cast("bigint")})
+    out = dashboards.live_users(minutes, AS_OF)
+    return out.withColumn("minute_end", F.date_format("minute_end", "yyyy-MM-dd HH:mm"))
+
+
 @query
 def closed_sessions(spark, sf):
     """Tabs that end after two days without a heartbeat, closed by timers over three micro-batches."""

@@ -122,6 +122,21 @@ def stream_timeline_levels(
     return large.select(F.col("wide.start").alias("bucket"), "clicks", "views", "purchases", "fine_windows", "busiest")
 
 
+def stream_user_minutes(interactions: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """The users of each closed minute as bitmaps, ``minute_end, part, users``; for append mode.
+
+    A bitmap holds the 32,768 ids of its ``part``, so a minute's state is
+    bounded by the ids and not by the events. Rows without a user say nothing.
+    ``dashboards.live_users`` merges the minutes.
+    """
+    known = event_time(interactions).withWatermark("ts", delay).filter(F.col("user_id").isNotNull())
+    user = F.col("user_id").cast("bigint")
+    minutes = known.groupBy(F.window("ts", "1 minute"), F.bitmap_bucket_number(user).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(user)).alias("users")
+    )
+    return minutes.select(F.col("window.end").alias("minute_end"), "part", "users")
+
+
 def session_activity(heartbeats: DataFrame) -> DataFrame:
     """Latest state per session: last activity, and the user of that moment."""
     last = F.max(F.struct("ts", "event_id", "user_id"))

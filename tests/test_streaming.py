@@ -3,10 +3,10 @@
 import json
 import os
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
-from clickloom.operators import aggregates, projections, windows
+from clickloom.operators import aggregates, dashboards, projections, windows
 from clickloom.plans.refresh import refresh_recommendations
 from clickloom.sources import events as event_source
 from clickloom.sources import keyed
@@ -268,6 +268,23 @@ def test_timeline_levels_equal_the_batch(spark, tmp_path):
     assert {r[0]: tuple(r[1:]) for r in got.collect()} == want
 
 
+def test_live_users_by_hand(spark):
+    rng, day = random.Random(12), datetime(2024, 1, 30)
+    ids = [1, 2, 32_768, 32_769, 70_000, 0, -5, None]
+    seen = [(rng.choice(ids), day + timedelta(seconds=rng.randrange(4 * 3600))) for _ in range(150)]
+    frame = spark.createDataFrame(seen, "user_id bigint, ts timestamp_ntz")
+    until = day + timedelta(hours=5)
+    got = dashboards.live_users(stateful.stream_user_minutes(frame), until, hours=4)
+    want = {}
+    for k in range(61, 301):
+        end = day + timedelta(minutes=k)
+        spans = [{u for u, t in seen if u is not None and end - timedelta(minutes=m) <= t < end} for m in (60, 5)]
+        if spans[0]:
+            want[end] = tuple(map(len, spans))
+    found = {r.minute_end.replace(tzinfo=None): (r.total_users, r.active_users) for r in got.collect()}
+    assert found == want
+
+
 def test_refresh_by_hand(spark, shop):
     events = shop.events(
         [
