@@ -212,18 +212,20 @@ def shingle_codes(line: str) -> tuple[np.ndarray, bool]:
     Eight characters below 256 are their eight bytes, any other shingle is a
     64-bit hash. Lines of fewer characters than a shingle are padded.
     """
-    points = np.frombuffer(line.ljust(SHINGLE, "\0").encode("utf-32-le"), np.uint32)
-    narrow = points < 256
-    codes, width = points.astype(np.uint64), 1
-    while width < SHINGLE:
-        codes = (codes[:-width] << np.uint64(8 * width)) | codes[width:]
-        width *= 2
-    plain = bool(narrow.all())
+    padded = line.ljust(SHINGLE, "\0")
+    try:
+        narrow, plain = padded.encode("latin-1"), True
+    except UnicodeEncodeError:
+        narrow, plain = padded.encode("latin-1", "replace"), False
+    # the number at every byte, in place of shifts and sums
+    codes = np.ndarray((len(padded) - SHINGLE + 1,), "<u8", narrow, strides=(1,)).copy()
     if not plain:
-        wide = np.convolve(~narrow, np.ones(SHINGLE, np.int64), "valid") > 0
-        codes = np.where(wide, shingle_hashes(points), codes)
+        points = np.frombuffer(padded.encode("utf-32-le"), np.uint32)
+        wide = np.convolve(points > 255, np.ones(SHINGLE, np.int64), "valid") > 0
+        codes[wide] = shingle_hashes(points)[wide]
     codes.sort()
-    fresh = np.ones(len(codes), bool)
+    fresh = np.empty(len(codes), bool)
+    fresh[0] = True
     np.not_equal(codes[1:], codes[:-1], out=fresh[1:])
     return codes[fresh], plain and len(line) >= SHINGLE
 
