@@ -14,7 +14,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 #: A tab without a heartbeat for so long has ended.
 IDLE = timedelta(minutes=5)
 CLOSED = "session_id string, started_at timestamp, last_activity timestamp, heartbeats bigint"
-STATE = "started bigint, last bigint, heartbeats bigint"
+#: Sessions share the state of one of so many groups; a checkpoint keeps the number that it began with.
+BUCKETS = 1 << 12
+STATE = "session_ids array<string>, started array<bigint>, last array<bigint>, heartbeats array<bigint>"
 PIECES = "session_id string, minute bigint, first timestamp, ts timestamp, n bigint"
 
 
@@ -28,13 +30,16 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from table.combine_chunks().to_batches()
 
 
-def closed_sessions(heartbeats: DataFrame, idle: timedelta = IDLE, delay: str = "10 minutes") -> DataFrame:
+def closed_sessions(
+    heartbeats: DataFrame, idle: timedelta = IDLE, delay: str = "10 minutes", buckets: int = BUCKETS
+) -> DataFrame:
     """``session_id, started_at, last_activity, heartbeats`` of each session when it has ended; for append mode.
 
     A session goes on while heartbeats come at most ``idle`` after the one
-    before (at least a minute). The state of an open session is three numbers;
-    a timer at its last activity plus ``idle`` emits it once the watermark has
-    passed. Heartbeats without a session or time are left out.
+    before (at least a minute). An open session is three numbers in the state
+    of its bucket, so the calls of a micro-batch are bounded by ``buckets``,
+    not by sessions; a timer at the first end in a bucket emits what the
+    watermark has passed. Heartbeats without a session or time are left out.
     """
     if idle < timedelta(minutes=1):
         raise ValueError("a session stays open for a minute at least")
@@ -43,42 +48,37 @@ def closed_sessions(heartbeats: DataFrame, idle: timedelta = IDLE, delay: str =
     rows = rows.select("session_id", F.floor(F.unix_micros(ts) / 60_000_000).alias("minute"), ts.alias("ts"))
     rows = rows.mapInArrow(_pieces, PIECES).withWatermark("ts", delay)
     micros = lambda c: F.unix_micros(c)
-    rows = rows.select("session_id", "ts", micros("first").alias("begin"), micros("ts").alias("end"), "n")
+    bucket = F.pmod(F.xxhash64("session_id"), F.lit(buckets)).alias("bucket")
+    rows = rows.select(bucket, "session_id", "ts", micros("first").alias("begin"), micros("ts").alias("end"), "n")
     span = idle // timedelta(microseconds=1)
 
-    def ended(key: tuple, found: list[tuple[int, int, int]]) -> pd.DataFrame:
-        times = [pd.to_datetime([r[k] for r in found], unit="us", utc=True) for k in (0, 1)]
-        return pd.DataFrame({
-            "session_id": [key[0]] * len(found), "started_at": times[0], "last_activity": times[1],
-            "heartbeats": [r[2] for r in found],
-        })
-
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = tuple(state.get) if state.exists else None
-        if state.hasTimedOut:
-            state.remove()
-            yield ended(key, [now])
-            return
-        pieces = sorted(p for f in frames for p in zip(f["begin"].tolist(), f["end"].tolist(), f["n"].tolist(), strict=True))
+        opened = {s: tuple(x) for s, *x in zip(*state.get, strict=True)} if state.exists else {}
+        columns = ["session_id", "begin", "end", "n"]
+        pieces = [] if state.hasTimedOut else sorted(
+            p for f in frames for p in zip(*(f[c].tolist() for c in columns), strict=True)
+        )
         found = []
-        for begin, end, n in pieces:
+        for session, begin, end, n in pieces:
+            now = opened.get(session)
             if now is None or begin > now[1] + span:
                 if now is not None:
-                    found.append(now)
-                now = (begin, end, n)
+                    found.append((session, *now))
+                opened[session] = (begin, end, n)
             else:
-                now = (min(begin, now[0]), max(end, now[1]), now[2] + n)
-        due = (now[1] + span) // 1000
-        if due > state.getCurrentWatermarkMs():
-            state.update(now)
-            state.setTimeoutTimestamp(due)
-        else:
-            if state.exists:
-                state.remove()
-            found.append(now)
+                opened[session] = (min(begin, now[0]), max(end, now[1]), now[2] + n)
+        watermark = state.getCurrentWatermarkMs()
+        ended = [s for s, now in opened.items() if (now[1] + span) // 1000 <= watermark]
+        found += [(s, *opened.pop(s)) for s in ended]
+        if opened:
+            state.update((list(opened), *map(list, zip(*opened.values(), strict=True))))
+            state.setTimeoutTimestamp((min(now[1] for now in opened.values()) + span) // 1000)
+        elif state.exists:
+            state.remove()
         if found:
-            yield ended(key, found)
+            out = pd.DataFrame(found, columns=["session_id", "started_at", "last_activity", "heartbeats"])
+            yield out.assign(**{c: pd.to_datetime(out[c], unit="us", utc=True) for c in out.columns[1:3]})
 
-    return rows.groupBy("session_id").applyInPandasWithState(
+    return rows.groupBy("bucket").applyInPandasWithState(
         update, CLOSED, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )

@@ -256,6 +256,29 @@ def test_sessions_close_by_their_timers(spark, tmp_path):
         session_state.closed_sessions(static(spark, tmp_path / "in"), timedelta(seconds=30))
 
 
+def test_many_sessions_share_few_groups(spark, tmp_path):
+    rng = random.Random(21)
+    beats = [sorted((rng.randrange(3000 * (2 - b), 3000 * (3 - b)), f"s{rng.randrange(120)}") for _ in range(300)) for b in range(3)]
+    write_lines(tmp_path / "in", [*([line(1, "heartbeat", age, tab) for age, tab in b] for b in beats), [line(1, "heartbeat", -9000, "z")]])
+    out = session_state.closed_sessions(stream(spark, tmp_path / "in"), buckets=8, delay="0 seconds")
+    writer = out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", str(tmp_path / "cp"))
+    q = writer.trigger(availableNow=True).start(str(tmp_path / "out"))
+    q.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert 0 < max(kept) <= 8  # state of 120 sessions
+    want = {}
+    for age, tab in sorted((x for b in beats for x in b), reverse=True):
+        runs = want.setdefault(tab, [])
+        if runs and runs[-1][1] - age <= 300:
+            runs[-1] = (runs[-1][0], age, runs[-1][2] + 1)
+        else:
+            runs.append((age, age, 1))
+    age = lambda t: round((AS_OF - t.replace(tzinfo=None)).total_seconds())
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    seen = sorted((r.session_id, age(r.started_at), age(r.last_activity), r.heartbeats) for r in got)
+    assert seen == sorted((tab, *run) for tab, runs in want.items() for run in runs)
+
+
 def test_timeline_levels_equal_the_batch(spark, tmp_path):
     write_lines(tmp_path / "in", [*shop_batches(7), [line(1, "search", -90_000, query="x")]])
     got = drain(stateful.stream_timeline_levels(as_interactions(stream(spark, tmp_path / "in"))), "append", tmp_path, "levels")
