@@ -1282,7 +1282,11 @@ def event_router(spark, sf):
 def stream_refresh(spark, sf):
     """The lists after each of six daily micro-batches of the stateful refresh."""
     root = shared_folder(spark, "lists")
-    rows, trending, shelf = b.web_events(spark, sf), _trending(spark, sf), _shelf(spark, sf)
+    rows = b.web_events(spark, sf)
+    # written once: each micro-batch reads the tables of candidates again
+    _trending(spark, sf).write.parquet(f"{root}/trending")
+    _shelf(spark, sf).write.parquet(f"{root}/shelf")
+    trending, shelf = spark.read.parquet(f"{root}/trending"), spark.read.parquet(f"{root}/shelf")
     for back in range(6, 0, -1):
         day = rows.where(
             f"ts >= timestamp_ntz'{AS_OF}' - interval {back} days and ts < timestamp_ntz'{AS_OF}' - interval {back - 1} days"

@@ -1,7 +1,8 @@
 """The list refresh with native state: one bounded list per user, kept by Spark.
 
-The state of a user is the last list and its time. It ends by an event-time
-timer, or when the user comes back after the list's life.
+The state of a user is the last list and its time, kept with those of the other
+users of a bucket. It ends by an event-time timer, or when the user comes back
+after the list's life.
 """
 
 from __future__ import annotations
@@ -23,7 +24,9 @@ from clickloom.operators.aggregates import PROFILE_CATEGORY_TYPES
 LIFE = timedelta(days=3)
 ENTRIES = "user_id bigint, category string, product_id bigint, n bigint, ts timestamp"
 LISTS = "user_id bigint, product_ids array<bigint>, updated_at timestamp"
-STATE = "product_ids array<bigint>, updated bigint"
+#: Users share the state of one of so many groups; a checkpoint keeps the number that it began with.
+BUCKETS = 1 << 10
+STATE = "user_ids array<bigint>, product_ids array<array<bigint>>, updated array<bigint>"
 
 
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,7 +63,12 @@ def next_list(trending: list[int], counts: dict, picks: dict, seen: set, old: li
 
 
 def stream_lists(
-    events: DataFrame, trending: DataFrame, shelf: DataFrame, life: timedelta = LIFE, delay: str = "10 minutes"
+    events: DataFrame,
+    trending: DataFrame,
+    shelf: DataFrame,
+    life: timedelta = LIFE,
+    delay: str = "10 minutes",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Per micro-batch the new list of each of its users; for update mode.
 
@@ -68,39 +76,51 @@ def stream_lists(
     tables; the few best trending products are read once, a category's best come
     by a join. The lists equal those of ``refresh_recommendations`` on the
     batch's events and the user's list so far, if it is not older than ``life``.
+    The calls of a micro-batch are bounded by ``buckets``, not by users.
     """
     best = trending.where(F.col("rank") <= lists.TRENDING_CANDIDATES).orderBy("rank").select("product_id")
     popular = [r.product_id for r in best.limit(lists.TRENDING_CANDIDATES).collect()]
     ranked = F.array_sort(F.collect_list(F.struct("rank", "product_id")))["product_id"]
     shelves = shelf.where(F.col("rank") <= lists.PER_CATEGORY_CANDIDATES).groupBy("category").agg(ranked.alias("picks"))
     rows = interest_entries(events).join(shelves, "category", "left").withWatermark("ts", delay)
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).alias("bucket")
+    at = F.unix_micros("ts").alias("at")
+    rows = rows.select(bucket, "user_id", "category", "product_id", "n", "ts", at, "picks")
     span = int(life.total_seconds() * 1000)
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        counts, picks, seen, newest = {}, {}, set(), None
-        for frame in frames:
-            newest = max(frame["ts"].max(), newest) if newest is not None else frame["ts"].max()
-            for category, product, n, own in zip(frame["category"], frame["product_id"], frame["n"], frame["picks"], strict=True):
+        held = {u: (p, t) for u, p, t in zip(*state.get, strict=True)} if state.exists else {}
+        users, picks = {}, {}
+        for frame in [] if state.hasTimedOut else frames:
+            columns = ["user_id", "category", "product_id", "n", "at", "picks"]
+            for user, category, product, n, micros, own in zip(*(frame[c].tolist() for c in columns), strict=True):
+                counts, seen, newest = users.get(user) or ({}, set(), micros)
                 if category is not None and not pd.isna(category):
-                    counts[category] = counts.get(category, 0) + int(n)
-                    picks[category] = [int(p) for p in own] if own is not None else []
-                if not pd.isna(product):
+                    counts[category] = counts.get(category, 0) + n
+                    if category not in picks:
+                        picks[category] = [int(p) for p in own] if own is not None else []
+                if product is not None and not pd.isna(product):
                     seen.add(int(product))
-        now, old = newest.value // 1_000_000, []
-        if state.exists:
-            old, updated = state.get
-            old = [int(p) for p in old] if now - updated <= span else []
-        products = next_list(popular, counts, picks, seen, old)
-        if now + span > state.getCurrentWatermarkMs():
-            state.update((products, now))
-            state.setTimeoutTimestamp(now + span)
+                users[user] = (counts, seen, max(newest, micros))
+        watermark = state.getCurrentWatermarkMs()
+        held = {u: x for u, x in held.items() if u in users or x[1] + span >= watermark}
+        found = []
+        for user, (counts, seen, newest) in users.items():
+            now = newest // 1000
+            old, updated = held.pop(user, ([], now))
+            products = next_list(popular, counts, picks, seen, old if now - updated <= span else [])
+            found.append((user, products, newest))
+            if now + span > watermark:
+                held[user] = (products, now)
+        if held:
+            state.update((list(held), *map(list, zip(*held.values(), strict=True))))
+            state.setTimeoutTimestamp(min(t for _, t in held.values()) + span)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame({"user_id": [key[0]], "product_ids": [products], "updated_at": [newest]})
+        if found:
+            out = pd.DataFrame(found, columns=["user_id", "product_ids", "updated_at"])
+            yield out.assign(updated_at=pd.to_datetime(out["updated_at"], unit="us", utc=True))
 
-    return rows.groupBy("user_id").applyInPandasWithState(
+    return rows.groupBy("bucket").applyInPandasWithState(
         update, LISTS, STATE, "update", GroupStateTimeout.EventTimeTimeout
     )

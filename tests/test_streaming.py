@@ -232,6 +232,35 @@ def test_state_lists_end_after_their_life(spark, tmp_path):
     assert seen == {1: [[12, 13], [11, 13, 12], [11, 12]], 2: [[11, 13], [12, 13]], 3: [[12, 13]], 4: [[]]}
 
 
+def test_many_lists_share_few_groups(spark, tmp_path):
+    rng, day = random.Random(5), 86_400
+    steps = []
+    for back in (9, 7, 6, 2, 1):  # lists end between the third and the fourth
+        users = rng.sample(range(100), 70)
+        steps.append([line(u, "product_view", back * day + rng.randrange(100), product_id=rng.randrange(30), category=rng.choice("AB")) for u in users * 2])
+    write_lines(tmp_path / "in", steps)
+    trending = spark.createDataFrame([(k, k) for k in range(1, 4)], "product_id bigint, rank int")
+    shelf = spark.createDataFrame(SHELF, "category string, product_id bigint, rank int")
+    lists = refresh_state.stream_lists(stream(spark, tmp_path / "in"), trending, shelf, buckets=8)
+    q = jobs.store_lists(lists, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True)
+    q.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert 0 < max(kept) <= 8  # state of 100 users
+    got, have = {}, {}
+    for user, products in rows(spark.read.parquet(str(tmp_path / "out")).orderBy("batch_id"), "user_id", "product_ids"):
+        got.setdefault(user, []).append(products)
+    want = {}
+    for k, back in enumerate((9, 7, 6, 2, 1)):
+        now = static(spark, tmp_path / "in" / f"{k:03d}.json")
+        newest = {r.user_id: r.t.replace(tzinfo=None) for r in now.groupBy("user_id").agg(F.max("ts").alias("t")).collect()}
+        old = [(u, have[u][0]) for u in newest if u in have and newest[u] - have[u][1] <= refresh_state.LIFE]
+        old = spark.createDataFrame(old, "user_id bigint, product_ids array<bigint>")
+        for user, products in rows(refresh_recommendations(now, old, trending, shelf)):
+            have[user] = (products, newest[user])
+            want.setdefault(user, []).append(products)
+    assert got == want
+
+
 def test_entries_of_an_active_user_are_combined(spark, shop):
     events = shop.events([(1, "product_view", {"category": "A", "product_id": str(k % 3)}, k) for k in range(900)])
     got = refresh_state.interest_entries(events.coalesce(1)).collect()
