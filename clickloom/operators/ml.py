@@ -332,9 +332,13 @@ def recommend_for_all(
 
 
 def assemble_scale(features: DataFrame) -> tuple[DataFrame, PipelineModel]:
-    """Feature vectors with mean 0 and standard deviation 1; NULLs count as 0."""
-    ready = features.withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES}
+    """Feature vectors with mean 0 and standard deviation 1; NULLs count as 0.
+
+    The features are checkpointed: the scaler and whatever uses the vectors
+    read them there instead of building them again.
+    """
+    ready = checkpointed(
+        features.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES})
     )
     pipeline = Pipeline(
         stages=[
@@ -399,8 +403,13 @@ def silhouettes(rows: DataFrame) -> DataFrame:
 def kmeans_select_k(
     scaled: DataFrame, ks: Sequence[int] = tuple(CLUSTER_RANGE), iterations: int = 100
 ) -> tuple[KMeansModel, dict[int, float]]:
-    """The K-Means model of best silhouette and the silhouette of each k, all scored in one job."""
-    data = scaled.select("user_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    """The K-Means model of best silhouette and the silhouette of each k, all scored in one job.
+
+    The vectors are checkpointed in as many parts as their size asks for. They
+    are not cached as a table: MLlib keeps decoded vectors for its iterations
+    only of a frame that is not.
+    """
+    data = checkpointed(scaled.select("user_id", "features"))
     models = {k: KMeans(k=k, seed=SEED, maxIter=iterations).fit(data) for k in ks}
     placed = data
     for k in ks:
@@ -409,7 +418,6 @@ def kmeans_select_k(
     placed = placed.select(vector_to_array("features").alias("features"), F.explode(choices).alias("_c"))
     found = silhouettes(placed.select("_c.k", "_c.cluster", "features"))
     scores = {r.k: r.mean_silhouette for r in found.select("k", "mean_silhouette").distinct().collect()}
-    data.unpersist()
     best = min(scores, key=lambda k: (-scores[k], k))
     return models[best], scores
 

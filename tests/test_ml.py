@@ -87,6 +87,21 @@ def test_scaling_and_clusters(spark):
     assert tops == [[("A", 30)], [("B", 30)]]
 
 
+def test_clustering_builds_the_features_once(spark):
+    built = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            built.add(len(frame))
+            yield frame
+
+    made = features(spark)
+    scaled, _ = ml.assemble_scale(made.mapInPandas(counted, made.schema))
+    model, scores = ml.kmeans_select_k(scaled, ks=(2, 3, 4))
+    assert model.transform(scaled).count() == 61 and built.value == 61
+    assert scaled.select("user_id").distinct().count() == 61 and set(scores) == {2, 3, 4}
+
+
 def test_silhouettes_equal_the_pairs(spark):
     rng = random.Random(3)
     points = {k: [(rng.randrange(k), [rng.random() * 3 for _ in ml.FEATURES]) for _ in range(25)] for k in (2, 4)}
