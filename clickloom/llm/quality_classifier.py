@@ -115,26 +115,30 @@ def _summed(frame: DataFrame, partial, size: int) -> np.ndarray:
     """The sum over all rows of what ``partial`` gives for a batch; partitions are summed before they are sent.
 
     The sums of all partitions meet in a few tasks, and only those tasks' sums
-    reach the driver: ``size`` doubles each.
+    reach the driver: ``size`` doubles each. A partition or task without rows
+    sends nothing, however many of them a shuffle has.
     """
     schema = pa.schema([("part", pa.int64()), ("total", pa.binary())])
 
     def own(batches):
-        total = np.zeros(size)
+        total, some = np.zeros(size), False
         for got in batches:
-            total += partial(got)
-        yield pa.RecordBatch.from_arrays([pa.array([hash(total.tobytes()) % 8]), pa.array([total.tobytes()], pa.binary())], schema=schema)
+            if got.num_rows:
+                total, some = total + partial(got), True
+        if some:
+            yield pa.RecordBatch.from_arrays([pa.array([hash(total.tobytes()) % 8]), pa.array([total.tobytes()], pa.binary())], schema=schema)
 
     def merge(batches):
-        total = np.zeros(size)
+        total, some = np.zeros(size), False
         for got in batches:
             for value in got.column(1).to_pylist():
-                total += np.frombuffer(value)
-        yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([total.tobytes()], pa.binary())], schema=schema)
+                total, some = total + np.frombuffer(value), True
+        if some:
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([total.tobytes()], pa.binary())], schema=schema)
 
     sums = frame.mapInArrow(own, "part bigint, total binary")
     sums = sums.repartition(8, "part").mapInArrow(merge, "part bigint, total binary")
-    return np.sum([np.zeros(size), *(np.frombuffer(r.total) for r in sums.collect())], axis=0)
+    return sum((np.frombuffer(r.total) for r in sums.collect()), np.zeros(size))
 
 
 def isotonic(values: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

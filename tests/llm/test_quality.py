@@ -120,3 +120,18 @@ def test_odd_rows_and_labels(odd, nothing, spark):
         assert qc.quality_scores(nothing, marks).collect() == []
         assert qc.drop_rejected(odd, marks).columns == odd.columns
     assert {r.score for r in qc.quality_scores(odd, labels.limit(0)).collect()} == {0.5}
+
+
+def test_parts_without_rows_send_no_sums(spark, monkeypatch):
+    rows = spark.range(0, 40, 1, 30).where("id < 4")  # all but a few of 30 parts are empty
+    sent = []
+    collect = type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda df: sent.append(collect(df)) or sent[-1])
+    values = lambda got: np.array([got.num_rows, sum(got.column(0).to_pylist())], float)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert qc._summed(rows, values, 2).tolist() == [4, 6]
+        assert qc._summed(rows.where("id < 0"), values, 2).tolist() == [0, 0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert 1 <= len(sent[0]) <= 4 and not sent[1]
