@@ -335,11 +335,13 @@ def assemble_scale(features: DataFrame) -> tuple[DataFrame, PipelineModel]:
     """Feature vectors with mean 0 and standard deviation 1; NULLs count as 0.
 
     The features are checkpointed: the scaler and whatever uses the vectors
-    read them there instead of building them again.
+    read them there instead of building them again. They are cached before, which
+    keeps the parts of the last shuffle: MLlib's starting centres depend on them.
     """
-    ready = checkpointed(
-        features.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES})
-    )
+    ready = features.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES})
+    built = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    ready = checkpointed(built)
+    built.unpersist()
     pipeline = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(FEATURES), outputCol="features_raw"),
@@ -405,9 +407,8 @@ def kmeans_select_k(
 ) -> tuple[KMeansModel, dict[int, float]]:
     """The K-Means model of best silhouette and the silhouette of each k, all scored in one job.
 
-    The vectors are checkpointed in as many parts as their size asks for. They
-    are not cached as a table: MLlib keeps decoded vectors for its iterations
-    only of a frame that is not.
+    The vectors are checkpointed, not cached as a table: only of a frame that
+    is not cached does MLlib keep decoded vectors for its iterations.
     """
     data = checkpointed(scaled.select("user_id", "features"))
     models = {k: KMeans(k=k, seed=SEED, maxIter=iterations).fit(data) for k in ks}

@@ -880,7 +880,7 @@ def kmeans_clusters(spark, sf):
     features = aggregates.user_features(
         b.interactions(spark, sf), b.products(spark, sf), AS_OF, ordered=False
     )
-    scaled, _ = ml.assemble_scale(features)
+    scaled, _ = ml.assemble_scale(features.select("user_id", *ml.FEATURES))
     model, _ = ml.kmeans_select_k(scaled)
     return model.transform(scaled).select("user_id", "prediction")
 
@@ -891,7 +891,7 @@ def kmeans_properties(spark, sf):
     features = aggregates.user_features(
         b.interactions(spark, sf), b.products(spark, sf), AS_OF, ordered=False
     )
-    scaled, _ = ml.assemble_scale(features)
+    scaled, _ = ml.assemble_scale(features.select("user_id", *ml.FEATURES))
     model, scores = ml.kmeans_select_k(scaled)
     found = model.transform(scaled).groupBy("prediction").agg(F.count("*").alias("n"))
     k = len(model.clusterCenters())
